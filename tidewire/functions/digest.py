@@ -57,15 +57,16 @@ def native_digest(value: Column, key: str) -> Column:
     """
     inner, outer = hmac_blocks(key)
     v = value.cast("double")
-    special = (
-        F.when(F.isnan(v), F.lit("nan"))
-        .when(v == F.lit(float("inf")), F.lit("inf"))
-        .when(v == F.lit(float("-inf")), F.lit("-inf"))
-        .otherwise(F.raise_error(F.lit("value too large for the native digest; use route='table'")))
+    # a case per special value keeps the usual one short
+    salt = (
+        F.when(F.abs(v) < 2.0**63, two_decimals(v))
+        .when(F.isnan(v), F.lit("nan"))
+        .when(F.abs(v) == float("inf"), F.replace(F.lower(v.cast("string")), F.lit("inity")))
+        .when(
+            v.isNotNull(),
+            F.raise_error(F.lit("value too large for the native digest; use route='table'")),
+        )
     )
-    salt = F.when(v.isNull(), F.lit(None)).when(
-        F.abs(v) < F.lit(2.0**63), two_decimals(v)
-    ).otherwise(special)
     first = F.sha2(
         F.concat(F.unhex(F.lit(inner)), F.encode(salt, "UTF-8"), F.unhex(F.lit("00000001"))), 256
     )

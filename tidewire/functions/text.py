@@ -22,11 +22,16 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# The number texts Python accepts (ASCII digits, single underscores between digits).
-INTEGER_TEXT = r"^[+-]?[0-9]+(_[0-9]+)*$"
+_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*+"
+_DIGITS = r"[0-9]++(?:_[0-9]++)*+"
+
+# The number texts Python accepts, written with ASCII digits. Group 1 is the number
+# without white space, and without the sign of a NaN.
+INTEGER_TEXT = rf"\A{_SPACE}([+-]?{_DIGITS}){_SPACE}\z"
 FLOAT_TEXT = (
-    r"(?i)^[+-]?(inf|infinity"
-    r"|([0-9]+(_[0-9]+)*(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)(e[+-]?[0-9]+(_[0-9]+)*)?)$"
+    rf"\A{_SPACE}(?:[+-](?=(?i)nan))?"
+    rf"((?i)nan|[+-]?(?:inf(?:inity)?|(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
+    rf"(?:e[+-]?{_DIGITS})?)){_SPACE}\z"
 )
 
 
@@ -34,63 +39,49 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def _number(c: Column, pattern: str) -> Column:
+    """The number text in ``c``, ready to cast; empty, which casts to NULL, if there is none."""
+    return F.replace(F.regexp_extract(c, pattern, 1), F.lit("_"), F.lit(""))
+
+
 def parse_integer(c: Column) -> Column:
     """BIGINT, or NULL where the text is no integer or does not fit in 64 bits."""
-    t = strip(c)
-    return F.when(t.rlike(INTEGER_TEXT), F.replace(t, F.lit("_"), F.lit("")).try_cast("bigint"))
+    return _number(c, INTEGER_TEXT).try_cast("bigint")
 
 
 def parse_float(c: Column) -> Column:
     """DOUBLE, or NULL where the text is no number. ``nan`` and ``inf`` are numbers."""
-    t = strip(c)
-    return F.when(
-        F.lower(t).isin("nan", "+nan", "-nan"), F.lit(float("nan"))
-    ).when(t.rlike(FLOAT_TEXT), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
+    return _number(c, FLOAT_TEXT).try_cast("double")
 
 
-def _split_scaled(v: Column, digits: int, split_bits: int) -> tuple[Column, Column]:
-    """Whole part of ``|v|`` and its fraction in units of 10**-digits, rounded half to even.
+def two_decimals(v: Column) -> Column:
+    """``f"{v:.2f}"`` for ``|v| < 2**63``; other values as their shortest text (``1.0E20``, ``NaN``).
 
-    The fraction is cut in two so that both halves times 10**digits are exact doubles; the halves
-    are then compared with one half exactly. So the binary value is rounded, as Python does, and
-    not its shortest decimal text, as Spark's round and format_string do.
+    ``format_number`` rounds the binary value half to even, as Python does; Spark's ``round`` and
+    ``format_string`` round its shortest decimal text half up. From 2**46 on, doubles lie further
+    apart than a hundredth, and the fraction is a whole number of 64ths: there the arithmetic is exact.
     """
-    scale, cut = float(10**digits), float(2**split_bits)
-    a = F.abs(v)
-    whole = F.floor(a)
-    fraction = a - whole.cast("double")
-    high = F.floor(fraction * cut).cast("double") / F.lit(cut)
-    low = (fraction - high) * F.lit(scale)
-    scaled = high * F.lit(scale)
-    units = F.floor(scaled)
-    to_half = F.lit(0.5) - (scaled - units.cast("double"))
-    up = (to_half < low) | ((to_half == low) & (units % 2 == 1))
-    return whole, units + up.cast("bigint")
-
-
-def two_decimals(v: Column) -> Column:
-    """``f"{v:.2f}"`` for ``|v| < 2**63``; other values as their shortest text (``1.0E20``, ``NaN``)."""
     v = v.cast("double")
-    whole, cents = _split_scaled(v, 2, 26)
-    plain = v.cast("string")
-    fixed = F.concat(
-        F.when(plain.startswith("-"), F.lit("-")).otherwise(F.lit("")),
-        (whole + F.floor(cents / 100)).cast("string"),
-        F.lit("."),
-        F.lpad((cents % 100).cast("string"), 2, "0"),
+    usual = F.replace(F.format_number(v, 2), F.lit(","), F.lit(""))
+    hundredths = F.rint((F.abs(v) % 1.0) * 100.0).cast("int").cast("string")
+    coarse = F.concat(v.cast("bigint").cast("string"), F.lit("."), F.lpad(hundredths, 2, "0"))
+    return (
+        F.when(F.abs(v) < 2.0**46, usual)
+        .when(F.abs(v) < 2.0**63, coarse)
+        .otherwise(v.cast("string"))
     )
-    return F.when(F.abs(v) < F.lit(2.0**63), fixed).otherwise(plain)
 
 
 def round_half_even(v: Column, digits: int = 4) -> Column:
-    """``round(v, digits)`` of Python for 0 <= digits <= 4: correct rounding of the binary value."""
-    if not 0 <= digits <= 4:
-        raise ValueError("digits must be between 0 and 4")
-    scale = 10**digits
-    whole, units = _split_scaled(v, digits, 33)
-    size = (whole * scale + units).cast("double") / F.lit(float(scale))
-    signed = F.when(v < 0, -size).otherwise(size)
-    # from 2**39 on, neighbouring doubles lie further apart than 10**-4 rounds
-    return F.when(F.abs(v) < F.lit(2.0**39), signed).otherwise(
-        v if digits == 4 else F.round(v, digits)
+    """``round(v, digits)`` of Python for 1 <= digits <= 4: correct rounding of the binary value."""
+    if not 1 <= digits <= 4:
+        raise ValueError("digits must be between 1 and 4")
+    unit = 10.0**-digits
+    rounded = F.replace(F.format_number(v, digits), F.lit(","), F.lit("")).cast("double")
+    # below one unit the double nearest to half of it, which lies above the half, rounds up
+    return (
+        F.when(F.abs(v) < unit, F.when(F.abs(v) >= unit / 2, F.signum(v) * unit).otherwise(v * 0.0))
+        # from 2**39 on, neighbouring doubles lie further apart than the last of four decimals
+        .when(F.abs(v) < 2.0**39, rounded)
+        .otherwise(v if digits == 4 else F.bround(v, digits))
     )
