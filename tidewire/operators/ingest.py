@@ -62,12 +62,16 @@ def cast_declared(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
 
     NULL fails for every type. Strings are stripped and never fail otherwise.
     """
-    added = {}
-    for c in columns:
-        cast = _PARSE[c.data_type](F.col(f"`{c.source_name}`"))
-        added[f"{c.source_name}__cast"] = cast
-        added[f"{c.source_name}__ok"] = cast.isNotNull()
-    return df.withColumns(added)
+    casts = [
+        _PARSE[c.data_type](F.col(f"`{c.source_name}`")).alias(f"{c.source_name}__cast")
+        for c in columns
+    ]
+    # The casts pass through a one-row generator. Filters on them would otherwise be pushed below
+    # the projection by repeating every cast, which is the costly part here.
+    cast = df.select("*", F.inline(F.array(F.struct(*casts))))
+    return cast.withColumns(
+        {f"{c.source_name}__ok": F.col(f"`{c.source_name}__cast`").isNotNull() for c in columns}
+    )
 
 
 def _ok(c: Column):

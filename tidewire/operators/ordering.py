@@ -15,8 +15,6 @@ from tidewire.workspace import materialise
 BUCKET_WIDTH = 1 << 20
 # Splits of one scan that may be broadcast: about 150 bytes each, so at most 150 MB.
 BROADCAST_SPLITS = 1_000_000
-# Numbers per bitmap of the built-in bitmap functions.
-BITMAP = 32_768
 
 SOURCE_ORDER = ("__file", "__block", "__line")
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row in partition below
@@ -201,7 +199,7 @@ def find_gaps(df: DataFrame, seq_col: str, upto: int | None = None) -> DataFrame
     """Numbers of ``1..upto`` (default: the highest present) that no row has."""
     if upto is None:
         upto = df.agg(F.max(seq_col)).first()[0] or 0
-    return _missing_in(_open_blocks(df, F.col(seq_col), upto), upto)
+    return _missing_in(_open_words(df, F.col(seq_col), upto), upto)
 
 
 def first_missing(df: DataFrame, seq_col: str, after: int, rows: int) -> int:
@@ -210,39 +208,31 @@ def first_missing(df: DataFrame, seq_col: str, after: int, rows: int) -> int:
     As many rows cannot fill one number more than they are, so no later number matters.
     """
     upto = rows + 1
-    first = _open_blocks(df, F.col(seq_col) - F.lit(after), upto).orderBy("__block").limit(1)
+    first = _open_words(df, F.col(seq_col) - F.lit(after), upto).orderBy("__word").limit(1)
     return after + _missing_in(first, upto).agg(F.min("missing")).first()[0]
 
 
-def _open_blocks(df: DataFrame, seq: Column, upto: int) -> DataFrame:
-    """Blocks of 32768 numbers within ``1..upto`` that are not full, with their bitmaps.
+def _open_words(df: DataFrame, seq: Column, upto: int) -> DataFrame:
+    """Stretches of 64 numbers within ``1..upto`` that are not full, with a bit per number present.
 
-    The bitmaps are filled before the shuffle, so a number costs one bit there.
+    The bits are set before the shuffle, by a hash aggregate, so 64 rows travel as one.
     """
-    seen = (
+    place = seq - 1
+    bit = (place % 64).cast("int")
+    present = (
         df.filter(seq.between(1, upto))
-        .groupBy(F.bitmap_bucket_number(seq).alias("__block"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(seq)).alias("__bits"))
-    )
-    blocks = df.sparkSession.range(1, (upto + BITMAP - 1) // BITMAP + 1)
-    return (
-        blocks.select(F.col("id").alias("__block"))
-        .join(seen, "__block", "left")
-        .filter(F.coalesce(F.bitmap_count("__bits"), F.lit(0)) < BITMAP)
+        .groupBy(F.shiftright(place, 6).alias("__word"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("__bits"))
     )
+    words = df.sparkSession.range((upto + 63) // 64).select(F.col("id").alias("__word"))
+    return words.join(present, "__word", "left").filter("__bits is null or __bits <> -1")
 
 
-def _missing_in(blocks: DataFrame, upto: int) -> DataFrame:
-    # number p of a block is bit p % 8 of byte p / 8
-    unset = F.expr(
-        "__bits is null or shiftright("
-        " cast(conv(hex(substring(__bits, cast(__place div 8 as int) + 1, 1)), 16, 10) as int),"
-        " cast(__place % 8 as int)) & 1 = 0"
-    )
+def _missing_in(words: DataFrame, upto: int) -> DataFrame:
     return (
-        blocks.withColumn("__place", F.explode(F.sequence(F.lit(0), F.lit(BITMAP - 1))))
-        .filter(unset)
-        .select(((F.col("__block") - 1) * BITMAP + F.col("__place") + 1).alias("missing"))
+        words.withColumn("__place", F.explode(F.sequence(F.lit(0), F.lit(63))))
+        .filter("__bits is null or shiftright(__bits, __place) & 1 = 0")
+        .select((F.col("__word") * 64 + F.col("__place") + 1).alias("missing"))
         .filter(F.col("missing") <= upto)
     )
 

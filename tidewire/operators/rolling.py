@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import round_half_even
@@ -12,6 +12,18 @@ from tidewire.operators.ordering import BUCKET_WIDTH, Buckets, _fit, add_sequenc
 from tidewire.spec import AVERAGE, whole_number
 
 
+def _exact_parts(value: Column) -> tuple[Column, Column]:
+    """``value`` as a part on a grid of 1/1024, where sums of usual sizes are exact, and the rest.
+
+    The rests are so small that adding them up loses nothing that counts. Both sums together are
+    thus the exact sum, rounded once, as from a compensated summation: means that lie on a rounding
+    tie fall to the right side.
+    """
+    usual = F.abs(value) < 2.0**42
+    coarse = F.rint(value * 1024.0) / 1024.0
+    return F.when(usual, coarse).otherwise(value), F.when(usual, value - coarse).otherwise(0.0)
+
+
 def rolling_average(
     df: DataFrame,
     seq_col: str,
@@ -51,10 +63,11 @@ def rolling_average(
     frame = (
         Window.partitionBy("__bucket", *groups).orderBy(cut.key).rowsBetween(-carry, Window.currentRow)
     )
-    mean = F.coalesce(F.avg(F.col(value_col).cast("double")).over(frame), F.lit(0.0))
+    coarse, rest = _exact_parts(F.col(value_col).cast("double"))
+    total = F.sum(coarse).over(frame) + F.sum(rest).over(frame)
     return (
         cut.rows.withColumn("__bucket", F.explode(copies))
-        .withColumn(name, mean)
+        .withColumn(name, F.coalesce(total / F.count(value_col).over(frame), F.lit(0.0)))
         .filter(F.col("__bucket") == home)
         .withColumn(name, round_half_even(F.col(name), digits))
         .select(*df.columns, name)

@@ -31,7 +31,7 @@ verified as (select priority_index, entity_name, time_period, metric_value, secu
 
 def _processed(window: int) -> str:
     return NUMBERED + f""",
-processed as (select *, cast(printf('%.4f', avg(metric_value) over (order by
+processed as (select *, cast(printf('%.4f', favg(metric_value) over (order by
   priority_index rows between {window - 1} preceding and current row)) as double) as computed_metric from verified)"""
 
 
@@ -70,7 +70,7 @@ r_numbered as (select row_number() over (order by event_id) as priority_index, *
   sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode(printf('%.2f', c3))
     || unhex('00000001')))) as digest from clean),
 r_processed as (select priority_index, c1 as entity_name, c2 as time_period, c3 as metric_value,
-  c4 as security_hash, cast(printf('%.4f', avg(c3) over (order by priority_index
+  c4 as security_hash, cast(printf('%.4f', favg(c3) over (order by priority_index
   rows between 9 preceding and current row)) as double) as computed_metric from r_numbered where digest = c4)""".format(
     inner=_INNER, outer=_OUTER
 )
@@ -168,7 +168,7 @@ def oracle_sql() -> dict[str, str]:
         "reject_stale": f"with {_ARRIVALS} select event_id, arrival, event_type from flagged where not late",
         "stale_flags": f"with {_ARRIVALS} select event_id, late from flagged",
         "rolling_average_by_entity": f"""with {SIGNALS} select event_id, entity_name,
-            cast(printf('%.4f', avg(metric_value) over (partition by entity_name
+            cast(printf('%.4f', favg(metric_value) over (partition by entity_name
             order by event_id rows between 9 preceding and current row)) as double) as computed_metric from signals""",
         "chart_feed": f"with {FEED} select * from feed",
         "chart_extents": f"""with {FEED}, e as (select chart, min(x) as x0, max(x) as x1,

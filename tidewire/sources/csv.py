@@ -53,9 +53,12 @@ def scan_csv(
     """
     names = csv_header(spark, path, multiline)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    reader = _reader(spark.read, multiline)
     if ragged:
+        # with unread columns pruned, the parser would not notice surplus cells
         schema = schema.add(CORRUPT, T.StringType())
-    df = _reader(spark.read, multiline).schema(schema).csv(path)
+        reader = reader.option("columnPruning", False)
+    df = reader.schema(schema).csv(path)
     extra = []
     if source_order:
         file, block, line = SOURCE_ORDER
@@ -65,16 +68,19 @@ def scan_csv(
             F.monotonically_increasing_id().alias(line),
         ]
     if ragged:
-        extra.append(_overlong(len(names)).alias("__overlong"))
+        extra.append(_overlong(names).alias("__overlong"))
     cells = [F.col(f"`{c}`") for c in names]
     return missing_as_null(df.select(*cells, *extra), names, na_tokens)
 
 
-def _overlong(width: int):
+def _overlong(names: Sequence[str]):
     """A line is kept as corrupt if it is too short or too long: count its unquoted commas."""
-    bare = F.regexp_replace(F.col(CORRUPT), r'"[^"]*"', "")
+    line = F.col(CORRUPT)
+    bare = F.regexp_replace(line, r'"[^"]*"', "")
     commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
-    return F.coalesce(commas >= width, F.lit(False))
+    # always true, but Spark refuses to read the corrupt-record column all by itself
+    holds_cell = F.length(line) >= F.coalesce(F.length(F.col(f"`{names[0]}`")), F.lit(0))
+    return F.coalesce((commas >= len(names)) & holds_cell, F.lit(False))
 
 
 def scan_errors(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
