@@ -1,0 +1,192 @@
+"""Streams against the batch operators: order, gaps, late rows, repeats and the sinks."""
+
+import random
+import time
+from collections import deque
+
+import pytest
+from pyspark.sql import functions as F
+from tidewire.functions.digest import digest_udf
+from tidewire.functions.text import two_decimals
+from tidewire.operators.charts import chart_feed
+from tidewire.operators.verify import verify_signatures
+from tidewire.sources.csv import stream_csv
+from tidewire.sources.sinks import read_feed, write_feed, write_processed
+from tidewire.spec import Chart
+from tidewire.streaming.progress import progress_samples, release_samples
+from tidewire.streaming.release import (
+    Release,
+    drain,
+    released_rows,
+    start_release,
+    stream_resequence,
+    stream_rolling_average,
+    with_ticks,
+)
+
+SCHEMA = "seq long, v double, ok boolean"
+
+
+def by_hand(rows, window):
+    last, out = deque(maxlen=window), []
+    for seq, v, ok in sorted(rows):
+        if ok:
+            last.append(v)
+            out.append((seq, round(sum(last) / len(last), 4)))
+    return out
+
+
+def release_of(folder, window=4, **kw):
+    return Release(folder("out"), folder("state"), "seq", "v", window, accepted_col="ok", **kw)
+
+
+def feed_batches(spark, release, batches):
+    for i, batch in enumerate(batches):
+        release.run_batch(spark.createDataFrame(batch, SCHEMA), i)
+
+
+def averages(df):
+    return sorted((r.seq, r.computed_metric) for r in df.collect())
+
+
+def some_rows(n=400):
+    rnd = random.Random(4)
+    return [(i, rnd.randrange(1000) / 100, i % 7 != 3) for i in range(1, n + 1)]
+
+
+@pytest.mark.parametrize("mix", [1, 60, 400])
+def test_stream_equals_batch(spark, folder, mix):
+    """Rows shuffled within and across files; unverified rows only fill their places."""
+    rows = some_rows()
+    rnd = random.Random(mix)
+    shuffled = sorted(rows, key=lambda r: r[0] + rnd.random() * mix)
+    source = folder("source")
+    for k in range(0, 400, 100):
+        spark.createDataFrame(shuffled[k : k + 100], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    query, release = stream_rolling_average(
+        stream, folder("out"), folder("state"), folder("cp"), "seq", "v", 4, accepted_col="ok"
+    )
+    query.awaitTermination()
+    assert averages(released_rows(spark, release)) == by_hand(rows, 4)
+    assert released_rows(spark, release, "late").count() == 0
+    sizes = {(r["sample"], r.stage): r["size"] for r in release_samples(spark, release, 100).collect()}
+    assert [sizes[b, "raw"] for b in range(4)] == [100] * 4
+    assert sizes[3, "intermediate"] == 0
+    assert sum(sizes[b, "processed"] for b in range(4)) == sum(ok for _, _, ok in rows)
+    progress = progress_samples(spark, query, 500)
+    assert sum(r["size"] for r in progress.filter("stage = 'raw'").collect()) >= 400
+
+
+def test_gap_holds_rows_until_drained(spark, folder):
+    rows = [r for r in some_rows(60) if r[0] != 50]
+    release = release_of(folder)
+    feed_batches(spark, release, [rows[:20], rows[20:40], rows[40:]])
+    want = by_hand(rows, 4)
+    before = [w for w in want if w[0] < 50]
+    assert averages(released_rows(spark, release)) == before
+    assert averages(drain(spark, release, 2)) == want[len(before) :]
+
+
+def test_repeated_batch_changes_nothing(spark, folder):
+    rows = some_rows(30)
+    release = release_of(folder)
+    batches = [rows[5:20], rows[:5], rows[20:]]
+    feed_batches(spark, release, batches[:2])
+    release.run_batch(spark.createDataFrame(batches[1], SCHEMA), 1)
+    release.run_batch(spark.createDataFrame(batches[2], SCHEMA), 2)
+    release.run_batch(spark.createDataFrame(batches[2], SCHEMA), 2)
+    assert averages(released_rows(spark, release)) == by_hand(rows, 4)
+
+
+def test_gap_timeout_and_late_rows(spark, folder):
+    clock = iter([0.0, 1.0, 2.5, 3.0])
+    release = release_of(folder, gap_timeout=2.0, clock=lambda: next(clock))
+    rows = {i: (i, float(i), True) for i in range(1, 9)}
+    release.run_batch(spark.createDataFrame([rows[1], rows[4]], SCHEMA), 0)
+    release.run_batch(spark.createDataFrame([rows[6]], SCHEMA), 1)
+    assert averages(released_rows(spark, release)) == [(1, 1.0)]
+    # at 2.5 s row 4 has waited for more than 2 s and row 6 has not
+    release.run_batch(spark.createDataFrame([rows[5]], SCHEMA), 2)
+    assert [s for s, _ in averages(released_rows(spark, release))] == [1, 4, 5, 6]
+    release.run_batch(spark.createDataFrame([rows[2], rows[7], rows[3]], SCHEMA), 3)
+    assert averages(released_rows(spark, release)) == by_hand([rows[i] for i in (1, 4, 5, 6, 7)], 4)
+    assert sorted(r.seq for r in released_rows(spark, release, "late").collect()) == [2, 3]
+
+
+def test_ticks_pass_gaps_while_idle(spark, folder):
+    source = folder("source")
+    spark.createDataFrame([(1, 1.0, True), (3, 3.0, True)], SCHEMA).write.parquet(source)
+    stream = with_ticks(spark.readStream.schema(SCHEMA).parquet(source))
+    release = release_of(folder, gap_timeout=0.5)
+    query = start_release(stream, release, folder("cp"), every="1 second")
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            time.sleep(1)
+            if query.lastProgress and released_rows(spark, release).count() == 2:
+                break
+    finally:
+        query.stop()
+    assert averages(released_rows(spark, release)) == [(1, 1.0), (3, 2.0)]
+
+
+def test_empty_first_batch_and_order_only(spark, folder):
+    source = folder("source")
+    spark.createDataFrame([(2, 2.0, True), (1, 1.0, False)], SCHEMA).write.parquet(source)
+    stream = spark.readStream.schema(SCHEMA).parquet(source)
+    query, release = stream_resequence(stream, folder("out"), folder("state"), folder("cp"), "seq")
+    query.awaitTermination()
+    assert sorted(map(tuple, released_rows(spark, release).collect())) == [(1, 1.0, False), (2, 2.0, True)]
+    other = release_of(folder)
+    feed_batches(spark, other, [[], [(1, 5.0, True)], []])
+    assert averages(released_rows(spark, other)) == [(1, 5.0)]
+
+
+def test_verify_on_a_stream(spark, folder):
+    values = spark.range(300).select("id", (F.col("id") % 40 / 8).alias("metric_value"))
+    digest = digest_udf("k", 20)(two_decimals(F.col("metric_value")))
+    signed = values.select("*", F.when(F.col("id") % 5 != 1, digest).otherwise("no").alias("security_hash"))
+    source, out = folder("source"), folder("out")
+    signed.write.parquet(source)
+    stream = spark.readStream.schema(signed.schema).parquet(source)
+    query = write_processed(verify_signatures(stream, "k", 20), out, checkpoint=folder("cp"))
+    query.awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [i for i in range(300) if i % 5 != 1]
+    with pytest.raises(ValueError):
+        write_processed(stream, out)
+
+
+def test_stream_csv(spark, folder):
+    source, out = folder("csv"), folder("out")
+    spark.createDataFrame([("a", "NA"), (" b ", "2")], "x string, y string").coalesce(1).write.csv(
+        source, header=True
+    )
+    query = write_processed(stream_csv(spark, source, ["x", "y"]), out, checkpoint=folder("cp"))
+    query.awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted([("a", None), (" b ", "2")]) or (
+        # Spark trims unquoted cells on writing
+        sorted(map(tuple, spark.read.parquet(out).collect())) == [("a", None), ("b", "2")]
+    )
+
+
+def test_feed_sink(spark, folder):
+    charts = [Chart("real_time_scatter_average", "a", "t", "y")]
+    data = [(i, 100 + i, float(i), i / 2) for i in range(1, 301)]
+    schema = "priority_index long, t long, metric_value double, computed_metric double"
+    df = spark.createDataFrame(data, schema)
+    source, out = folder("source"), folder("feed")
+    for k in (200, 0, 100):
+        df.filter(f"priority_index > {k} and priority_index <= {k + 100}").coalesce(1).write.mode(
+            "append"
+        ).parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = write_feed(stream, out, charts, checkpoint=folder("cp"))
+    query.awaitTermination()
+    want = sorted(map(tuple, chart_feed(df, charts).collect()))
+    assert sorted(map(tuple, read_feed(spark, out, query.lastProgress["batchId"]).collect())) == want
+    plain = folder("plain")
+    write_feed(df, plain, charts)
+    assert sorted(map(tuple, read_feed(spark, plain).collect())) == want
+    write_processed(df, plain, mode="overwrite")
+    assert spark.read.parquet(plain).count() == 300

@@ -21,9 +21,7 @@ SAMPLES = "sample bigint, stage string, size bigint, max bigint"
 
 
 def fill_ratio(size: Column, most: Column) -> Column:
-    # the divisor is guarded on its own: both branches may be evaluated
-    ratio = size / F.when(most > 0, most)
-    return F.coalesce(F.least(ratio, F.lit(1.0)), F.lit(0.0))
+    return F.when(most > 0, F.least(size / most, F.lit(1.0))).otherwise(0.0)
 
 
 def band(ratio: Column) -> Column:

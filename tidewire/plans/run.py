@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewire.operators import charts, health, ingest
 from tidewire.operators.ordering import SOURCE_ORDER, add_sequence, find_gaps, number_kept
@@ -116,10 +115,9 @@ def _status(counts: DataFrame, fatal: int) -> DataFrame:
 
 def _nothing(spark: SparkSession, spec: RunSpec, errors: DataFrame) -> Run:
     """The tables of a run that must not start: all empty but for the errors."""
-    schema = T.StructType().add(SEQUENCE, "bigint")
-    for c in spec.columns:
-        schema = schema.add(c.internal_mapping, DATA_TYPES[c.data_type])
-    processed = spark.createDataFrame([], schema.add(AVERAGE, "double"))
+    declared = [(c.internal_mapping, DATA_TYPES[c.data_type]) for c in spec.columns]
+    named = [(SEQUENCE, "bigint"), *declared, (AVERAGE, "double")]
+    processed = spark.createDataFrame([], ", ".join(f"`{name}` {kind}" for name, kind in named))
     counts = spark.createDataFrame([(0, 0, 0)], "loaded bigint, passed bigint, skipped bigint")
     fatal = errors.filter("severity = 'FATAL'").count()
     return Run(
