@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.spec import CHART_VALUE, SEQUENCE, Chart, whole_number
+from tidewire.workspace import small_frame
 
 # Points kept per chart, labels per axis, label length, padding, title ending.
 POINTS, LABEL_STEPS, LABEL_CHARS, PADDING, COMPLETE = 120, 6, 4, 0.05, "  ✔ Complete"
@@ -31,7 +32,7 @@ def chart_points(
         if set(pair) <= set(df.columns):
             shared.setdefault(pair, []).append(chart)
     if not shared:
-        return df.sparkSession.createDataFrame([], POINTS_SCHEMA)
+        return small_frame(df.sparkSession, [], POINTS_SCHEMA)
 
     def points(pair, members):
         x, y = (F.col(f"`{c}`") for c in pair)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.text import parse_float, parse_integer, strip
 from tidewire.spec import Column, check_declared
+from tidewire.workspace import small_frame
 
 ERRORS = "severity string, code string, column string, message string"
 
@@ -21,7 +22,7 @@ _PARSE = {"string": strip, "integer": parse_integer, "float": parse_float}
 
 
 def errors_frame(spark: SparkSession, rows: Sequence[tuple] = ()) -> DataFrame:
-    return spark.createDataFrame(list(rows), ERRORS)
+    return small_frame(spark, list(rows), ERRORS)
 
 
 def check_columns(df: DataFrame, columns: Sequence[Column]) -> DataFrame:

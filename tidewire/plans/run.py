@@ -14,8 +14,9 @@ from tidewire.operators.rolling import rolling_average
 from tidewire.operators.verify import verification_summary, verify_signatures
 from tidewire.sources.csv import missing_file, overlong_error, scan_csv
 from tidewire.spec import AVERAGE, DATA_TYPES, SEQUENCE, RunSpec
-from tidewire.workspace import materialise
+from tidewire.workspace import materialise, small_frame
 
+COUNTS = "loaded bigint, passed bigint, skipped bigint"
 QUARANTINE = "row_index bigint, column string, raw_value string, reason string"
 
 
@@ -75,14 +76,12 @@ def run_pipeline(spark: SparkSession, spec: RunSpec) -> Run:
     )
     verified = flagged.filter("verified").drop("verified")
     processed = rolling_average(verified, SEQUENCE, spec.value_col, spec.window)
-    quarantine = spark.createDataFrame([], QUARANTINE)
+    quarantine = small_frame(spark, [], QUARANTINE)
     if passed < loaded:
         quarantine = ingest.quarantine_rows(
             number_kept(cast, ~good, "row_index", start=0), spec.columns
         )
-    counts = spark.createDataFrame(
-        [(loaded, passed, loaded - passed)], "loaded bigint, passed bigint, skipped bigint"
-    )
+    counts = small_frame(spark, [(loaded, passed, loaded - passed)], COUNTS)
     return Run(
         processed=processed,
         quarantine=quarantine,
@@ -117,17 +116,17 @@ def _nothing(spark: SparkSession, spec: RunSpec, errors: DataFrame) -> Run:
     """The tables of a run that must not start: all empty but for the errors."""
     declared = [(c.internal_mapping, DATA_TYPES[c.data_type]) for c in spec.columns]
     named = [(SEQUENCE, "bigint"), *declared, (AVERAGE, "double")]
-    processed = spark.createDataFrame([], ", ".join(f"`{name}` {kind}" for name, kind in named))
-    counts = spark.createDataFrame([(0, 0, 0)], "loaded bigint, passed bigint, skipped bigint")
+    processed = small_frame(spark, [], ", ".join(f"`{name}` {kind}" for name, kind in named))
+    counts = small_frame(spark, [(0, 0, 0)], COUNTS)
     fatal = errors.filter("severity = 'FATAL'").count()
     return Run(
         processed=processed,
-        quarantine=spark.createDataFrame([], QUARANTINE),
+        quarantine=small_frame(spark, [], QUARANTINE),
         errors=errors,
-        gaps=spark.createDataFrame([], "missing bigint"),
+        gaps=small_frame(spark, [], "missing bigint"),
         summary=health.pipeline_summary(processed, complete=False),
         ingest=counts,
         status=_status(counts, fatal),
-        verification=spark.createDataFrame([(0, 0)], "verified bigint, dropped bigint"),
-        feed=charts.place_points(spark.createDataFrame([], charts.POINTS_SCHEMA)),
+        verification=small_frame(spark, [(0, 0)], "verified bigint, dropped bigint"),
+        feed=charts.place_points(small_frame(spark, [], charts.POINTS_SCHEMA)),
     )

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewire.operators.health import SAMPLES
 from tidewire.spec import whole_number
 from tidewire.streaming.release import Release
+from tidewire.workspace import small_frame
 
 
 def progress_samples(spark: SparkSession, query: StreamingQuery, capacity: int) -> DataFrame:
@@ -26,7 +27,7 @@ def progress_samples(spark: SparkSession, query: StreamingQuery, capacity: int)
             "processed": max(report["sink"].get("numOutputRows", 0), 0),
         }
         rows += [(report["batchId"], stage, size, capacity) for stage, size in sizes.items()]
-    return spark.createDataFrame(rows, SAMPLES)
+    return small_frame(spark, rows, SAMPLES)
 
 
 def release_samples(spark: SparkSession, release: Release, capacity: int) -> DataFrame:

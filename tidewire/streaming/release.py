@@ -23,6 +23,7 @@ from tidewire.operators.health import SAMPLES
 from tidewire.operators.ordering import first_missing
 from tidewire.operators.rolling import rolling_average
 from tidewire.spec import AVERAGE, whole_number
+from tidewire.workspace import small_frame
 
 # Fixed value: seconds a later row waits before a gap is passed.
 GAP_TIMEOUT = 2.0
@@ -93,9 +94,10 @@ class Release:
         waiting = pool.filter(seq >= expected).count() if counts["open"] else 0
         self._note(spark, batch_id, expected, due, before)
         sizes = {"raw": counts["fresh"], "intermediate": waiting, "processed": written.get["rows"]}
-        spark.createDataFrame(
-            [(batch_id, stage, size, None) for stage, size in sizes.items()], SAMPLES
-        ).coalesce(1).write.mode("overwrite").parquet(self._folder("samples", batch_id))
+        samples = [(batch_id, stage, size, None) for stage, size in sizes.items()]
+        small_frame(spark, samples, SAMPLES).write.mode("overwrite").parquet(
+            self._folder("samples", batch_id)
+        )
 
     def _overdue(self, now: float):
         if self.gap_timeout is None:
@@ -122,7 +124,8 @@ class Release:
         )
 
     def _note(self, spark, batch_id: int, expected: int, due: DataFrame, before: _Before) -> None:
-        notes = spark.createDataFrame([("batch", batch_id, None), ("expected", expected, None)], _NOTES)
+        known = [("batch", batch_id, None), ("expected", expected, None)]
+        notes = small_frame(spark, known, _NOTES)
         if self.value_col is not None and self.window > 1:
             released = self._accepted(due).select(
                 F.lit("tail").alias("kind"),
@@ -131,7 +134,7 @@ class Release:
             )
             last = before.tail.unionByName(released).orderBy(F.desc("seq")).limit(self.window - 1)
             notes = notes.unionByName(last)
-        notes.coalesce(1).write.mode("overwrite").parquet(self._slot(batch_id, "notes"))
+        notes.write.mode("overwrite").parquet(self._slot(batch_id, "notes"))
 
     # ---- state ------------------------------------------------------------------------------
 
@@ -145,7 +148,7 @@ class Release:
         schema = batch.schema.add(_SINCE, T.DoubleType())
         if batch_id == 0:
             return _Before(
-                self.first, spark.createDataFrame([], schema), spark.createDataFrame([], _NOTES)
+                self.first, small_frame(spark, [], schema), small_frame(spark, [], _NOTES)
             )
         return self._read(spark, batch_id - 1, schema)
 

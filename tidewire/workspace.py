@@ -9,7 +9,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -33,3 +37,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
+    """A few known rows as one partition of literals, with no Python worker behind it."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+
+    def record(values):
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, fields)])
+
+    if not rows:
+        nothing = record([None] * len(fields))
+        return spark.range(0, 0, 1, 1).select(nothing.alias("r")).select("r.*")
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*map(record, rows))))
