@@ -52,6 +52,24 @@ def test_no_rows(spark):
     assert cut_in_buckets(empty, "seq") is None
 
 
+def test_rows_without_a_key_are_refused(spark):
+    df = spark.createDataFrame([(1, 1.0), (None, 2.0)], "seq long, arrival double")
+    for refused in (
+        lambda: add_sequence(df, "seq", "n", unique=True),
+        lambda: flag_stale(df, "seq", "arrival"),
+        lambda: cut_in_buckets(df, "seq"),
+    ):
+        with pytest.raises(ValueError, match="NULL"):
+            refused()
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_extreme_and_negative_keys(spark, unique):
+    values = [-(2**63), -5, -1, 0, 7, 2**63 - 1]
+    out = add_sequence(numbers(spark, values), "seq", "n", unique=unique)
+    assert sorted((r.n, r.seq) for r in out.collect()) == list(enumerate(values, 1))
+
+
 def test_resequence(spark):
     values = list(range(500))
     random.Random(1).shuffle(values)

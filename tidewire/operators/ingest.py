@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire.functions.once import with_once
 from tidewire.functions.text import parse_float, parse_integer, strip
 from tidewire.spec import Column, check_declared
 from tidewire.workspace import small_frame
@@ -63,14 +64,10 @@ def cast_declared(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
 
     NULL fails for every type. Strings are stripped and never fail otherwise.
     """
-    casts = [
-        _PARSE[c.data_type](F.col(f"`{c.source_name}`")).alias(f"{c.source_name}__cast")
-        for c in columns
-    ]
-    # The casts pass through a one-row generator. Filters on them would otherwise be pushed below
-    # the projection by repeating every cast, which is the costly part here.
-    cast = df.select("*", F.inline(F.array(F.struct(*casts))))
-    return cast.withColumns(
+    casts = {
+        f"{c.source_name}__cast": _PARSE[c.data_type](F.col(f"`{c.source_name}`")) for c in columns
+    }
+    return with_once(df, casts).withColumns(
         {f"{c.source_name}__ok": F.col(f"`{c.source_name}__cast`").isNotNull() for c in columns}
     )
 

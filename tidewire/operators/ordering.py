@@ -7,12 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire.workspace import materialise
 
 # Rows of one bucket go to one task. Sequence numbers are unique, so a bucket of this width is also
 # bounded in rows.
-BUCKET_WIDTH = 1 << 20
+BUCKET_WIDTH = 1 << 18
 # Splits of one scan that may be broadcast: about 150 bytes each, so at most 150 MB.
 BROADCAST_SPLITS = 1_000_000
 
@@ -27,22 +28,41 @@ def add_sequence(
     start: int = 1,
     unique: bool = False,
 ) -> DataFrame:
-    """Put a dense number ``start..`` in ``order_by`` order in front of each row.
+    """Put a dense number ``start..`` in ``order_by`` order in front of each row, and store that.
 
     ``order_by=SOURCE_ORDER`` numbers a scanned file set in its own order and needs no shuffle.
-    Otherwise the rows are sorted once across the cluster and stored; each row then has its
-    partition and its place in it, and only the row counts per partition are summed up. Unless the
-    order is declared ``unique``, ties are split by a hash of the row and by input partition, so
-    that one value held by very many rows does not end up in one task.
+    One integer key declared ``unique`` is cut into stretches, which are counted and then sorted:
+    one shuffle. Any other order is sorted across the cluster, which reads ``df`` once more to
+    sample it. There, unless the order is ``unique``, ties are split by a hash of the row and by
+    input partition, so that one value held by very many rows does not end up in one task.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     if name in df.columns:
         raise ValueError(f"column {name!r} exists already")
     if tuple(order) == SOURCE_ORDER:
         return _number_by_split(df, name, start)
+    if unique and len(order) == 1 and df.schema[order[0]].dataType in (T.LongType(), T.IntegerType()):
+        numbered = _number_by_stretch(df, order[0], name, start)
+        if numbered is not None:
+            return numbered
     return _number_by_sort(df, order, name, start, unique)
 
 
+def _number_by_stretch(df: DataFrame, key: str, name: str, start: int) -> DataFrame | None:
+    """Numbers from the row counts of stretches of the key; ``None`` if the keys lie too sparsely."""
+    spread = key_spread(df, key)
+    if spread is None or not spread.fills(BUCKET_WIDTH):
+        return None
+    cut = Buckets(df, key, spread.low, _fit(df, spread.span, 0, BUCKET_WIDTH), 0, 0)
+    # read before the other columns are: only the key is scanned for it
+    counts = df.groupBy(cut.bucket().alias("__bucket")).agg(F.count("*").alias("__rows"))
+    before = counts.select("__bucket", _sum_before("__rows", "__bucket").alias("__before"))
+    local = F.row_number().over(Window.partitionBy("__bucket").orderBy(key))
+    numbered = df.withColumn("__bucket", cut.bucket()).join(before, "__bucket")
+    number = (F.col("__before") + local + F.lit(start - 1)).alias(name)
+    return materialise(numbered.select(number, *df.columns), "numbered")
+
+
 def _number_by_sort(
     df: DataFrame, order: list[str], name: str, start: int, unique: bool
 ) -> DataFrame:
@@ -164,26 +184,44 @@ def cut_in_buckets(
     are so long that the end of a stretch may hold fewer than ``carry`` rows, or numbers so sparse
     that the buckets outnumber what the rows need, the rows are first numbered densely.
     """
-    low, high, rows = df.agg(F.min(seq_col), F.max(seq_col), F.count(seq_col)).first()
-    if low is None:
+    spread = key_spread(df, seq_col)
+    if spread is None:
         return None
-    width = _fit(df, high - low + 1, carry, width)
+    width = _fit(df, spread.span, carry, width)
     zone = min(width, max(8 * carry + 64, width // 16)) if carry else 0
-    cut = Buckets(df, seq_col, low, width, zone, (high - low) // width)
-    if cut.last == 0:
-        return cut
-    needed = rows // width + 1
-    if cut.last + 1 <= 16 * needed and (not carry or _zones_hold(cut, carry)):
+    cut = Buckets(df, seq_col, spread.low, width, zone, (spread.span - 1) // width)
+    if cut.last == 0 or (spread.fills(width) and (not carry or _zones_hold(cut, carry))):
         return cut
     dense = add_sequence(df, seq_col, "__dense", start=0, unique=True)
-    width = _fit(df, rows, carry, width)
-    return Buckets(dense, "__dense", 0, width, carry, (rows - 1) // width)
+    width = _fit(df, spread.rows, carry, width)
+    return Buckets(dense, "__dense", 0, width, carry, (spread.rows - 1) // width)
+
+
+@dataclass(frozen=True)
+class KeySpread:
+    """How many rows there are and how far their integer keys reach."""
+
+    low: int
+    span: int
+    rows: int
+
+    def fills(self, width: int) -> bool:
+        """Whether stretches of ``width`` keys are not many more than the rows need."""
+        return self.span // width + 1 <= 16 * (self.rows // width + 1)
+
+
+def key_spread(df: DataFrame, key: str) -> KeySpread | None:
+    """The spread of a key column, from one pass over it alone; ``None`` for no rows."""
+    low, high, rows, keyed = df.agg(F.min(key), F.max(key), F.count("*"), F.count(key)).first()
+    if keyed < rows:
+        raise ValueError(f"{key!r} is NULL in {rows - keyed} rows, which thus have no place in order")
+    return KeySpread(low, high - low + 1, rows) if rows else None
 
 
 def _fit(df: DataFrame, span: int, carry: int, width: int) -> int:
     """Narrower buckets for small inputs, so that all cores work; wider ones for long carries."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(min(width, max(span // (2 * cores) + 1, 4096)), 16 * carry, 1)
+    return max(min(width, max(span // (4 * cores) + 1, 4096)), 16 * carry, 1)
 
 
 def _zones_hold(cut: Buckets, carry: int) -> bool:

@@ -49,13 +49,14 @@ def processed(spark: SparkSession, sf_dir: str, window: int = WINDOW) -> DataFra
 
 
 def casts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = missing_as_null(raw_signals(spark, sf_dir), [c.source_name for c in DECLARED])
+    raw = missing_as_null(raw_signals(spark, sf_dir, once=True), [c.source_name for c in DECLARED])
     return ingest.cast_declared(raw, DECLARED)
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = add_sequence(casts(spark, sf_dir), "event_id", "row_index", start=0, unique=True)
-    return ingest.quarantine_rows(rows, DECLARED)
+    raw = missing_as_null(raw_signals(spark, sf_dir), [c.source_name for c in DECLARED])
+    rows = add_sequence(raw, "event_id", "row_index", start=0, unique=True)
+    return ingest.quarantine_rows(ingest.cast_declared(rows, DECLARED), DECLARED)
 
 
 # ---- queries ------------------------------------------------------------------------------------
@@ -188,7 +189,7 @@ def queries() -> dict[str, Query]:
             events(s, d).select("ts", "event_id", "value"), ["ts", "event_id"]
         ),
         "verify_signatures": lambda s, d: verify_signatures(
-            signals(s, d), FIXTURE_KEY, 1, route="native"
+            signals(s, d, once=True), FIXTURE_KEY, 1, route="native"
         ),
         "verify_signatures_table": q_verify_table,
         "verification_summary": q_verification_summary,

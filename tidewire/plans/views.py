@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions.digest import native_digest
+from tidewire.functions.once import with_once
 from tidewire.spec import CHART_VALUE, Chart, Column
 
 # A public key made up for these views; it protects nothing.
@@ -30,10 +31,17 @@ def epoch_seconds(ts: str) -> F.Column:
     return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})")
 
 
-def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One signed row per event; the signature is spoilt (reversed) where ``event_id % 7 = 3``."""
+def signals(spark: SparkSession, sf_dir: str, once: bool = False) -> DataFrame:
+    """One signed row per event; the signature is spoilt (reversed) where ``event_id % 7 = 3``.
+
+    With ``once`` the digest is hashed once however often it is referred to, as a filter on it does;
+    without, it is left out where it is not needed.
+    """
     digest = native_digest(F.col("value"), FIXTURE_KEY)
-    return events(spark, sf_dir).select(
+    rows = events(spark, sf_dir)
+    if once:
+        rows, digest = with_once(rows, {"digest": digest}), F.col("digest")
+    return rows.select(
         "event_id",
         F.col("event_type").alias("entity_name"),
         epoch_seconds("ts").alias("time_period"),
@@ -42,7 +50,7 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_signals(spark: SparkSession, sf_dir: str, once: bool = False) -> DataFrame:
     """The same rows as texts under their source names, with planted bad cells."""
     text = {
         "entity": F.col("entity_name"),
@@ -61,8 +69,7 @@ def raw_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = dict(text)
     for m, column, planted in plant:
         cells[column] = F.when(F.col("__first") == m, planted).otherwise(cells[column])
-    return (
-        signals(spark, sf_dir)
-        .withColumn("__first", first)
-        .select("event_id", *[cell.alias(name) for name, cell in cells.items()])
-    )
+    marked = signals(spark, sf_dir, once).withColumn("__first", first)
+    if once:
+        return with_once(marked, cells).select("event_id", *cells)
+    return marked.withColumns(cells).select("event_id", *cells)

@@ -17,13 +17,15 @@ from pyspark.sql import types as T
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only if that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only if none is set."""
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        or spark.sparkContext.getCheckpointDir()
     )
     if not root:
-        root = tempfile.mkdtemp(prefix="tidewire-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidewire-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
@@ -31,11 +33,21 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tidewire/{label}-{uuid.uuid4().hex}"
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete every table this package has written to the shared folder.
+
+    Call it when no DataFrame and no stream of any session made with the package is in use any more.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/tidewire")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return the stored table."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
