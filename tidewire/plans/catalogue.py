@@ -20,13 +20,21 @@ from tidewire.operators.ordering import (
 )
 from tidewire.operators.rolling import rolling_average
 from tidewire.operators.verify import verification_summary, verify_signatures
-from tidewire.plans.live import q_end_to_end, q_progress_samples, q_stream_rolling, raw_csv
-from tidewire.plans.views import CHARTS, DECLARED, FIXTURE_KEY, epoch_seconds, events, raw_signals, signals
+from tidewire.plans import live
+from tidewire.plans.views import (
+    CHARTS,
+    DECLARED,
+    FIXTURE_KEY,
+    WINDOW,
+    epoch_seconds,
+    events,
+    raw_signals,
+    signals,
+)
 from tidewire.sources.csv import missing_as_null, scan_csv
 from tidewire.spec import SEQUENCE, STAGES
 from tidewire.workspace import materialise
 
-WINDOW = 10
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -99,6 +107,11 @@ def q_verify_table(spark, sf_dir):
     return verify_signatures(signed, FIXTURE_KEY, 2)
 
 
+def q_verify_wide(spark, sf_dir):
+    """As with more digests than may be broadcast."""
+    return verify_signatures(signals(spark, sf_dir), FIXTURE_KEY, 1, broadcast_digests=0)
+
+
 def q_verification_summary(spark, sf_dir):
     flagged = verify_signatures(
         signals(spark, sf_dir), FIXTURE_KEY, 1, keep_flag=True, route="native"
@@ -165,7 +178,7 @@ def hourly_samples(spark, sf_dir):
 
 def q_scan_csv(spark, sf_dir):
     """Write as CSV, scan, cast, and number the clean rows in source order."""
-    scanned = scan_csv(spark, raw_csv(spark, sf_dir), source_order=True)
+    scanned = scan_csv(spark, live.raw_csv(spark, sf_dir), source_order=True)
     cast = ingest.cast_declared(scanned, DECLARED)
     clean = ingest.clean_rows(cast, DECLARED, keep=SOURCE_ORDER)
     return add_sequence(ingest.rename_internal(clean, DECLARED), SOURCE_ORDER)
@@ -192,6 +205,10 @@ def queries() -> dict[str, Query]:
             signals(s, d, once=True), FIXTURE_KEY, 1, route="native"
         ),
         "verify_signatures_table": q_verify_table,
+        "verify_signatures_udf": lambda s, d: verify_signatures(
+            signals(s, d), FIXTURE_KEY, 1, route="udf"
+        ),
+        "verify_signatures_wide": q_verify_wide,
         "verification_summary": q_verification_summary,
         "resequence": q_resequence,
         "find_gaps": lambda s, d: find_gaps(verified(s, d), SEQUENCE),
@@ -208,7 +225,15 @@ def queries() -> dict[str, Query]:
         "stage_health": q_stage_health,
         "stage_health_hidden": q_stage_health_hidden,
         "processed_summary": lambda s, d: health.pipeline_summary(verified(s, d)),
-        "end_to_end": q_end_to_end,
-        "stream_rolling_average": q_stream_rolling,
-        "progress_samples": q_progress_samples,
+        "end_to_end": live.q_end_to_end,
+        "end_to_end_quarantine": live.q_end_to_end_quarantine,
+        "end_to_end_gaps": live.q_end_to_end_gaps,
+        "end_to_end_feed": live.q_end_to_end_feed,
+        "write_processed": live.q_write_processed,
+        "write_feed": live.q_write_feed,
+        "stream_verify": live.q_stream_verify,
+        "stream_resequence": live.q_stream_resequence,
+        "stream_rolling_average": live.q_stream_rolling,
+        "stream_drain": live.q_stream_drain,
+        "progress_samples": live.q_progress_samples,
     }

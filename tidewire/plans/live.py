@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidewire.operators.health import stage_health
 from tidewire.operators.ordering import add_sequence
+from tidewire.operators.rolling import rolling_average
 from tidewire.operators.verify import verify_signatures
-from tidewire.plans.run import run_pipeline
-from tidewire.plans.views import CHARTS, DECLARED, FIXTURE_KEY, raw_signals, signals
+from tidewire.plans.run import Run, run_pipeline
+from tidewire.plans.views import CHARTS, DECLARED, FIXTURE_KEY, WINDOW, raw_signals, signals
+from tidewire.sources.sinks import read_feed, write_feed, write_processed
 from tidewire.spec import SEQUENCE, RunSpec
 from tidewire.streaming.progress import release_samples
-from tidewire.streaming.release import released_rows, stream_rolling_average
+from tidewire.streaming.release import (
+    Release,
+    drain,
+    released_rows,
+    stream_resequence,
+    stream_rolling_average,
+)
 from tidewire.workspace import new_path
 
 
@@ -24,52 +33,123 @@ def raw_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def q_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+def csv_run(spark: SparkSession, sf_dir: str) -> Run:
     spec = RunSpec(
         dataset_path=raw_csv(spark, sf_dir),
         columns=DECLARED,
         secret_key=FIXTURE_KEY,
         iterations=1,
-        window=10,
+        window=WINDOW,
         charts=CHARTS,
     )
-    return run_pipeline(spark, spec).processed
+    return run_pipeline(spark, spec)
+
+
+def q_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csv_run(spark, sf_dir).processed
+
+
+def q_end_to_end_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csv_run(spark, sf_dir).quarantine
+
+
+def q_end_to_end_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csv_run(spark, sf_dir).gaps
+
+
+def q_end_to_end_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csv_run(spark, sf_dir).feed
 
 
-def released_stream(spark: SparkSession, sf_dir: str, files: int = 5):
-    """Numbered signals written as files, then streamed: verified, put in order, averaged.
+def file_stream(df: DataFrame, files: int = 5) -> DataFrame:
+    """Write numbered rows as files and stream those, one per micro-batch.
 
     Rows are spread over the files by hash, so every file leaves gaps for later ones to fill.
     """
-    source = new_path(spark, "stream-source")
-    numbered = add_sequence(signals(spark, sf_dir), "event_id", unique=True).drop("event_id")
-    numbered.withColumn("half", F.pmod(F.xxhash64(F.col(SEQUENCE)), F.lit(files))).repartition(
-        files, "half"
-    ).drop("half").write.parquet(source)
-    stream = (
-        spark.readStream.schema(numbered.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    )
+    spark, source = df.sparkSession, new_path(df.sparkSession, "stream-source")
+    part = F.pmod(F.xxhash64(F.col(SEQUENCE)), F.lit(files))
+    df.withColumn("part", part).repartition(files, "part").drop("part").write.parquet(source)
+    reader = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(source)
+
+
+def numbered_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return add_sequence(signals(spark, sf_dir), "event_id", unique=True).drop("event_id")
+
+
+def ended(query: StreamingQuery) -> StreamingQuery:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return query
+
+
+def released_stream(spark: SparkSession, rows: DataFrame) -> tuple[StreamingQuery, Release]:
+    """Stream ``rows`` to their end: verified, put in order, averaged."""
     query, release = stream_rolling_average(
-        verify_signatures(stream, FIXTURE_KEY, 1, keep_flag=True),
+        verify_signatures(file_stream(rows), FIXTURE_KEY, 1, keep_flag=True),
         out=new_path(spark, "released"),
         state=new_path(spark, "state"),
         checkpoint=new_path(spark, "stream-checkpoint"),
         seq_col=SEQUENCE,
         value_col="metric_value",
-        window=10,
+        window=WINDOW,
         accepted_col="verified",
     )
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return query, release
+    return ended(query), release
 
 
 def q_stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, release = released_stream(spark, sf_dir)
+    _, release = released_stream(spark, numbered_signals(spark, sf_dir))
     return released_rows(spark, release).drop("verified")
 
 
+def q_stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some numbers never arrive: what the stream holds back at its end is drained across them."""
+    rows = numbered_signals(spark, sf_dir).filter(F.col(SEQUENCE) % 400 != 77)
+    query, release = released_stream(spark, rows)
+    last = query.lastProgress["batchId"]
+    return released_rows(spark, release).unionByName(drain(spark, release, last)).drop("verified")
+
+
+def q_stream_resequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    query, release = stream_resequence(
+        file_stream(numbered_signals(spark, sf_dir)),
+        out=new_path(spark, "released"),
+        state=new_path(spark, "state"),
+        checkpoint=new_path(spark, "stream-checkpoint"),
+        seq_col=SEQUENCE,
+    )
+    ended(query)
+    return released_rows(spark, release)
+
+
+def q_stream_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A streaming filter and the streaming sink for processed rows."""
+    stream = verify_signatures(file_stream(numbered_signals(spark, sf_dir)), FIXTURE_KEY, 1)
+    out = new_path(spark, "verified")
+    ended(write_processed(stream, out, checkpoint=new_path(spark, "stream-checkpoint")))
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def q_write_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed rows streamed into a chart feed that every micro-batch merges on."""
+    verified = verify_signatures(numbered_signals(spark, sf_dir), FIXTURE_KEY, 1, route="native")
+    processed = rolling_average(verified, SEQUENCE, "metric_value", WINDOW)
+    out = new_path(spark, "feed")
+    query = write_feed(
+        file_stream(processed), out, CHARTS, checkpoint=new_path(spark, "stream-checkpoint")
+    )
+    return read_feed(spark, out, ended(query).lastProgress["batchId"])
+
+
+def q_write_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    processed = csv_run(spark, sf_dir).processed
+    out = new_path(spark, "processed")
+    write_processed(processed, out, mode="overwrite")
+    return spark.read.schema(processed.schema).parquet(out)
+
+
 def q_progress_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, release = released_stream(spark, sf_dir)
+    _, release = released_stream(spark, numbered_signals(spark, sf_dir))
     return stage_health(release_samples(spark, release, capacity=10_000))

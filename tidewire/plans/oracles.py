@@ -75,17 +75,22 @@ r_processed as (select priority_index, c1 as entity_name, c2 as time_period, c3
     inner=_INNER, outer=_OUTER
 )
 
-_FEEDS = " union all ".join(
-    f"select '{chart_name(c)}' as chart, priority_index, cast(time_period as double) as x,"
-    f" cast(time_period as varchar) as x_text, {CHART_VALUE[c.type]} as y from processed"
-    for c in CHARTS
-)
-FEED = _processed(10) + f""",
-points as ({_FEEDS}),
+def _feed(table: str) -> str:
+    """The last 120 points per chart of the processed rows in ``table``."""
+    feeds = " union all ".join(
+        f"select '{chart_name(c)}' as chart, priority_index, cast(time_period as double) as x,"
+        f" cast(time_period as varchar) as x_text, {CHART_VALUE[c.type]} as y from {table}"
+        for c in CHARTS
+    )
+    return f""",
+points as ({feeds}),
 ranked as (select *, row_number() over (partition by chart order by priority_index desc) as r from points),
 feed as (select chart, row_number() over (partition by chart order by priority_index) - 1 as position,
   x, x_text, y from ranked where r <= 120)"""
 
+
+FEED = _processed(10) + _feed("processed")
+
 _SAMPLES = """counts as (select cast(floor(floor(epoch(ts)) / 3600) as bigint) as sample, count(*) as raw,
   count(*) filter (event_type = 'click') as intermediate,
   count(*) filter (event_type = 'error') as processed from events group by 1),
@@ -122,10 +127,24 @@ def oracle_sql() -> dict[str, str]:
         f"rolling_average_w{w}": f"with {_processed(w)} select {_PROCESSED_COLUMNS} from processed"
         for w in (1, 3, 10, 100)
     }
+    verified = f"with {SIGNALS} select {_SIGNAL_COLUMNS} from signals where digest = security_hash"
     renames = ", ".join(f"{c.source_name} as {c.internal_mapping}" for c in DECLARED)
     return rolling | {
         "flagship": rolling["rolling_average_w10"],
         "stream_rolling_average": rolling["rolling_average_w10"],
+        "stream_drain": f"""with {NUMBERED}, arrived as (select * from verified
+              where priority_index % 400 <> 77)
+            select {_VERIFIED_COLUMNS}, cast(printf('%.4f', favg(metric_value) over (order by
+              priority_index rows between 9 preceding and current row)) as double) as computed_metric
+            from arrived""",
+        "stream_resequence": f"with {NUMBERED} select {_VERIFIED_COLUMNS} from numbered",
+        "stream_verify": f"with {NUMBERED} select {_VERIFIED_COLUMNS} from verified",
+        "write_processed": f"with {RAW_PROCESSED} select {_PROCESSED_COLUMNS} from r_processed",
+        "write_feed": f"with {FEED} select * from feed",
+        "end_to_end_quarantine": f"with {RAW} select * from quarantine",
+        "end_to_end_feed": f"with {RAW_PROCESSED}{_feed('r_processed')} select * from feed",
+        "end_to_end_gaps": f"with {RAW_PROCESSED} select priority_index as missing from r_numbered "
+        "where digest <> c4",
         "cast_declared": f"with {RAW} select event_id, c1 as entity_name, c2 as time_period, "
         "c3 as metric_value, c4 as security_hash from clean",
         "quarantine_rows": f"with {RAW} select * from quarantine",
@@ -149,8 +168,9 @@ def oracle_sql() -> dict[str, str]:
             c1 as entity_name, c2 as time_period, c3 as metric_value, c4 as security_hash from clean""",
         "add_sequence": "select row_number() over (order by ts, event_id) as priority_index, "
         "ts, event_id, value from events",
-        "verify_signatures": f"with {SIGNALS} select {_SIGNAL_COLUMNS} from signals "
-        "where digest = security_hash",
+        "verify_signatures": verified,
+        "verify_signatures_udf": verified,
+        "verify_signatures_wide": verified,
         "verify_signatures_table": f"""with u as (select event_id, value, {_ONE} as u1 from events),
             uu as (select *, {_SECOND} as u2 from u),
             d as (select event_id, value as metric_value,

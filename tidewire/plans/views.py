@@ -12,6 +12,8 @@ from tidewire.spec import CHART_VALUE, Chart, Column
 # A public key made up for these views; it protects nothing.
 FIXTURE_KEY = "fixture_key"
 
+WINDOW = 10
+
 DECLARED = (
     Column("entity", "entity_name", "string"),
     Column("epoch", "time_period", "integer"),
