@@ -117,16 +117,21 @@ def test_source_order_over_files_and_splits(spark, tmp_path, split):
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
         rows = cast(spark, path)
-        clean = add_sequence(ingest.clean_rows(rows, COLUMNS, keep=SOURCE_ORDER), SOURCE_ORDER)
-        kept = number_kept(rows, ~ingest.all_ok(COLUMNS), "row_index", start=0)
+        good = ingest.clean_rows(rows, COLUMNS, keep=SOURCE_ORDER)
+        clean = add_sequence(good, SOURCE_ORDER, keep_order=True)
+        kept = number_kept(rows, ~ingest.all_ok(COLUMNS), clean, "row_index", start=0)
         names = [r.Name for r in clean.orderBy("priority_index").collect()]
         bad = [(r.row_index, r.Name) for r in kept.orderBy("row_index").collect()]
         shuffled = ingest.clean_rows(rows, COLUMNS, keep=SOURCE_ORDER).repartition(7)
         again = add_sequence(shuffled, SOURCE_ORDER)
         assert [r.Name for r in again.orderBy("priority_index").collect()] == names
+        assert names == [f"s{i}" for i in range(12000) if i % 11 != 4]
+        # another way of splitting the same files in between does not matter
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+        mixed = number_kept(rows, ~ingest.all_ok(COLUMNS), clean, "row_index", start=0)
+        assert [(r.row_index, r.Name) for r in mixed.orderBy("row_index").collect()] == bad
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert names == [f"s{i}" for i in range(12000) if i % 11 != 4]
     assert bad == [(i, f"s{i}") for i in range(12000) if i % 11 == 4]
     numbers = clean.agg(F.min("priority_index"), F.max("priority_index"), F.countDistinct("priority_index"))
     assert tuple(numbers.first()) == (1, len(names), len(names))

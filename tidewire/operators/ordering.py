@@ -27,10 +27,12 @@ def add_sequence(
     name: str = "priority_index",
     start: int = 1,
     unique: bool = False,
+    keep_order: bool = False,
 ) -> DataFrame:
     """Put a dense number ``start..`` in ``order_by`` order in front of each row, and store that.
 
-    ``order_by=SOURCE_ORDER`` numbers a scanned file set in its own order and needs no shuffle.
+    ``order_by=SOURCE_ORDER`` numbers a scanned file set in its own order and needs no shuffle; the
+    order columns are dropped unless ``keep_order``.
     One integer key declared ``unique`` is cut into stretches, which are counted and then sorted:
     one shuffle. Any other order is sorted across the cluster, which reads ``df`` once more to
     sample it. There, unless the order is ``unique``, ties are split by a hash of the row and by
@@ -40,7 +42,8 @@ def add_sequence(
     if name in df.columns:
         raise ValueError(f"column {name!r} exists already")
     if tuple(order) == SOURCE_ORDER:
-        return _number_by_split(df, name, start)
+        numbered = _number_by_split(df, name, start)
+        return numbered if keep_order else numbered.drop(*SOURCE_ORDER)
     if unique and len(order) == 1 and df.schema[order[0]].dataType in (T.LongType(), T.IntegerType()):
         numbered = _number_by_stretch(df, order[0], name, start)
         if numbered is not None:
@@ -76,7 +79,7 @@ def _number_by_sort(
         "ordered",
     )
     part = F.shiftright("__place", _LOCAL_BITS)
-    local = F.col("__place").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    local = _in_partition("__place")
     counts = stored.groupBy(part.alias("__part")).agg(F.count("*").alias("__rows"))
     # as many rows as the sort had partitions, whatever the data
     offsets = counts.select("__part", _sum_before("__rows", "__part").alias("__before"))
@@ -87,6 +90,11 @@ def _number_by_sort(
     )
 
 
+def _in_partition(row_id: str) -> Column:
+    """The place of a row in its partition, from its ``monotonically_increasing_id``."""
+    return F.col(row_id).bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+
+
 def _sum_before(rows: str, *order: str):
     before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(rows).over(before), F.lit(0))
@@ -107,45 +115,53 @@ def _number_by_split(df: DataFrame, name: str, start: int) -> DataFrame:
     whole = F.col("__final") - F.col("__first") + 1 == F.col("__rows")
     count, broken = splits.agg(F.count("*"), F.count_if(~whole)).first()
     if broken:  # the rows were shuffled since the scan: their own order columns still hold
-        numbered = _number_by_sort(stored.drop("__place"), list(SOURCE_ORDER), name, start, True)
-        return numbered.drop(*SOURCE_ORDER)
+        return _number_by_sort(stored.drop("__place"), list(SOURCE_ORDER), name, start, True)
     offsets = splits.select(
         file, block, "__first", _sum_before("__rows", file, block).alias("__before")
     )
     if count <= BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
     number = F.col("__before") + F.col("__place") - F.col("__first") + F.lit(start)
-    kept = [c for c in df.columns if c not in SOURCE_ORDER]
-    return stored.join(offsets, [file, block]).select(number.alias(name), *kept)
+    return stored.join(offsets, [file, block]).select(number.alias(name), *df.columns)
 
 
-def number_kept(
-    df: DataFrame, keep: Column, name: str, start: int = 1
-) -> DataFrame:
+def number_kept(df: DataFrame, keep: Column, rest: DataFrame, name: str, start: int = 1) -> DataFrame:
     """Rows of a scan where ``keep`` holds, numbered in source order among *all* rows of the scan.
 
-    Only the kept rows are stored; of the others each split tells its count. Both come from one
-    scan definition read twice, so each kept row is checked against its split, and if any does not
-    fit (the files were split another way), all rows are numbered instead.
+    ``rest`` is the stored table of the scan's other rows, with its ``SOURCE_ORDER`` columns. Each
+    row is in one of the two, so the line numbers of both tell how many rows each split has. They
+    come from two reads of the same files; if those were split in different ways, the line numbers of
+    a split do not run from first to last, and all rows are numbered instead.
     """
-    file, block, _ = SOURCE_ORDER
-    placed = df.withColumn("__place", F.monotonically_increasing_id())
-    kept = materialise(placed.filter(keep), "kept")
+    file, block, line = SOURCE_ORDER
+    kept = materialise(df.filter(keep), "kept")
     splits = materialise(
-        placed.groupBy(file, block)
-        .agg(F.min("__place").alias("__first"), F.count("*").alias("__rows"))
-        .select("*", _sum_before("__rows", file, block).alias("__before")),
+        kept.select(*SOURCE_ORDER)
+        .unionByName(rest.select(*SOURCE_ORDER))
+        .groupBy(file, block)
+        .agg(
+            F.min(line).alias("__first"),
+            F.max(line).alias("__final"),
+            F.count("*").alias("__rows"),
+            F.try_sum(_in_partition(line)).alias("__sum"),
+        ),
         "splits",
     )
-    if splits.count() <= BROADCAST_SPLITS:
-        splits = F.broadcast(splits)
-    local = F.col("__place") - F.col("__first")
-    joined = kept.join(splits, [file, block], "left")
-    fits = F.coalesce((local >= 0) & (local < F.col("__rows")), F.lit(False))
-    if not joined.filter(~fits).isEmpty():
+    # as many numbers as from first to last, adding up to as much
+    ends = _in_partition("__first") + _in_partition("__final")
+    adds_up = F.col("__sum").cast("decimal(38,0)") * 2 == ends.cast("decimal(38,0)") * F.col("__rows")
+    whole = (F.col("__final") - F.col("__first") + 1 == F.col("__rows")) & F.coalesce(adds_up, F.lit(True))
+    count, broken = splits.agg(F.count("*"), F.count_if(~whole)).first()
+    if broken:
         return add_sequence(df, SOURCE_ORDER, name, start).filter(keep)
+    offsets = splits.select(
+        file, block, "__first", _sum_before("__rows", file, block).alias("__before")
+    )
+    if count <= BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
+    number = F.col("__before") + F.col(line) - F.col("__first") + F.lit(start)
     others = [c for c in df.columns if c not in SOURCE_ORDER]
-    return joined.select((F.col("__before") + local + F.lit(start)).alias(name), *others)
+    return kept.join(offsets, [file, block]).select(number.alias(name), *others)
 
 
 def resequence(df: DataFrame, seq_col: str) -> DataFrame:

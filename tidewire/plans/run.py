@@ -59,7 +59,9 @@ def run_pipeline(spark: SparkSession, spec: RunSpec) -> Run:
         F.count_if("__overlong").alias("overlong"),
     )
     clean = ingest.clean_rows(counted, spec.columns, keep=SOURCE_ORDER)
-    numbered = add_sequence(ingest.rename_internal(clean, spec.columns), SOURCE_ORDER, SEQUENCE)
+    clean = ingest.rename_internal(clean, spec.columns)
+    placed = add_sequence(clean, SOURCE_ORDER, SEQUENCE, keep_order=True)
+    numbered = placed.drop(*SOURCE_ORDER)
     loaded, passed = seen.get["loaded"], seen.get["passed"]
     if seen.get["overlong"]:
         return _nothing(spark, spec, errors.unionByName(overlong_error(scanned)))
@@ -79,7 +81,7 @@ def run_pipeline(spark: SparkSession, spec: RunSpec) -> Run:
     quarantine = small_frame(spark, [], QUARANTINE)
     if passed < loaded:
         quarantine = ingest.quarantine_rows(
-            number_kept(cast, ~good, "row_index", start=0), spec.columns
+            number_kept(cast, ~good, placed, "row_index", start=0), spec.columns
         )
     counts = small_frame(spark, [(loaded, passed, loaded - passed)], COUNTS)
     return Run(
