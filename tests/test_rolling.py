@@ -82,6 +82,45 @@ def test_special_values(spark):
     assert repr(out) == repr([1.0, inf, inf, -inf, -inf, 5e299, nan, nan, 4.5])
 
 
+@pytest.mark.parametrize("window", [65, 128, 1000, 4096])
+@pytest.mark.parametrize("scale", [1e-9, 1.0, 1e6])
+def test_long_windows(spark, window, scale):
+    """Binary fractions, of which many means are rounding ties, and values without a short text."""
+    rnd = random.Random(window)
+    rows = [(i, scale * (rnd.randrange(-800, 800) / 8 if i % 3 else rnd.uniform(-9, 9))) for i in range(9000)]
+    check(spark, rows, window, bucket_width=500)
+
+
+@pytest.mark.parametrize("window", [10, 100])
+def test_huge_values_are_added_plainly(spark, window):
+    """Beyond 2**42 sums are not exact any more, but as good as plain ones."""
+    rnd = random.Random(window)
+    rows = [(i, 1e14 * rnd.uniform(1, 9)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "seq long, v double")
+    want = by_hand(rows, window)
+    for r in rolling_average(df, "seq", "v", window).collect():
+        assert r.computed_metric == pytest.approx(want[r.seq], rel=1e-13)
+
+
+def test_long_windows_of_special_values(spark):
+    rows = [(i, float(i)) for i in range(300)]
+    rows[100] = (100, float("inf"))
+    df = spark.createDataFrame(rows, "seq long, v double")
+    out = [r.computed_metric for r in rolling_average(df, "seq", "v", 80).orderBy("seq").collect()]
+    assert out[99] == round(sum(range(20, 100)) / 80, 4) and out[100] == out[179] == float("inf")
+    assert out[180] == round(sum(range(101, 181)) / 80, 4)
+
+
+def test_missing_values_take_a_place_but_do_not_count(spark):
+    rows = [(i, None if i % 4 == 1 else float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "seq long, v double")
+    for window in (3, 100):
+        got = [r.computed_metric for r in rolling_average(df, "seq", "v", window).orderBy("seq").collect()]
+        for i in range(400):
+            frame = [v for _, v in rows[max(0, i - window + 1) : i + 1] if v is not None]
+            assert got[i] == (round(sum(frame) / len(frame), 4) if frame else 0.0)
+
+
 def test_by_group_with_a_hot_group(spark):
     rnd = random.Random(9)
     n = 12000

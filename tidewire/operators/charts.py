@@ -23,7 +23,8 @@ def chart_points(
     """The last ``n`` points of each chart, with their sequence numbers.
 
     A chart whose x or y column is absent gets no points. Charts on the same columns share one
-    top-n, in which each task keeps only its own last ``n`` rows.
+    top-n, in which each task keeps only its own last ``n`` rows. ``df`` is read once per pair of
+    columns, so an expensive input should be stored first.
     """
     whole_number("n", n)
     shared: dict[tuple[str, str], list[Chart]] = {}

@@ -16,6 +16,10 @@ from tidewire.workspace import small_frame
 
 ERRORS = "severity string, code string, column string, message string"
 
+# Message texts.
+MISSING = "Column '{}' declared in config schema_mapping but missing from CSV."
+EXTRA = "Ignoring extra CSV column: '{}'"
+
 # Prefix lengths of the status screen.
 RAW_VALUE_CHARS, REASON_CHARS, MESSAGE_CHARS = 18, 40, 90
 
@@ -38,13 +42,13 @@ def check_columns(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
             "FATAL",
             "MISSING_COLUMN",
             name,
-            f"Column '{name}' declared in config schema_mapping but missing from CSV.",
+            MISSING.format(name),
         )
         for name in declared
         if name not in df.columns
     ]
     extra = [
-        ("INFO", "EXTRA_COLUMN", name, f"Ignoring extra CSV column: '{name}'")
+        ("INFO", "EXTRA_COLUMN", name, EXTRA.format(name))
         for name in sorted(set(df.columns) - set(declared))
     ]
     return errors_frame(df.sparkSession, missing + extra)
@@ -97,6 +101,7 @@ def quarantine_rows(
         return F.struct(
             F.lit(c.source_name).alias("column"),
             raw.alias("raw_value"),
+            # fixed value: the message text
             F.concat(
                 F.lit("Cannot cast '"),
                 F.coalesce(raw, F.lit("nan")),

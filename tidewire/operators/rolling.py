@@ -12,6 +12,10 @@ from tidewire.operators.ordering import BUCKET_WIDTH, Buckets, _fit, add_sequenc
 from tidewire.spec import AVERAGE, whole_number
 
 
+# Windows from here on are worked out from running sums.
+LONG_WINDOW = 64
+
+
 def _exact_parts(value: Column) -> tuple[Column, Column]:
     """``value`` as a part on a grid of 1/1024, where sums of usual sizes are exact, and the rest.
 
@@ -42,7 +46,7 @@ def rolling_average(
 
     Rows are cut into bounded stretches of the sequence, and the end of each stretch is copied into
     the next one, which gives every window its full frame within one task: one shuffle, no
-    one-partition window, and no task holds a whole group. ``df`` is read up to three times, so an
+    one-partition window, and no task holds a whole group. ``df`` is read up to four times, so an
     expensive input should be stored first.
     """
     whole_number("window", window)
@@ -60,15 +64,51 @@ def rolling_average(
         return df.withColumn(name, F.lit(0.0))
     home = cut.bucket()
     copies = F.when(cut.in_zone(), F.array(home, home + 1)).otherwise(F.array(home))
-    frame = (
-        Window.partitionBy("__bucket", *groups).orderBy(cut.key).rowsBetween(-carry, Window.currentRow)
-    )
-    coarse, rest = _exact_parts(F.col(value_col).cast("double"))
-    total = F.sum(coarse).over(frame) + F.sum(rest).over(frame)
+    rows = cut.rows.withColumn("__bucket", F.explode(copies))
+    order = Window.partitionBy("__bucket", *groups).orderBy(cut.key)
+    largest = None
+    if window > LONG_WINDOW:
+        largest = df.agg(F.max(F.abs(F.col(value_col).cast("double")))).first()[0]
+    by_difference = None if largest is None else _mean_by_difference(largest, cut.width + cut.zone)
+    mean = by_difference or _mean_by_frame
+    averaged = mean(rows, order, F.col(value_col).cast("double"), window, name)
     return (
-        cut.rows.withColumn("__bucket", F.explode(copies))
-        .withColumn(name, F.coalesce(total / F.count(value_col).over(frame), F.lit(0.0)))
-        .filter(F.col("__bucket") == home)
-        .withColumn(name, round_half_even(F.col(name), digits))
+        averaged.filter(F.col("__bucket") == home)
+        .withColumn(name, round_half_even(F.coalesce(name, F.lit(0.0)), digits))
         .select(*df.columns, name)
     )
+
+
+def _mean_by_frame(rows: DataFrame, order, value: Column, window: int, name: str) -> DataFrame:
+    """Add up each row's frame. Right for all values; the work grows with the window."""
+    frame = order.rowsBetween(1 - window, Window.currentRow)
+    coarse, rest = _exact_parts(value)
+    total = F.sum(coarse).over(frame) + F.sum(rest).over(frame)
+    return rows.withColumn(name, total / F.count(value).over(frame))
+
+
+def _mean_by_difference(largest: float, most_rows: int):
+    """Take running sums ``window`` rows apart. The work does not grow with the window.
+
+    The sums are whole numbers, of 1/1024ths and of the finest fractions that cannot overflow, so
+    differences are exact. ``None`` if the values are too large for that, or not numbers.
+    """
+    bits = most_rows.bit_length()
+    if not largest < 2.0 ** (62 - 10 - bits):
+        return None
+    fine = float(2 ** min(52, 72 - bits))
+
+    def mean(rows: DataFrame, order, value: Column, window: int, name: str) -> DataFrame:
+        upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        coarse, rest = _exact_parts(value)
+        running = {
+            "__coarse": F.sum((coarse * 1024.0).cast("bigint")),
+            "__fine": F.sum(F.rint(rest * fine).cast("bigint")),
+            "__count": F.count(value),
+        }
+        summed = rows.withColumns({c: F.coalesce(e.over(upto), F.lit(0)) for c, e in running.items()})
+        coarse, rest, count = (F.col(c) - F.lag(c, window, 0).over(order) for c in running)
+        total = coarse.cast("double") / 1024.0 + rest.cast("double") / fine
+        return summed.withColumn(name, F.when(count > 0, total / count))
+
+    return mean
