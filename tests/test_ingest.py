@@ -102,6 +102,15 @@ def test_no_clean_rows(spark, csv):
     assert numbered.count() == 0 and numbered.columns == ["priority_index", "Name", "When", "Value"]
 
 
+def test_files_of_a_set_must_share_their_header(spark, tmp_path):
+    (tmp_path / "set").mkdir()
+    (tmp_path / "set" / "a.csv").write_text("Name,When,Value\na,1,2\n")
+    (tmp_path / "set" / "b.csv").write_text("When,Name,Value\n3,b,4\n")
+    for ragged in (False, True):
+        with pytest.raises(Exception, match="header"):
+            scan_csv(spark, str(tmp_path / "set"), ragged=ragged).collect()
+
+
 def _file_set(tmp_path):
     lines = [f"s{i},{'bad' if i % 11 == 4 else i},{i / 7}" for i in range(12000)]
     (tmp_path / "set").mkdir()
@@ -207,7 +216,9 @@ def _config():
 
 
 def test_config_is_read():
-    spec = RunSpec.from_mapping(_config())
+    config = _config()
+    config["visualizations"]["data_charts"][0]["note"] = "more than needed"
+    spec = RunSpec.from_mapping(config)
     assert (spec.window, spec.iterations, spec.queue_max_size) == (10, 5, 50)
     assert spec.charts == [Chart("real_time_bar_chart_values", "t", "x", "y")]
     assert "hidden" not in repr(spec)

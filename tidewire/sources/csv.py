@@ -20,6 +20,8 @@ def _reader(reader, multiline: bool):
     return (
         reader.option("header", True)
         .option("escape", '"')
+        # files of a set must agree on the header, not only on the number of columns
+        .option("enforceSchema", False)
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 # Declared types and the Spark types behind them.
 DATA_TYPES = {"string": "string", "integer": "bigint", "float": "double"}
@@ -129,11 +129,11 @@ class RunSpec:
 
         columns = part(
             "schema_mapping",
-            lambda: check_declared([Column(**c) for c in config["schema_mapping"]["columns"]]),
+            lambda: check_declared([_build(Column, c) for c in config["schema_mapping"]["columns"]]),
         )
         charts = part(
             "visualizations.data_charts",
-            lambda: [Chart(**c) for c in config["visualizations"]["data_charts"]],
+            lambda: [_build(Chart, c) for c in config["visualizations"]["data_charts"]],
         )
         if charts == []:
             problems.append("[visualizations.data_charts] must be a non-empty list")
@@ -166,6 +166,11 @@ class RunSpec:
         return spec
 
 
+def _build(kind, entry: Mapping):
+    """Entries may hold more keys than are needed."""
+    return kind(**{f.name: entry[f.name] for f in fields(kind)})
+
+
 def _delay(value) -> float:
     """Pacing has no meaning for a Spark job; the rule is kept so that bad configs are refused."""
     if isinstance(value, bool) or not isinstance(value, (int, float)) or value < 0:
