@@ -35,9 +35,9 @@ def test_rolling_shuffles_once(spark):
 
 
 def test_scans_read_only_what_is_needed(spark):
-    assert "ReadSchema: struct<event_id:bigint,value:double>" in plan(
-        verify_signatures(events(spark, SF).selectExpr("event_id", "value metric_value", "'x' security_hash"), "k", 1, route="native")
-    )
+    signed = events(spark, SF).selectExpr("event_id", "value metric_value", "'x' security_hash")
+    text = plan(verify_signatures(signed, "k", 1, route="native"))
+    assert "ReadSchema: struct<event_id:bigint,value:double>" in text
     text = plan(find_gaps(numbered(spark), "n", 1000))
     assert "ReadSchema: struct<n:bigint>" in text
 
@@ -57,7 +57,9 @@ def test_only_one_row_per_stretch_comes_together(spark):
 
 
 def test_charts_keep_a_bounded_top(spark):
-    df = numbered(spark).selectExpr("n priority_index", "event_id time_period", "value metric_value", "value computed_metric")
+    df = numbered(spark).selectExpr(
+        "n priority_index", "event_id time_period", "value metric_value", "value computed_metric"
+    )
     text = plan(chart_feed(df, CHARTS))
     assert count(text, "TakeOrderedAndProject") == 2 and count(text, r"Scan parquet") == 2
 

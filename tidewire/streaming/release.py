@@ -36,8 +36,8 @@ _NOTES = "kind string, seq bigint, value double"
 class Release:
     """Where and how a sequence is released. ``accepted_col`` marks rows that only fill their place.
 
-    ``gap_timeout`` seconds after a later row came in, a gap below it is passed; ``None`` waits for
-    ever. The clock is read once per micro-batch.
+    ``gap_timeout`` seconds after a later row came in, a gap below it is passed (``GAP_TIMEOUT`` is the
+    usual time); ``None`` waits for ever. The clock is read once per micro-batch.
     """
 
     out: str
