@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire.llm.bpe import decode_ids, encode_texts
 from tidewire.llm.common import table
 from tidewire.llm.pii import KINDS as PRIVATE, find_private
 from tidewire.llm.secrets import scan_secrets
@@ -34,10 +36,23 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(scan_secrets(docs), "secrets", ("assign", "access", "hex"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
+    decoded = decode_ids(encoded, vocabulary)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_pii": op2_pii,
         "op6_secrets": op6_secrets,
+        "op9_bpe": op9_bpe,
     }
 
 
