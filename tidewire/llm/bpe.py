@@ -43,11 +43,11 @@ PLAIN_WORDS = (
 _UNCOMMON = re.compile("[^\x00-\x1b\x20-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]")
 
 #: Bytes of text encoded at once: the more, the more prefixes are shared.
-PIECE = 8 << 20
+PIECE = 3 << 20
 
 #: Words, and pairs of tokens, kept per worker.
-STORE = 600_000
-PAIRS = 400_000
+STORE = 300_000
+PAIRS = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -189,7 +189,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self._places = _Places()
-        self._pool, self._lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self._pool, self._lengths = np.zeros(0, np.int32), np.zeros(0, np.int32)
         for text in self._vocabulary.added:
             self._places[text]
         self._learn()
@@ -202,7 +202,7 @@ class Encoder:
         for (_, place), run in zip(coded, self._vocabulary.encode_words(w for w, _ in coded)):
             ids[place] = run
         self._pool = np.concatenate([self._pool, np.array([i for run in ids for i in run], np.int32)])
-        self._lengths = np.concatenate([self._lengths, np.array([len(run) for run in ids], np.int64)])
+        self._lengths = np.concatenate([self._lengths, np.array([len(run) for run in ids], np.int32)])
         self._places.fresh = []
 
     def words(self, text: str) -> list[str]:
@@ -219,10 +219,11 @@ class Encoder:
             self._forget()
         cut = [self.words(text) for text in texts]
         counts = np.array([len(words) for words in cut], np.int64)
-        words = np.fromiter(map(self._places.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        words = np.fromiter(map(self._places.__getitem__, chain.from_iterable(cut)), np.int32, int(counts.sum()))
+        del cut
         if self._places.fresh:
             self._learn()
-        runs = self._lengths[words]
+        runs = self._lengths[words].astype(np.int64)
         ids = gather_runs(self._pool, starts_of(self._lengths)[:-1][words], runs)
         return ids, starts_of(runs)[starts_of(counts)]
 
