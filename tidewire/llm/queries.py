@@ -12,7 +12,9 @@ from tidewire.llm.bpe import decode_ids, encode_texts
 from tidewire.llm.common import table
 from tidewire.llm.pii import KINDS as PRIVATE, find_private
 from tidewire.llm.secrets import scan_secrets
+from tidewire.llm.token_files import read_token_files, write_token_files
 from tidewire.llm.spans import base_only, count_of, joined
+from tidewire.workspace import new_path
 
 
 def _digest(docs: DataFrame, spans: str, kinds: tuple[str, ...]) -> DataFrame:
@@ -36,6 +38,18 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(scan_secrets(docs), "secrets", ("assign", "access", "hex"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    write_token_files(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_token_files(spark, path).select(
+        F.col("id").alias("doc_id"),
+        "start",
+        F.col("n_ids").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     encoded = encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
@@ -52,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_pii": op2_pii,
         "op6_secrets": op6_secrets,
+        "op8_token_files": op8_token_files,
         "op9_bpe": op9_bpe,
     }
 
