@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.llm.bpe import decode_ids, encode_texts
-from tidewire.llm.common import table
+from tidewire.llm.common import remainder, table
+from tidewire.llm.language import detect_languages, learn_languages
 from tidewire.llm.pii import KINDS as PRIVATE, find_private
 from tidewire.llm.secrets import scan_secrets
 from tidewire.llm.token_files import read_token_files, write_token_files
@@ -62,12 +63,21 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = learn_languages(docs.filter(~held_out).select("text", "lang"))
+    judged = detect_languages(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return judged.select("doc_id", "held_out", "lang_pred", "score", "languages")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_pii": op2_pii,
         "op6_secrets": op6_secrets,
         "op8_token_files": op8_token_files,
         "op9_bpe": op9_bpe,
+        "op10_language": op10_language,
     }
 
 
