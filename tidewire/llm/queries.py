@@ -12,6 +12,7 @@ from tidewire.llm.bpe import decode_ids, encode_texts
 from tidewire.llm.common import remainder, table
 from tidewire.llm.language import detect_languages, learn_languages
 from tidewire.llm.pii import KINDS as PRIVATE, find_private
+from tidewire.llm.quality import learn_quality, score_quality
 from tidewire.llm.secrets import scan_secrets
 from tidewire.llm.token_files import read_token_files, write_token_files
 from tidewire.llm.spans import base_only, count_of, joined
@@ -29,6 +30,17 @@ def _digest(docs: DataFrame, spans: str, kinds: tuple[str, ...]) -> DataFrame:
     )
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "quality")
+    model = learn_quality(docs, labels)
+    scored = score_quality(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return scored.select(
+        "doc_id", "held_out", "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return _digest(find_private(docs), "private", PRIVATE)
@@ -73,6 +85,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op2_pii": op2_pii,
         "op6_secrets": op6_secrets,
         "op8_token_files": op8_token_files,
