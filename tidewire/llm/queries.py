@@ -14,6 +14,7 @@ from tidewire.llm.language import detect_languages, learn_languages
 from tidewire.llm.pii import KINDS as PRIVATE, find_private
 from tidewire.llm.quality import learn_quality, score_quality
 from tidewire.llm.secrets import scan_secrets
+from tidewire.llm.topk import exact_top_k
 from tidewire.llm.token_files import read_token_files, write_token_files
 from tidewire.llm.spans import base_only, count_of, joined
 from tidewire.workspace import new_path
@@ -46,6 +47,27 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(find_private(docs), "private", PRIVATE)
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return exact_top_k(rows, rows.filter(F.col("vec_id") % 50 == 0), 5)
+
+
+OP3_SQL = """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::double) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from whole q join whole c on q.vec_id <> c.vec_id
+  where q.vec_id % 50 = 0),
+ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return _digest(scan_secrets(docs), "secrets", ("assign", "access", "hex"))
@@ -87,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_pii": op2_pii,
+        "op3_topk": op3_topk,
         "op6_secrets": op6_secrets,
         "op8_token_files": op8_token_files,
         "op9_bpe": op9_bpe,
@@ -95,4 +118,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_topk": OP3_SQL}
