@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.bpe import decode_ids, encode_texts
 from tidewire.llm.common import remainder, table
+from tidewire.llm.jaccard import jaccard_components
 from tidewire.llm.language import detect_languages, learn_languages
 from tidewire.llm.pii import KINDS as PRIVATE, find_private
 from tidewire.llm.quality import learn_quality, score_quality
@@ -68,6 +69,38 @@ select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_components(docs, size=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+OP4_SQL = r"""
+with recursive words as materialized (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingles as materialized (
+  select distinct doc_id, case when len(w) < 4 then array_to_string(w, ' ')
+    else array_to_string(w[i : i + 3], ' ') end as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) as i from words where len(w) > 0)),
+sizes as materialized (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select x.doc_id as a, y.doc_id as b, count(*) as c
+  from shingles x join shingles y on x.s = y.s and x.doc_id < y.doc_id group by all),
+links as materialized (
+  select a, b from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+  where 100 * c >= 85 * (p.n + q.n - c)),
+edges as materialized (select a, b from links union all select b, a from links),
+reach(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union
+  select r.doc_id, e.b from reach r join edges e on r.other = e.a)
+select d.doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(other) as component_id
+from documents d join reach using (doc_id) left join sizes using (doc_id) group by d.doc_id
+"""
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return _digest(scan_secrets(docs), "secrets", ("assign", "access", "hex"))
@@ -110,6 +143,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op2_pii": op2_pii,
         "op3_topk": op3_topk,
+        "op4_jaccard": op4_jaccard,
         "op6_secrets": op6_secrets,
         "op8_token_files": op8_token_files,
         "op9_bpe": op9_bpe,
@@ -118,4 +152,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": OP3_SQL}
+    return {"op3_topk": OP3_SQL, "op4_jaccard": OP4_SQL}
