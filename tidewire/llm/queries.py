@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.bpe import decode_ids, encode_texts
 from tidewire.llm.common import remainder, table
+from tidewire.llm.decontaminate import find_leaks
 from tidewire.llm.jaccard import jaccard_components
 from tidewire.llm.language import detect_languages, learn_languages
 from tidewire.llm.pii import KINDS as PRIVATE, find_private
@@ -101,6 +102,14 @@ from documents d join reach using (doc_id) left join sizes using (doc_id) group
 """
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id", F.explode("leaks").alias("leak"))
+    return found.select(
+        "doc_id", F.col("leak.item").cast("bigint").alias("item_id"), "leak.distance", "leak.start", "leak.end"
+    )
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return _digest(scan_secrets(docs), "secrets", ("assign", "access", "hex"))
@@ -144,6 +153,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_pii": op2_pii,
         "op3_topk": op3_topk,
         "op4_jaccard": op4_jaccard,
+        "op5_decontaminate": op5_decontaminate,
         "op6_secrets": op6_secrets,
         "op8_token_files": op8_token_files,
         "op9_bpe": op9_bpe,
