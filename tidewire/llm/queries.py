@@ -14,6 +14,7 @@ from tidewire.llm.decontaminate import find_leaks
 from tidewire.llm.jaccard import jaccard_components
 from tidewire.llm.language import detect_languages, learn_languages
 from tidewire.llm.pii import KINDS as PRIVATE, find_private
+from tidewire.llm.ppm import score_texts
 from tidewire.llm.quality import learn_quality, score_quality
 from tidewire.llm.secrets import scan_secrets
 from tidewire.llm.topk import exact_top_k
@@ -115,6 +116,15 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(scan_secrets(docs), "secrets", ("assign", "access", "hex"))
 
 
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (~held_out).alias("learn"))
+    scored = score_texts(docs, "learn")
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -155,6 +165,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_jaccard": op4_jaccard,
         "op5_decontaminate": op5_decontaminate,
         "op6_secrets": op6_secrets,
+        "op7_ppm": op7_ppm,
         "op8_token_files": op8_token_files,
         "op9_bpe": op9_bpe,
         "op10_language": op10_language,
