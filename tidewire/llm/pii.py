@@ -117,19 +117,22 @@ _CHAIN_PART = re.compile(rf"\b(?:(plus)|(double|triple)\s+({_NUMBER})|({_NUMBER}
 _OPEN, _CLOSE = r"\s*[\[({<]\s*", r"\s*[\])}>]\s*"
 _LABEL = r"[A-Za-z0-9-]+"
 _DOT_SIGN = rf"{_OPEN}(?:{_POINT}|\.){_CLOSE}|(?<=[A-Za-z0-9])\s+(?:dot|punto)\s+(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])\s\.\s(?=[a-z0-9])"
+# Ends of host names that are told from words of a sentence.
+_ENDS = "com|net|org|edu|gov|mil|info|biz|io|co|ai|app|dev|uk|de|fr|es|eu|nl|ch|ca|au|jp|cn|br|ru|pl|se|test|example|invalid"
 _SIGN = re.compile(
     rf"(?P<at>{_OPEN}(?:at|arroba|@){_CLOSE}"  # in brackets
     rf"|(?<=[A-Za-z0-9])\s+@\s*(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\s+(?=[a-z0-9])"  # spaced out
-    rf"|(?<=[A-Za-z0-9])\s+(?:at|arroba)\s+(?={_LABEL}(?:{_DOT_SIGN})))"  # words for both signs
+    rf"|(?<=[A-Za-z0-9])\s+(?:at|arroba)\s+"  # words for both signs
+    rf"(?={_LABEL}(?:(?:\.|{_DOT_SIGN}){_LABEL})*?(?:{_DOT_SIGN})(?:{_ENDS})\b))"
     rf"|(?P<named>(?:(?<=[0-9])|(?<=[._+-][A-Za-z]{{2}})|(?<=[._+-][A-Za-z]{{4}}))\s+at\s+"
-    rf"(?=(?:{_LABEL}\.)+(?:com|org|net|edu|gov|info|io|co|uk|de|fr|es|eu)\b))"  # an odd name before
+    rf"(?=(?:{_LABEL}\.)+(?:{_ENDS})\b))"  # an odd name before
     rf"|(?P<dot>{_DOT_SIGN})",
     re.I,
 )
 # what every match of the above has, told fast
 _SIGN_HINT = re.compile(
     rf"[ \t-\r@\[({{<](?:\s*(?:at|arroba|@|{_POINT}|\.)\s*[\])}}>]|(?:dot|punto|\.)\s|@|\s+@"
-    rf"|(?<=@)\s|(?:dot|punto)\s|at\s+(?:{_LABEL}\.)+(?:com|org|net|edu|gov|info|io|co|uk|de|fr|es|eu)\b)",
+    rf"|(?<=@)\s|(?:dot|punto)\s|at\s+(?:{_LABEL}\.)+(?:{_ENDS})\b)",
     re.I,
 )
 _LETTER_DIGIT = re.compile(r"([0-9]\.?)[OoIl]+(?=[0-9.])")
