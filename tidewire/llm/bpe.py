@@ -24,6 +24,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
@@ -274,7 +275,7 @@ def decode_ids(docs: DataFrame, vocabulary_path: str, ids_col: str = "ids", out_
 
 def _decoded(vocabulary: Vocabulary, lists: pa.Array) -> pa.Array:
     flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-    counts = np.array([len(x) if x is not None else 0 for x in lists], np.int64)
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     flat[(flat < 0) | (flat >= len(vocabulary.lengths) - 1)] = -1
     lengths = vocabulary.lengths[flat]
     data = gather_runs(vocabulary.bytes, vocabulary.begins[flat], lengths).tobytes()
