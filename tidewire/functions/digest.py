@@ -6,10 +6,11 @@ import hashlib
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import two_decimals
+from tidewire.workspace import ship
 
 DIGEST_TEXT = "^[0-9a-f]{64}$"
 
@@ -25,6 +26,7 @@ def digest_udf(key: str, iterations: int):
     Equal tokens are hashed once per Python worker while they stay in a bounded cache.
     """
     secret = key.encode("utf-8")
+    ship(SparkSession.active())
 
     @F.pandas_udf("string")
     def digest(tokens: pd.Series) -> pd.Series:

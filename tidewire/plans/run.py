@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,9 +12,9 @@ from tidewire.operators import charts, health, ingest
 from tidewire.operators.ordering import SOURCE_ORDER, add_sequence, find_gaps, number_kept
 from tidewire.operators.rolling import rolling_average
 from tidewire.operators.verify import verification_summary, verify_signatures
-from tidewire.sources.csv import missing_file, overlong_error, scan_csv
+from tidewire.sources.csv import line_errors, scan_csv, unreadable
 from tidewire.spec import AVERAGE, DATA_TYPES, SEQUENCE, RunSpec
-from tidewire.workspace import materialise, small_frame
+from tidewire.workspace import free, materialise, recorded, small_frame
 
 COUNTS = "loaded bigint, passed bigint, skipped bigint"
 QUARANTINE = "row_index bigint, column string, raw_value string, reason string"
@@ -33,21 +33,32 @@ class Run:
     status: DataFrame
     verification: DataFrame
     feed: DataFrame
+    paths: tuple[str, ...] = ()
+
+    def free(self) -> None:
+        """Delete the stored tables behind this run; its DataFrames cannot be read any more."""
+        free(self.processed.sparkSession, self.paths)
 
 
 def run_pipeline(spark: SparkSession, spec: RunSpec) -> Run:
     """Run ``spec`` over its CSV files. The numbered, verified rows are stored once and shared."""
+    with recorded() as paths:
+        run = _run(spark, spec)
+    return replace(run, paths=tuple(paths))
+
+
+def _run(spark: SparkSession, spec: RunSpec) -> Run:
     try:
         scanned = scan_csv(
             spark, spec.dataset_path, multiline=spec.multiline, source_order=True, ragged=True
         )
-    except AnalysisException:
-        return _nothing(spark, spec, missing_file(spark, spec.dataset_path))
-    headers = scanned.drop(*SOURCE_ORDER, "__overlong")
+    except (AnalysisException, ValueError) as wrong:
+        return _nothing(spark, spec, unreadable(spark, spec.dataset_path, wrong))
+    headers = scanned.drop(*SOURCE_ORDER, "__overlong", "__open")
     errors = ingest.check_columns(headers, spec.columns)
     if not errors.filter("severity = 'FATAL'").isEmpty():
         return _nothing(spark, spec, errors)
-    declared = ingest.select_declared(scanned, spec.columns, keep=[*SOURCE_ORDER, "__overlong"])
+    declared = ingest.select_declared(scanned, spec.columns, keep=[*SOURCE_ORDER, "__overlong", "__open"])
     cast = ingest.cast_declared(declared, spec.columns)
     good = ingest.all_ok(spec.columns)
     # counted while the clean rows are stored, so the files are read once for both
@@ -57,14 +68,17 @@ def run_pipeline(spark: SparkSession, spec: RunSpec) -> Run:
         F.count("*").alias("loaded"),
         F.count_if(good).alias("passed"),
         F.count_if("__overlong").alias("overlong"),
+        F.count_if("__open").alias("open"),
     )
     clean = ingest.clean_rows(counted, spec.columns, keep=SOURCE_ORDER)
     clean = ingest.rename_internal(clean, spec.columns)
     placed = add_sequence(clean, SOURCE_ORDER, SEQUENCE, keep_order=True)
     numbered = placed.drop(*SOURCE_ORDER)
     loaded, passed = seen.get["loaded"], seen.get["passed"]
-    if seen.get["overlong"]:
-        return _nothing(spark, spec, errors.unionByName(overlong_error(scanned)))
+    torn = (seen.get["overlong"], 0 if spec.multiline else seen.get["open"])
+    if any(torn):
+        counts = small_frame(spark, [torn], "overlong bigint, open bigint")
+        return _nothing(spark, spec, errors.unionByName(line_errors(counts)))
     flagged = materialise(
         verify_signatures(
             numbered,

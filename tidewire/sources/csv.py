@@ -35,8 +35,25 @@ def missing_as_null(df: DataFrame, names: Sequence[str], na_tokens: Sequence[str
 
 
 def csv_header(spark: SparkSession, path: str, multiline: bool = False) -> list[str]:
-    """Column names of the first line; raises ``AnalysisException`` if the path is missing."""
-    return _reader(spark.read, multiline).csv(path).columns
+    """Cells of the first line; raises ``AnalysisException`` if the path is missing, ``ValueError`` if it is empty."""
+    lines = _reader(spark.read, multiline).option("header", False).csv(path)
+    first = lines.first() if lines.columns else None
+    if first is None:
+        raise ValueError("no header line")
+    return [cell or f"_c{place}" for place, cell in enumerate(first)]
+
+
+def _told_apart(header: Sequence[str]) -> list[str]:
+    """Names that differ in more than case: later ones get ``.1``, ``.2``, as free."""
+    names: list[str] = []
+    taken = {name.lower() for name in header}
+    for name in header:
+        own, number = name, 0
+        while own.lower() in {n.lower() for n in names} or (number and own.lower() in taken):
+            number += 1
+            own = f"{name}.{number}"
+        names.append(own)
+    return names
 
 
 def scan_csv(
@@ -50,12 +67,15 @@ def scan_csv(
     """All columns as text, by header name; cells equal to a missing-value token are NULL.
 
     ``source_order`` adds the columns ``SOURCE_ORDER`` for ``add_sequence``; files rank by path.
-    ``ragged`` adds ``__overlong``: whether the line has more cells than the header. ``multiline``
-    allows line breaks within quotes, and makes each file one unsplittable task.
+    ``ragged`` adds ``__overlong``, whether the line has more cells than the header, and ``__open``,
+    whether it leaves a quote open. ``multiline`` allows line breaks within quotes, and makes each file
+    one unsplittable task. Of header names that are equal but for case the first keeps its name, and the
+    others get a number; the files of a set then agree by place.
     """
-    names = csv_header(spark, path, multiline)
+    header = csv_header(spark, path, multiline)
+    names = _told_apart(header)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    reader = _reader(spark.read, multiline)
+    reader = _reader(spark.read, multiline).option("enforceSchema", names != header)
     if ragged:
         # with unread columns pruned, the parser would not notice surplus cells
         schema = schema.add(CORRUPT, T.StringType())
@@ -70,45 +90,69 @@ def scan_csv(
             F.monotonically_increasing_id().alias(line),
         ]
     if ragged:
-        extra.append(_overlong(names).alias("__overlong"))
+        extra += [_overlong(names).alias("__overlong"), _open_quote(names).alias("__open")]
     cells = [F.col(f"`{c}`") for c in names]
     return missing_as_null(df.select(*cells, *extra), names, na_tokens)
 
 
+def _bare(line):
+    """A line without its quoted cells. A quote opens a cell only at its start; elsewhere it is text."""
+    return F.regexp_replace(line, r'(^|,)"(?:[^"]|"")*"', "$1")
+
+
 def _overlong(names: Sequence[str]):
     """A line is kept as corrupt if it is too short or too long: count its unquoted commas."""
     line = F.col(CORRUPT)
-    bare = F.regexp_replace(line, r'"[^"]*"', "")
+    bare = _bare(line)
     commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    return F.coalesce((commas >= len(names)) & _holds_cell(names), F.lit(False))
+
+
+def _open_quote(names: Sequence[str]):
+    """A corrupt line with a quote that opens a cell and is not closed in it: the cell goes on in the next line."""
+    return F.coalesce(_bare(F.col(CORRUPT)).rlike('(^|,)"') & _holds_cell(names), F.lit(False))
+
+
+def _holds_cell(names: Sequence[str]):
     # always true, but Spark refuses to read the corrupt-record column all by itself
-    holds_cell = F.length(line) >= F.coalesce(F.length(F.col(f"`{names[0]}`")), F.lit(0))
-    return F.coalesce((commas >= len(names)) & holds_cell, F.lit(False))
+    first = F.coalesce(F.length(F.col(f"`{names[0]}`")), F.lit(0))
+    return F.length(CORRUPT) >= F.least(first, F.lit(0))
 
 
 def scan_errors(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """FATAL rows for a missing file and for lines with too many cells; empty if all is well."""
+    """FATAL rows for files that cannot be read, lines with too many cells and quotes left open; empty if all is well."""
     try:
         scanned = scan_csv(spark, path, multiline=multiline, ragged=True)
-    except AnalysisException:
-        return missing_file(spark, path)
-    return overlong_error(scanned)
-
-
-def missing_file(spark: SparkSession, path: str) -> DataFrame:
-    row = ("FATAL", "MISSING_FILE", None, f"CSV file not found: '{path}'")
+    except (AnalysisException, ValueError) as wrong:
+        return unreadable(spark, path, wrong)
+    counts = scanned.agg(F.count_if("__overlong").alias("overlong"), F.count_if("__open").alias("open"))
+    return line_errors(counts)
+
+
+def unreadable(spark: SparkSession, path: str, wrong: Exception) -> DataFrame:
+    """Why a path could not be scanned: it is not there, it holds nothing, or else."""
+    if isinstance(wrong, AnalysisException) and wrong.getCondition() == "PATH_NOT_FOUND":
+        row = ("FATAL", "MISSING_FILE", None, f"CSV file not found: '{path}'")
+    else:
+        row = ("FATAL", "UNREADABLE_FILE", None, f"Could not read CSV: {str(wrong).splitlines()[0]}")
     return errors_frame(spark, [row])
 
 
-def overlong_error(scanned: DataFrame) -> DataFrame:
+def line_errors(counts: DataFrame) -> DataFrame:
+    """FATAL rows from the one row of counts ``overlong`` and ``open``."""
+    kinds = (
+        ("RAGGED_ROW", "Could not read CSV: lines with too many cells: ", "overlong"),
+        ("OPEN_QUOTE", "Could not read CSV: lines that leave a quote open: ", "open"),
+    )
+    found = [F.struct(F.lit(c).alias("code"), F.lit(t).alias("text"), F.col(n).alias("n")) for c, t, n in kinds]
     return (
-        scanned.agg(F.count_if("__overlong").alias("n"))
+        counts.select(F.inline(F.array(*found)))
         .filter("n > 0")
         .select(
             F.lit("FATAL").alias("severity"),
-            F.lit("RAGGED_ROW").alias("code"),
+            "code",
             F.lit(None).cast("string").alias("column"),
-            F.concat(F.lit("Could not read CSV: lines with too many cells: "), F.col("n").cast("string"))
-            .alias("message"),
+            F.concat("text", F.col("n").cast("string")).alias("message"),
         )
     )
 

@@ -123,10 +123,11 @@ class RunSpec:
             try:
                 return build()
             except KeyError as missing:
-                problems.append(f"[{label}] Missing required key: {missing}")
+                problems.append(f"[{label}] lacks the key {missing}")
             except (TypeError, ValueError, AttributeError) as wrong:
                 problems.append(f"[{label}] {wrong}")
 
+        # fixed values: the keys of the configuration
         columns = part(
             "schema_mapping",
             lambda: check_declared([_build(Column, c) for c in config["schema_mapping"]["columns"]]),
@@ -159,6 +160,7 @@ class RunSpec:
                 charts=charts,
                 queue_max_size=flow["stream_queue_max_size"],
                 show=show,
+                multiline=_flag("multiline", config.get("multiline", False)),
             ),
         )
         if problems:
@@ -171,6 +173,13 @@ def _build(kind, entry: Mapping):
     return kind(**{f.name: entry[f.name] for f in fields(kind)})
 
 
+def _flag(name: str, value) -> bool:
+    """``multiline`` is our own, optional key: whether cells may hold line breaks."""
+    if not isinstance(value, bool):
+        raise ValueError(f"{name} must be true or false, got {value!r}")
+    return value
+
+
 def _delay(value) -> float:
     """Pacing has no meaning for a Spark job; the rule is kept so that bad configs are refused."""
     if isinstance(value, bool) or not isinstance(value, (int, float)) or value < 0:

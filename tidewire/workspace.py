@@ -1,46 +1,106 @@
 """Shared-folder tables: the one way this package cuts lineage.
 
 A table is written under ``spark.checkpoint.dir``, so it outlives any executor, and it is read
-back column by column. A folder of our own is made only where the session names none.
+back column by column. A folder of our own is made only where the session names none, and only for a
+local session. Each application has its own part of the folder.
 """
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_recorders: list[list[str]] = []
+
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only if none is set."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one if none is set and all work is local."""
     root = (
         spark.conf.get("spark.checkpoint.dir", None)
         or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         or spark.sparkContext.getCheckpointDir()
     )
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidewire-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
+def _own_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/tidewire/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/tidewire/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_root(spark)}/{label}-{uuid.uuid4().hex}"
+    for paths in _recorders:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The list of the paths given out meanwhile, for ``free``."""
+    paths: list[str] = []
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders.pop(next(i for i, known in enumerate(_recorders) if known is paths))
+
+
+def free(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete tables that are read no more."""
+    for path in paths:
+        _, store, folder = _store(spark, path)
+        store.delete(folder, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    _, store, folder = _store(spark, path)
+    return store.exists(folder)
+
+
+def _store(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
 def clear(spark: SparkSession) -> None:
-    """Delete every table this package has written to the shared folder.
+    """Delete every table that this application has written to the shared folder.
 
     Call it when no DataFrame and no stream of any session made with the package is in use any more.
     """
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/tidewire")
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    free(spark, [_own_root(spark)])
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers once per application, so that they can import it from anywhere."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidewire_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidewire-"), "tidewire_code.zip")
+    with zipfile.ZipFile(path, "w") as packed:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    packed.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._tidewire_shipped = True
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
