@@ -13,8 +13,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -23,12 +22,15 @@ from tidewire.operators.health import SAMPLES
 from tidewire.operators.ordering import first_missing
 from tidewire.operators.rolling import rolling_average
 from tidewire.spec import AVERAGE, whole_number
-from tidewire.workspace import small_frame
+from tidewire.workspace import exists, small_frame
 
 # Fixed value: seconds a later row waits before a gap is passed.
 GAP_TIMEOUT = 2.0
 
-_SINCE = "__since"
+_SINCE, _FRESH, _COPY = "__since", "__fresh", "__copy"
+TICK = "__tick"
+PARTS = ("rows", "late", "repeated", "no_sequence")
+_COPY_FIELD = T.StructField(_COPY, T.BooleanType())
 _NOTES = "kind string, seq bigint, value double"
 
 
@@ -36,6 +38,7 @@ _NOTES = "kind string, seq bigint, value double"
 class Release:
     """Where and how a sequence is released. ``accepted_col`` marks rows that only fill their place.
 
+    Of rows with one number the first is released. Rows without a number are kept apart.
     ``gap_timeout`` seconds after a later row came in, a gap below it is passed (``GAP_TIMEOUT`` is the
     usual time); ``None`` waits for ever. The clock is read once per micro-batch.
     """
@@ -59,29 +62,41 @@ class Release:
 
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if TICK in batch.columns:
+            batch = batch.filter(~F.col(TICK)).drop(TICK)
         before = self._before(spark, batch, batch_id)
         now = self.clock()
         seq = F.col(self.seq_col)
-        fresh = batch.filter(seq.isNotNull()).withColumn(_SINCE, F.lit(now))
+        fresh = batch.withColumns({_SINCE: F.lit(now), _FRESH: F.lit(True)})
         late = seq < before.expected
+        # one row per number: the one that came first, of those that came together any
+        first = Window.partitionBy(seq).orderBy(_SINCE, _FRESH, F.xxhash64(*batch.columns))
+        pooled = before.pending.withColumn(_FRESH, F.lit(False)).unionByName(fresh)
+        placed = pooled.filter(seq.isNotNull()).withColumn(_COPY, F.row_number().over(first) > 1)
+        kept = ~F.col(_COPY)
         seen = Observation()
         pool_path = self._slot(batch_id, "pool")
         (
-            before.pending.unionByName(fresh)
-            .observe(
+            placed.observe(
                 seen,
-                F.count_if(F.col(_SINCE) == F.lit(now)).alias("fresh"),
-                F.count_if(late).alias("late"),
-                F.count_if(~late).alias("open"),
+                F.count_if(F.col(_FRESH)).alias("fresh"),
+                F.count_if(late & kept).alias("late"),
+                F.count_if(~late & kept).alias("open"),
+                F.count_if(F.col(_COPY)).alias("repeated"),
                 F.max(F.when(self._overdue(now) & ~late, seq)).alias("overdue"),
             )
+            .drop(_FRESH)
             .write.mode("overwrite")
             .parquet(pool_path)
         )
         counts = seen.get
-        pool = spark.read.schema(before.pending.schema).parquet(pool_path)
+        stored = spark.read.schema(T.StructType([*before.pending.schema.fields, _COPY_FIELD])).parquet(pool_path)
+        pool = stored.filter(kept).drop(_COPY)
         if counts["late"]:
-            pool.filter(late).drop(_SINCE).write.mode("overwrite").parquet(self._folder("late", batch_id))
+            self._put(pool.filter(late).drop(_SINCE), "late", batch_id)
+        if counts["repeated"]:
+            self._put(stored.filter(F.col(_COPY)).drop(_SINCE, _COPY), "repeated", batch_id)
+        placeless = self._placeless(batch.filter(seq.isNull()), batch_id)
         reached = max(before.expected - 1, counts["overdue"] or 0)
         expected = before.expected
         if counts["open"]:
@@ -93,12 +108,21 @@ class Release:
         ).parquet(self._folder("rows", batch_id))
         waiting = pool.filter(seq >= expected).count() if counts["open"] else 0
         self._note(spark, batch_id, expected, due, before)
-        sizes = {"raw": counts["fresh"], "intermediate": waiting, "processed": written.get["rows"]}
+        sizes = {"raw": counts["fresh"] + placeless, "intermediate": waiting, "processed": written.get["rows"]}
         samples = [(batch_id, stage, size, None) for stage, size in sizes.items()]
         small_frame(spark, samples, SAMPLES).write.mode("overwrite").parquet(
             self._folder("samples", batch_id)
         )
 
+    def _put(self, rows: DataFrame, part: str, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(self._folder(part, batch_id))
+
+    def _placeless(self, rows: DataFrame, batch_id: int) -> int:
+        """Keep rows without a number apart, and count them: they have no place in the order."""
+        seen = Observation()
+        self._put(rows.observe(seen, F.count("*").alias("rows")), "no_sequence", batch_id)
+        return seen.get["rows"]
+
     def _overdue(self, now: float):
         if self.gap_timeout is None:
             return F.lit(False)
@@ -145,7 +169,7 @@ class Release:
         return f"{self.out}/{part}/batch={batch_id}"
 
     def _before(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> _Before:
-        schema = batch.schema.add(_SINCE, T.DoubleType())
+        schema = T.StructType([*batch.schema.fields, T.StructField(_SINCE, T.DoubleType())])
         if batch_id == 0:
             return _Before(
                 self.first, small_frame(spark, [], schema), small_frame(spark, [], _NOTES)
@@ -157,11 +181,12 @@ class Release:
         known = {r.kind: r.seq for r in notes.filter("kind <> 'tail'").collect()}
         if known["batch"] != batch_id:
             raise RuntimeError(f"state of batch {batch_id} is not in {self.state}")
-        reader = spark.read if schema is None else spark.read.schema(schema)
+        reader = spark.read if schema is None else spark.read.schema(T.StructType([*schema.fields, _COPY_FIELD]))
         pool = reader.parquet(self._slot(batch_id, "pool"))
+        waiting = ~F.col(_COPY) & (F.col(self.seq_col) >= known["expected"])
         return _Before(
             known["expected"],
-            pool.filter(F.col(self.seq_col) >= known["expected"]),
+            pool.filter(waiting).drop(_COPY),
             notes.filter("kind = 'tail'"),
         )
 
@@ -219,15 +244,23 @@ def drain(spark: SparkSession, release: Release, batch_id: int) -> DataFrame:
 
 
 def released_rows(spark: SparkSession, release: Release, part: str = "rows") -> DataFrame:
-    """All rows released so far; ``part="late"`` for rows that came after their turn."""
-    try:
-        return spark.read.parquet(f"{release.out}/{part}").drop("batch")
-    except AnalysisException:  # nothing of that kind was written yet
-        return spark.read.parquet(f"{release.out}/rows").drop("batch").limit(0)
+    """All rows released so far; other parts are ``late`` (came after their turn), ``repeated`` (their number had
+    come before) and ``no_sequence`` (no number). These have the columns of the input."""
+    if part not in PARTS:
+        raise ValueError(f"part must be one of {PARTS}")
+    # folders are not columns: the input may have a column called batch
+    reader = spark.read.option("recursiveFileLookup", True)
+    if part == "rows" or exists(spark, f"{release.out}/{part}"):
+        return reader.parquet(f"{release.out}/{part}")
+    return reader.parquet(f"{release.out}/no_sequence").limit(0)  # written by every batch
 
 
 def with_ticks(sdf: DataFrame, per_second: int = 1) -> DataFrame:
-    """Add empty rows at a steady pace, so that gaps are passed while the input is idle."""
+    """Add empty rows at a steady pace, so that gaps are passed while the input is idle.
+
+    They are marked in the column ``TICK``, which a release takes away again.
+    """
     ticks = sdf.sparkSession.readStream.format("rate").option("rowsPerSecond", per_second).load()
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in sdf.schema.fields]
-    return sdf.unionByName(ticks.select(*empty))
+    marked = sdf.withColumn(TICK, F.lit(False))
+    return marked.unionByName(ticks.select(*empty, F.lit(True).alias(TICK)))
