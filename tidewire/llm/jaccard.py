@@ -41,6 +41,8 @@ COUNTERS, PART = 1 << 20, 1 << 14
 SEEDS = (0x51ED270B, 0x2545F491)
 #: Classes of one token that are compared in one group.
 BLOCK = 1024
+#: Classes whose texts are looked up by broadcast, at most; more are joined by a shuffle.
+BROADCAST = 1_000_000
 
 
 # ---- shingles -----------------------------------------------------------------------------------
@@ -133,7 +135,8 @@ def count_tokens(texts: DataFrame, rule: Rule) -> np.ndarray:
 
 
 def signatures(texts: DataFrame, rule: Rule, keep: Sequence[str]) -> DataFrame:
-    """Per row: the columns ``keep``, n, set (its id, null if empty) and the prefix under the order by frequency."""
+    """Per row: the columns ``keep``, n, set (its id, null if empty), the prefix under the order by frequency and
+    those under the other orders."""
     # COUNTERS * 4 bytes
     shared = texts.sparkSession.sparkContext.broadcast(count_tokens(texts, rule))
 
@@ -142,7 +145,7 @@ def signatures(texts: DataFrame, rule: Rule, keep: Sequence[str]) -> DataFrame:
         for batch in batches:
             for some in pieces(batch, "text"):
                 tokens, bounds = shingles_of(texts_of(some, "text"), rule.size)
-                sizes, sets, prefixes = [], [], []
+                sizes, sets, prefixes, orders = [], [], [], []
                 for a, b in zip(bounds, bounds[1:]):
                     own = np.unique(tokens[a:b])
                     often = table[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]
@@ -150,13 +153,15 @@ def signatures(texts: DataFrame, rule: Rule, keep: Sequence[str]) -> DataFrame:
                     sizes.append(len(own))
                     sets.append(set_id(own) if len(own) else None)
                     prefixes.append(own[first].view(np.int64))
+                    orders.append(b"".join(hash_prefix(own, rule, seed).tobytes() for seed in SEEDS))
                 made = {"n": pa.array(sizes, pa.int64()), "set": pa.array(sets, pa.int64())}
                 made["prefix"] = pa.array(prefixes, pa.list_(pa.int64()))
+                made["orders"] = pa.array(orders, pa.binary())
                 kept = {name: some.column(some.schema.names.index(name)) for name in keep}
                 yield pa.RecordBatch.from_pydict(kept | made)
 
     columns = ", ".join(f"`{name}` {dict(texts.dtypes)[name]}" for name in keep)
-    return map_batches(texts, sign, f"{columns}, n bigint, set bigint, prefix array<bigint>")
+    return map_batches(texts, sign, f"{columns}, n bigint, set bigint, prefix array<bigint>, orders binary")
 
 
 # ---- candidates ---------------------------------------------------------------------------------
@@ -169,15 +174,16 @@ def shared_postings(signed: DataFrame, rule: Rule) -> DataFrame:
     partners the smaller one must have it early enough for one of its own size.
     """
     classes = signed.filter("n > 0").select("set", "n", "prefix").dropDuplicates(["set"])
-    posted = classes.select("set", "n", F.posexplode("prefix").alias("place", "token"))
-    posted = posted.withColumn("most", rule.largest(F.col("n"), F.col("place")))
-    early = F.when(F.col("most") >= F.col("n"), F.col("n"))
+    # dealt by token once, for the sums and for the join
+    posted = classes.select("set", "n", F.posexplode("prefix").alias("place", "token")).repartition("token")
+    most = rule.largest(F.col("n"), F.col("place"))
+    early = F.when(most >= F.col("n"), F.col("n"))
     tokens = (
         posted.groupBy("token")
         .agg(F.count("*").alias("many"), F.min(early).alias("least"), F.min(F.struct("place", "n", "set")).alias("centre"))
         .filter("many > 1 and least is not null")
     )
-    return posted.join(tokens, "token").filter("most >= n or least <= most").drop("least")
+    return posted.join(tokens, "token").filter((most >= F.col("n")) | (F.col("least") <= most)).drop("least")
 
 
 def centre_pairs(posted: DataFrame, rule: Rule) -> DataFrame:
@@ -257,32 +263,60 @@ def _pairs_of(run: np.ndarray, rule: Rule) -> pa.RecordBatch:
 # ---- verification -------------------------------------------------------------------------------
 
 
-def class_sets(texts: DataFrame, signed: DataFrame, posted: DataFrame, rule: Rule) -> DataFrame:
-    """The sets of the classes that have candidates: set, tokens, and prefixes under the other orders."""
-    wanted = posted.select("set").distinct()
-    one = signed.filter("n > 0").groupBy("set").agg(F.min_by("key", "key").alias("key"))
-    some = texts.join(one.join(wanted, "set"), "key").select("text", "set")
+def hash_prefix(tokens: np.ndarray, rule: Rule, seed: int) -> np.ndarray:
+    """The first tokens of a set by a hash with a seed, as 16 bits of it, sorted.
+
+    Tokens that share the bits only let a pair pass that is compared in full later.
+    """
+    first = rule.prefix(len(tokens))
+    ranks = mix(tokens ^ np.uint64(seed))
+    if first < len(ranks):
+        ranks = np.partition(ranks, first - 1)[:first]
+    return np.sort((mix(ranks) & np.uint64(0xFFFF)).astype(np.uint16))
+
+
+def class_orders(signed: DataFrame, posted: DataFrame) -> DataFrame:
+    """The prefixes of the classes with candidates under the other orders."""
+    some = signed.select("set", "orders").join(posted.select("set").distinct(), "set")
+    return some.dropDuplicates(["set"])
+
+
+def sharing(pairs: DataFrame, orders: DataFrame) -> DataFrame:
+    """The pairs that share prefix tokens under every other order too."""
+    sides = pairs.join(orders.toDF("a", "left"), "a").join(orders.toDF("b", "right"), "b").select("a", "b", "left", "right")
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            kept = [at for at, (left, right) in enumerate(sides) if _meet(left, right)]
+            yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+
+    return map_batches(sides, test, "a bigint, b bigint")
+
+
+def _meet(left: bytes, right: bytes) -> bool:
+    """Whether two classes share a value under each order."""
+    x, y = (np.frombuffer(side, np.uint16).reshape(len(SEEDS), -1) for side in (left, right))
+    return all(not set(a.tolist()).isdisjoint(b.tolist()) for a, b in zip(x, y))
+
+
+def sets_of_pairs(pairs: DataFrame, texts: DataFrame, signed: DataFrame, rule: Rule) -> DataFrame:
+    """The sets of all classes in the pairs: set, tokens."""
+    wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
+    keys = signed.filter("n > 0").groupBy("set").agg(F.min("key").alias("key")).join(wanted, "set")
+    keys = materialise(keys, "wanted")
+    # a class has 16 bytes here
+    few = keys.count() <= BROADCAST
+    some = texts.join(F.broadcast(keys) if few else keys, "key").select("key", "set", "text").dropDuplicates(["key"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 tokens, bounds = shingles_of(texts_of(part, "text"), rule.size)
-                own = [np.unique(tokens[a:b]) for a, b in zip(bounds, bounds[1:])]
-                made = {"set": part.column(1), "tokens": pa.array([x.tobytes() for x in own], pa.binary())}
-                for at, seed in enumerate(SEEDS):
-                    firsts = [hash_prefix(x, rule, seed).tobytes() for x in own]
-                    made[f"order{at}"] = pa.array(firsts, pa.binary())
-                yield pa.RecordBatch.from_pydict(made)
-
-    orders = "".join(f", order{at} binary" for at in range(len(SEEDS)))
-    return map_batches(some, cut, f"set bigint, tokens binary{orders}").dropDuplicates(["set"])
+                own = [np.unique(tokens[a:b]).tobytes() for a, b in zip(bounds, bounds[1:])]
+                yield pa.RecordBatch.from_pydict({"set": part.column(0), "tokens": pa.array(own, pa.binary())})
 
-
-def hash_prefix(tokens: np.ndarray, rule: Rule, seed: int) -> np.ndarray:
-    """The first tokens of a set by a hash with a seed, as that hash."""
-    ranks = mix(tokens ^ np.uint64(seed))
-    first = rule.prefix(len(tokens))
-    return np.sort(np.partition(ranks, first - 1)[:first]) if first < len(ranks) else np.sort(ranks)
+    return map_batches(some.select("set", "text"), cut, "set bigint, tokens binary")
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -293,27 +327,26 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs that share prefix tokens under every order and whose sets link."""
-    left = sets.withColumnsRenamed({c: f"left_{c}" for c in sets.columns}).withColumnRenamed("left_set", "a")
-    right = sets.withColumnsRenamed({c: f"right_{c}" for c in sets.columns}).withColumnRenamed("right_set", "b")
-    sides = pairs.join(left, "a").join(right, "b")
-    columns = [f"{side}_{c}" for c in (*(f"order{at}" for at in range(len(SEEDS))), "tokens") for side in ("left", "right")]
+    """The pairs whose sets link."""
+    sides = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b").select("a", "b", "left", "right")
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
             for at in range(batch.num_rows):
-                sides = (np.frombuffer(c[at].as_buffer(), np.uint64) for c in batch.columns[2:])
-                for _ in SEEDS:
-                    if not _common(next(sides), next(sides)):
-                        break
-                else:
-                    x, y = next(sides), next(sides)
-                    if rule.links(_common(x, y), len(x), len(y)):
-                        kept.append(at)
+                x, y = (np.frombuffer(batch.column(c)[at].as_buffer(), np.uint64) for c in (2, 3))
+                if rule.links(_common(x, y), len(x), len(y)):
+                    kept.append(at)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
-    return map_batches(sides.select("a", "b", *columns), test, "a bigint, b bigint")
+    return map_batches(sides, test, "a bigint, b bigint")
+
+
+def links_among(pairs: DataFrame, orders: DataFrame, texts: DataFrame, signed: DataFrame, rule: Rule) -> DataFrame:
+    """The candidates that pass all orders and whose sets link."""
+    passed = materialise(sharing(pairs, orders), "passed")
+    sets = materialise(sets_of_pairs(passed, texts, signed, rule), "sets")
+    return materialise(verify(passed, sets, rule), "linked")
 
 
 # ---- components ---------------------------------------------------------------------------------
@@ -366,10 +399,10 @@ def jaccard_components(
     held = ["id", "key", *[f"keep_{at}" for at in range(len(keep))]]
     signed = materialise(signatures(texts, rule, held), "signatures")
     posted = materialise(shared_postings(signed, rule), "postings")
-    sets = materialise(class_sets(texts.select("key", "text"), signed, posted, rule), "sets")
-    first = materialise(verify(centre_pairs(posted, rule), sets, rule), "first-links")
+    orders, bodies = materialise(class_orders(signed, posted), "orders"), texts.select("key", "text")
+    first = links_among(centre_pairs(posted, rule), orders, bodies, signed, rule)
     found = materialise(components(first), "components")
-    more = verify(open_pairs(posted, found, rule), sets, rule)
+    more = links_among(open_pairs(posted, found, rule), orders, bodies, signed, rule)
     found = components(first.union(more))
 
     classes = signed.filter("n > 0").groupBy("set").agg(F.min("id").alias("id")).join(found, "set", "left")
