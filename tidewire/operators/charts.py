@@ -27,11 +27,11 @@ def chart_points(
     columns, so an expensive input should be stored first.
     """
     whole_number("n", n)
-    shared: dict[tuple[str, str], list[Chart]] = {}
-    for chart in charts:
+    shared: dict[tuple[str, str], list[str]] = {}
+    for name, chart in zip(chart_names(charts), charts):
         pair = chart.x_axis, CHART_VALUE[chart.type]
         if set(pair) <= set(df.columns):
-            shared.setdefault(pair, []).append(chart)
+            shared.setdefault(pair, []).append(name)
     if not shared:
         return small_frame(df.sparkSession, [], POINTS_SCHEMA)
 
@@ -44,7 +44,7 @@ def chart_points(
             .limit(n)
         )
         return last.select(
-            F.explode(F.array(*[F.lit(chart_name(c)) for c in members])).alias("chart"),
+            F.explode(F.array(*map(F.lit, members))).alias("chart"),
             "seq",
             F.col("x").cast("string").try_cast("double").alias("x"),
             F.col("x").cast("string").alias("x_text"),
@@ -79,32 +79,54 @@ def chart_feed(
 
 
 def chart_name(chart: Chart) -> str:
-    """Charts are told apart by type and title."""
+    """What the first chart of a type and title is called."""
     return f"{chart.type}: {chart.title}"
 
 
-def chart_extents(feed_df: DataFrame) -> DataFrame:
-    """Axis limits per chart: the range widened by 5 % of its size, or by 1 if it has no size."""
+def chart_names(charts: Sequence[Chart]) -> list[str]:
+    """A name for each chart of the list, by its place: a further one of the same type and title gets a number."""
+    names: list[str] = []
+    for chart in charts:
+        name, number = chart_name(chart), 1
+        while name in names:
+            number += 1
+            name = f"{chart_name(chart)} ({number})"
+        names.append(name)
+    return names
+
+
+def _of_kind(feed_df: DataFrame, kind: str | None) -> DataFrame:
+    if kind is None:
+        return feed_df
+    return feed_df.filter(F.substring_index("chart", ":", 1).isin([t for t in CHART_VALUE if kind in t]))
+
+
+def chart_extents(feed_df: DataFrame, kind: str | None = None) -> DataFrame:
+    """Axis limits per chart: the range widened by 5 % of its size, or by 1 if it has no size.
+
+    ``kind="scatter"`` for the charts whose limits are set; the others scale by themselves.
+    """
 
     def pad(c: str):
         size = F.max(c) - F.min(c)
         return F.when(size * PADDING == 0, F.lit(1.0)).otherwise(size * PADDING)
 
-    return feed_df.groupBy("chart").agg(
+    return _of_kind(feed_df, kind).groupBy("chart").agg(
         *[(F.min(c) - pad(c)).alias(f"{c}_low") for c in ("x", "y")],
         *[(F.max(c) + pad(c)).alias(f"{c}_high") for c in ("x", "y")],
     )
 
 
-def axis_labels(feed_df: DataFrame) -> DataFrame:
+def axis_labels(feed_df: DataFrame, kind: str | None = None) -> DataFrame:
     """Every ``max(1, points // 6)``-th point of a chart, labelled by its x text's last characters.
 
-    The feed holds a bounded number of points per chart.
+    The feed holds a bounded number of points per chart. ``kind="bar"`` for the charts that are
+    labelled so.
     """
     points = F.count("*").over(Window.partitionBy("chart"))
     step = F.greatest(F.lit(1), F.floor(points / LABEL_STEPS))
     return (
-        feed_df.withColumn("__step", step)
+        _of_kind(feed_df, kind).withColumn("__step", step)
         .filter(F.col("position") % F.col("__step") == 0)
         .select("chart", "position", F.right("x_text", F.lit(LABEL_CHARS)).alias("label"))
     )
@@ -114,7 +136,10 @@ def chart_titles(summary_df: DataFrame, charts: Sequence[Chart]) -> DataFrame:
     """Each chart's title, with the completion mark once the run is complete."""
     named = F.explode(
         F.array(
-            *[F.struct(F.lit(chart_name(c)).alias("chart"), F.lit(c.title).alias("t")) for c in charts]
+            *[
+                F.struct(F.lit(name).alias("chart"), F.lit(c.title).alias("t"))
+                for name, c in zip(chart_names(charts), charts)
+            ]
         )
     )
     return summary_df.select("complete", named.alias("c")).select(

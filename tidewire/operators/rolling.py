@@ -53,6 +53,9 @@ def rolling_average(
     carry = window - 1
     groups = list(partition_by or ())
     if groups:
+        missing = df.filter(F.col(seq_col).isNull()).count()
+        if missing:
+            raise ValueError(f"{seq_col!r} is NULL in {missing} rows, which thus have no place in order")
         # numbered by group first, a group of any size lies in as many stretches as it needs
         dense = add_sequence(df, [*groups, seq_col], "__dense", start=0, unique=True)
         rows = dense.count()
@@ -66,12 +69,8 @@ def rolling_average(
     copies = F.when(cut.in_zone(), F.array(home, home + 1)).otherwise(F.array(home))
     rows = cut.rows.withColumn("__bucket", F.explode(copies))
     order = Window.partitionBy("__bucket", *groups).orderBy(cut.key)
-    largest = None
-    if window > LONG_WINDOW:
-        largest = df.agg(F.max(F.abs(F.col(value_col).cast("double")))).first()[0]
-    by_difference = None if largest is None else _mean_by_difference(largest, cut.width + cut.zone)
-    mean = by_difference or _mean_by_frame
-    averaged = mean(rows, order, F.col(value_col).cast("double"), window, name)
+    value = F.col(value_col).cast("double")
+    averaged = _averaged(rows, order, value, window, name, cut.width + cut.zone)
     return (
         averaged.filter(F.col("__bucket") == home)
         .withColumn(name, round_half_even(F.coalesce(name, F.lit(0.0)), digits))
@@ -79,6 +78,19 @@ def rolling_average(
     )
 
 
+def _averaged(rows: DataFrame, order, value: Column, window: int, name: str, most_rows: int) -> DataFrame:
+    """Short windows by frames; long ones by differences, but for stretches with values that have none."""
+    if window <= LONG_WINDOW:
+        return _mean_by_frame(rows, order, value, window, name)
+    fit = F.abs(value) < F.lit(_limit(most_rows))
+    odd = rows.filter(~F.coalesce(fit, F.lit(True))).select("__bucket").distinct()
+    if odd.isEmpty():
+        return _mean_by_difference(rows, order, value, window, name, most_rows)
+    usual = _mean_by_difference(rows.join(odd, "__bucket", "left_anti"), order, value, window, name, most_rows)
+    rest = _mean_by_frame(rows.join(odd, "__bucket", "left_semi"), order, value, window, name)
+    return usual.select(*rest.columns).unionByName(rest)
+
+
 def _mean_by_frame(rows: DataFrame, order, value: Column, window: int, name: str) -> DataFrame:
     """Add up each row's frame. Right for all values; the work grows with the window."""
     frame = order.rowsBetween(1 - window, Window.currentRow)
@@ -87,28 +99,28 @@ def _mean_by_frame(rows: DataFrame, order, value: Column, window: int, name: str
     return rows.withColumn(name, total / F.count(value).over(frame))
 
 
-def _mean_by_difference(largest: float, most_rows: int):
+def _limit(most_rows: int) -> float:
+    """Running sums of values below this do not overflow."""
+    return 2.0 ** (62 - 10 - most_rows.bit_length())
+
+
+def _mean_by_difference(
+    rows: DataFrame, order, value: Column, window: int, name: str, most_rows: int
+) -> DataFrame:
     """Take running sums ``window`` rows apart. The work does not grow with the window.
 
     The sums are whole numbers, of 1/1024ths and of the finest fractions that cannot overflow, so
-    differences are exact. ``None`` if the values are too large for that, or not numbers.
+    differences are exact. Values must be below ``_limit``.
     """
-    bits = most_rows.bit_length()
-    if not largest < 2.0 ** (62 - 10 - bits):
-        return None
-    fine = float(2 ** min(52, 72 - bits))
-
-    def mean(rows: DataFrame, order, value: Column, window: int, name: str) -> DataFrame:
-        upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        coarse, rest = _exact_parts(value)
-        running = {
-            "__coarse": F.sum((coarse * 1024.0).cast("bigint")),
-            "__fine": F.sum(F.rint(rest * fine).cast("bigint")),
-            "__count": F.count(value),
-        }
-        summed = rows.withColumns({c: F.coalesce(e.over(upto), F.lit(0)) for c, e in running.items()})
-        coarse, rest, count = (F.col(c) - F.lag(c, window, 0).over(order) for c in running)
-        total = coarse.cast("double") / 1024.0 + rest.cast("double") / fine
-        return summed.withColumn(name, F.when(count > 0, total / count))
-
-    return mean
+    fine = float(2 ** min(52, 72 - most_rows.bit_length()))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    coarse, rest = _exact_parts(value)
+    running = {
+        "__coarse": F.sum((coarse * 1024.0).cast("bigint")),
+        "__fine": F.sum(F.rint(rest * fine).cast("bigint")),
+        "__count": F.count(value),
+    }
+    summed = rows.withColumns({c: F.coalesce(e.over(upto), F.lit(0)) for c, e in running.items()})
+    coarse, rest, count = (F.col(c) - F.lag(c, window, 0).over(order) for c in running)
+    total = coarse.cast("double") / 1024.0 + rest.cast("double") / fine
+    return summed.withColumn(name, F.when(count > 0, total / count))

@@ -12,8 +12,9 @@ from tidewire.workspace import materialise
 
 # A digest row takes about 150 bytes in a broadcast relation, so this bounds it at about 75 MB.
 BROADCAST_DIGESTS = 500_000
-# A salt is hot from 1/2000 of the rows on; so there are at most 2000 of them, however large the data.
-HOT_SHARE = 2000
+# A salt is hot above this many rows and 1/500,000 of all: at most BROADCAST_DIGESTS are, however large the data,
+# and a cold one is a small part of a task.
+HOT_ROWS = 100_000
 SPREAD = 65_536
 
 ROUTES = ("auto", "native", "udf", "table")
@@ -98,10 +99,10 @@ def _through_table(df, key, iterations, value, signature, broadcast_digests):
 def _wide_join(keyed: DataFrame, digests: DataFrame, rows: int) -> DataFrame:
     """Shuffle join that sends no hot salt to one task.
 
-    Hot salts (at most ``HOT_SHARE`` of them) find their digest by broadcast; in the shuffle join
+    Hot salts (at most ``BROADCAST_DIGESTS`` of them) find their digest by broadcast; in the shuffle join
     their rows carry a made-up key that spreads them evenly and meets no digest.
     """
-    hot = digests.filter(F.col("__rows") * HOT_SHARE > F.lit(rows)).select(
+    hot = digests.filter(F.col("__rows") > max(HOT_ROWS, rows // BROADCAST_DIGESTS)).select(
         "__salt", F.col("__digest").alias("__hot")
     )
     spread = F.concat(

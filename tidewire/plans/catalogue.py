@@ -31,10 +31,17 @@ from tidewire.plans.views import (
     raw_signals,
     signals,
 )
-from tidewire.sources.csv import missing_as_null, scan_csv
-from tidewire.spec import SEQUENCE, STAGES
+from tidewire.sources.csv import missing_as_null, scan_csv, scan_errors
+from tidewire.spec import SEQUENCE, STAGES, Chart
 from tidewire.workspace import materialise
 
+# Charts of one type and title: one over time, one over numbers, and the first again.
+TWINS = (
+    Chart("real_time_line_graph_values", "readings", "time_period", "metric_value"),
+    Chart("real_time_line_graph_values", "readings", "priority_index", "metric_value"),
+    Chart("real_time_line_graph_values", "readings", "time_period", "metric_value"),
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -86,8 +93,7 @@ def q_as_records(spark, sf_dir):
 
 
 def q_as_json_records(spark, sf_dir):
-    rows = signals(spark, sf_dir).select("event_id", "entity_name", "time_period")
-    return ingest.as_records(rows, json=True)
+    return ingest.as_records(raw_signals(spark, sf_dir), json=True)
 
 
 def q_dataset_status(spark, sf_dir):
@@ -96,6 +102,44 @@ def q_dataset_status(spark, sf_dir):
     return ingest.dataset_status(errors, bad)
 
 
+def q_dataset_status_cases(spark, sf_dir):
+    """A declared column that is not there, bad rows, and clean rows only."""
+    raw, cast, ok = raw_signals(spark, sf_dir), casts(spark, sf_dir), ingest.all_ok(DECLARED)
+    lacking = ingest.check_columns(raw.drop("reading"), DECLARED)
+    errors = ingest.check_columns(raw, DECLARED)
+    cases = {
+        "missing column": (lacking, cast.filter(~ok)),
+        "bad rows": (errors, cast.filter(~ok)),
+        "clean rows": (errors, cast.filter(ok).filter(~ok)),
+    }
+    named = [ingest.dataset_status(e, q).select(F.lit(n).alias("case"), "*") for n, (e, q) in cases.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
+def q_check_columns(spark, sf_dir):
+    """What is missing and what is left over, with the number of rows that it concerns."""
+    raw = raw_signals(spark, sf_dir).drop("reading")
+    rows = raw.agg(F.count("*").alias("rows"))
+    return ingest.check_columns(raw, DECLARED).select("*", rows.scalar().alias("rows"))
+
+
+def q_scan_errors(spark, sf_dir):
+    return scan_errors(spark, live.torn_csv(spark, sf_dir))
+
+
+def q_error_preview(spark, sf_dir):
+    return ingest.error_preview(q_scan_errors(spark, sf_dir))
+
+
+def q_chart_titles(spark, sf_dir):
+    return charts.chart_titles(health.pipeline_summary(verified(spark, sf_dir)), TWINS)
+
+
+def q_chart_feed_twins(spark, sf_dir):
+    """Charts of one type and title are told apart by their place in the list."""
+    return charts.chart_feed(materialise(processed(spark, sf_dir), "processed"), TWINS)
+
+
 def q_verify_table(spark, sf_dir):
     """Digests of distinct salts, joined back; two iterations, so Python hashes."""
     digest = digest_udf(FIXTURE_KEY, 2)(two_decimals(F.col("value")))
@@ -194,6 +238,21 @@ def queries() -> dict[str, Query]:
         ),
         "ingest_summary": lambda s, d: ingest.ingest_summary(casts(s, d), DECLARED),
         "dataset_status": q_dataset_status,
+        "dataset_status_cases": q_dataset_status_cases,
+        "check_columns": q_check_columns,
+        "scan_errors": q_scan_errors,
+        "error_preview": q_error_preview,
+        "chart_titles": q_chart_titles,
+        "chart_feed_twins": q_chart_feed_twins,
+        "bar_labels": lambda s, d: charts.axis_labels(q_chart_feed(s, d), "bar"),
+        "scatter_extents": lambda s, d: charts.chart_extents(q_chart_feed(s, d), "scatter"),
+        "rolling_average_w5000": lambda s, d: processed(s, d, 5000),
+        "stream_csv": live.q_stream_csv,
+        "stream_no_sequence": live.q_stream_no_sequence,
+        "stream_gap_timeout": live.q_stream_gap_timeout,
+        "stream_late_rows": live.q_stream_late_rows,
+        "stream_repeated": live.q_stream_repeated,
+        "stream_release_samples": live.q_stream_release_samples,
         "select_rename": q_select_rename,
         "as_records": q_as_records,
         "as_json_records": q_as_json_records,

@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewire.operators import ingest
 from tidewire.operators.health import stage_health
 from tidewire.operators.ordering import add_sequence
 from tidewire.operators.rolling import rolling_average
 from tidewire.operators.verify import verify_signatures
 from tidewire.plans.run import Run, run_pipeline
 from tidewire.plans.views import CHARTS, DECLARED, FIXTURE_KEY, WINDOW, raw_signals, signals
+from tidewire.sources.csv import stream_csv
 from tidewire.sources.sinks import read_feed, write_feed, write_processed
 from tidewire.spec import SEQUENCE, RunSpec
-from tidewire.streaming.progress import release_samples
+from tidewire.streaming.progress import progress_samples, release_samples
 from tidewire.streaming.release import (
     Release,
     drain,
@@ -22,7 +24,7 @@ from tidewire.streaming.release import (
     stream_resequence,
     stream_rolling_average,
 )
-from tidewire.workspace import new_path
+from tidewire.workspace import materialise, new_path
 
 
 def raw_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -67,9 +69,10 @@ def file_stream(df: DataFrame, files: int = 5) -> DataFrame:
     Rows are spread over the files by hash, so every file leaves gaps for later ones to fill.
     """
     spark, source = df.sparkSession, new_path(df.sparkSession, "stream-source")
-    part = F.pmod(F.xxhash64(F.col(SEQUENCE)), F.lit(files))
-    df.withColumn("part", part).repartition(files, "part").drop("part").write.parquet(source)
-    reader = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+    # more files for more rows, so that no task writes more than some millions
+    parts = max(files, df.count() // 4_000_000)
+    df.repartition(parts, F.xxhash64(SEQUENCE)).write.parquet(source)
+    reader = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", max(1, parts // files))
     return reader.parquet(source)
 
 
@@ -151,5 +154,80 @@ def q_write_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_progress_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, release = released_stream(spark, numbered_signals(spark, sf_dir))
-    return stage_health(release_samples(spark, release, capacity=10_000))
+    """What Spark reports of a stream: which rows a batch holds is open, their sum and number are not."""
+    query = write_processed(
+        file_stream(numbered_signals(spark, sf_dir)),
+        new_path(spark, "passed"),
+        checkpoint=new_path(spark, "stream-checkpoint"),
+    )
+    samples = progress_samples(spark, ended(query), capacity=10_000)
+    return samples.groupBy("stage").agg(F.sum("size").alias("size"))
+
+
+def torn_csv(spark: SparkSession, sf_dir: str) -> str:
+    """CSV files written as plain text: lines with a cell too many behind a stray quote, and quotes left open."""
+    path = new_path(spark, "torn-csv")
+    row = F.col("event_id")
+    surplus = F.when(row % 100 == 7, F.lit(',6" more')).otherwise(F.lit(""))
+    opened = F.when(row % 200 == 9, F.lit('"')).otherwise(F.lit(""))
+    rows = raw_signals(spark, sf_dir).select(
+        F.when(row % 100 == 7, F.lit('5" x')).otherwise(F.lit("x")).alias("entity"),
+        "epoch",
+        F.concat(opened, F.lit("1.5")).alias("reading"),
+        F.concat("signature", surplus).alias("signature"),
+    )
+    # one column, whose name is the header, parted and quoted by characters that no line has
+    lines = rows.select(F.concat_ws(",", *rows.columns).alias(",".join(rows.columns)))
+    lines.write.option("sep", "\u0001").option("quote", "\u0002").csv(path, header=True)
+    return path
+
+
+def q_stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files streamed two at a time, cast and cleaned on the way."""
+    names = [c.source_name for c in DECLARED]
+    stream = stream_csv(spark, raw_csv(spark, sf_dir), names, max_files=2)
+    clean = ingest.clean_rows(ingest.cast_declared(stream, DECLARED), DECLARED)
+    out = new_path(spark, "clean")
+    ended(write_processed(clean, out, checkpoint=new_path(spark, "stream-checkpoint")))
+    return ingest.rename_internal(spark.read.schema(clean.schema).parquet(out), DECLARED)
+
+
+# ---- micro-batches of known content -------------------------------------------------------------
+
+
+def landed(spark: SparkSession, rows: DataFrame, gap_timeout: float | None = None) -> Release:
+    """Five micro-batches, the rest of the number by five each, three seconds apart; no number: the first."""
+    clock = iter(range(0, 15, 3))
+    release = Release(
+        new_path(spark, "released"), new_path(spark, "state"), SEQUENCE, gap_timeout=gap_timeout, clock=lambda: float(next(clock))
+    )
+    stored = materialise(rows, "landing")
+    for part in range(5):
+        release.run_batch(stored.filter(F.coalesce(F.col(SEQUENCE) % 5, F.lit(0)) == part), part)
+    return release
+
+
+def q_stream_gap_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At the second batch the gaps of the first have timed out."""
+    return released_rows(spark, landed(spark, numbered_signals(spark, sf_dir), gap_timeout=2.0))
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return released_rows(spark, landed(spark, numbered_signals(spark, sf_dir), gap_timeout=2.0), "late")
+
+
+def q_stream_no_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = numbered_signals(spark, sf_dir)
+    number = F.when(F.col(SEQUENCE) % 50 != 7, F.col(SEQUENCE))
+    return released_rows(spark, landed(spark, rows.withColumn(SEQUENCE, number)), "no_sequence")
+
+
+def q_stream_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every eleventh row comes twice: the second is not released."""
+    rows = numbered_signals(spark, sf_dir)
+    return released_rows(spark, landed(spark, rows.union(rows.filter(F.col(SEQUENCE) % 11 == 3))), "repeated")
+
+
+def q_stream_release_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    release = landed(spark, numbered_signals(spark, sf_dir), gap_timeout=2.0)
+    return stage_health(release_samples(spark, release, capacity=10_000)).select("sample", "stage", "size")

@@ -115,6 +115,20 @@ _ARRIVALS = """arrivals as (select event_id, cast(floor(epoch(ts)) as bigint)
 flagged as (select *, coalesce(arrival - min(arrival) over (order by event_id
   rows between 1 following and unbounded following) > 2, false) as late from arrivals)"""
 
+# Lines that end in a cell too many, and lines with a quote that is not closed in them.
+_TORN = """with torn as (
+  select 'RAGGED_ROW' as code, 'Could not read CSV: lines with too many cells: ' as text,
+    count(*) filter (event_id % 100 = 7) as n from events
+  union all select 'OPEN_QUOTE', 'Could not read CSV: lines that leave a quote open: ',
+    count(*) filter (event_id % 200 = 9) from events)
+"""
+
+# Batch b has the numbers with rest b by five. At the second batch all gaps below the last multiple of five
+# have timed out; what comes later is late, unless it lies beyond that.
+_LANDED = """placed as (select *, priority_index % 5 >= 2 and priority_index < (select max(priority_index) // 5 * 5
+  from numbered) as late from numbered)"""
+
+
 _SECOND = _hmac("unhex(u1)")
 
 _VERIFIED_COLUMNS = "priority_index, entity_name, time_period, metric_value, security_hash"
@@ -125,7 +139,7 @@ _PROCESSED_COLUMNS = _VERIFIED_COLUMNS + ", computed_metric"
 def oracle_sql() -> dict[str, str]:
     rolling = {
         f"rolling_average_w{w}": f"with {_processed(w)} select {_PROCESSED_COLUMNS} from processed"
-        for w in (1, 3, 10, 100)
+        for w in (1, 3, 10, 100, 5000)
     }
     verified = f"with {SIGNALS} select {_SIGNAL_COLUMNS} from signals where digest = security_hash"
     renames = ", ".join(f"{c.source_name} as {c.internal_mapping}" for c in DECLARED)
@@ -161,9 +175,63 @@ def oracle_sql() -> dict[str, str]:
               cast(0 as bigint) as fatal, skipped, true as may_run from n""",
         "select_rename": f"with {RAW} select event_id, {renames} from raw_signals",
         "as_records": f"with {NUMBERED} select {_VERIFIED_COLUMNS} from numbered",
-        "as_json_records": f"""with {SIGNALS} select '{{"event_id":' || event_id ||
-            ',"entity_name":"' || entity_name || '","time_period":' || time_period || '}}' as record
-            from signals""",
+        "as_json_records": f"""with {RAW} select '{{"event_id":' || event_id || ',"entity":"' || entity ||
+            '","epoch":"' || epoch || '","reading":"' || reading || '","signature":"' || signature || '"}}'
+            as record from raw_signals""",
+        "dataset_status_cases": f"""with {RAW}, n as (select count(*) as bad from quarantine)
+            select 'missing column' as "case", 'RED' as status, cast(1 as bigint) as fatal, bad as skipped,
+              false as may_run from n
+            union all select 'bad rows', case when bad > 0 then 'AMBER' else 'GREEN' end, 0, bad, true from n
+            union all select 'clean rows', 'GREEN', 0, 0, true from n""",
+        "check_columns": """select * from (values
+              ('FATAL', 'MISSING_COLUMN', 'reading',
+                'Column ''reading'' declared in config schema_mapping but missing from CSV.'),
+              ('INFO', 'EXTRA_COLUMN', 'event_id', 'Ignoring extra CSV column: ''event_id'''))
+            as t(severity, code, "column", message), (select count(*) as rows from events)""",
+        "scan_errors": _TORN + """select 'FATAL' as severity, code, cast(null as varchar) as "column",
+            text || n as message from torn where n > 0""",
+        "error_preview": _TORN + """select code, cast(null as varchar) as "column",
+            substr(text || n, 1, 90) as message from torn where n > 0""",
+        "chart_titles": f"""with {NUMBERED} select unnest(['real_time_line_graph_values: readings',
+              'real_time_line_graph_values: readings (2)', 'real_time_line_graph_values: readings (3)']) as chart,
+            'readings  ✔ Complete' as title from (select count(*) from verified)""",
+        "chart_feed_twins": f"""with {_processed(10)},
+            points as (
+              select 'real_time_line_graph_values: readings' as chart, priority_index as n, time_period as t,
+                metric_value from processed
+              union all select 'real_time_line_graph_values: readings (2)', priority_index, priority_index,
+                metric_value from processed
+              union all select 'real_time_line_graph_values: readings (3)', priority_index, time_period,
+                metric_value from processed),
+            ranked as (select *, row_number() over (partition by chart order by n desc) as r from points)
+            select chart, row_number() over (partition by chart order by n) - 1 as position,
+              cast(t as double) as x, cast(t as varchar) as x_text, metric_value as y from ranked where r <= 120""",
+        "bar_labels": f"""with {FEED}, n as (select *, count(*) over (partition by chart) as n from feed)
+            select chart, position, right(x_text, 4) as label from n
+            where position % greatest(1, n // 6) = 0 and starts_with(chart, 'real_time_bar_chart')""",
+        "scatter_extents": f"""with {FEED}, e as (select chart, min(x) as x0, max(x) as x1,
+              min(y) as y0, max(y) as y1 from feed where starts_with(chart, 'real_time_scatter') group by chart),
+            p as (select *, case when (x1 - x0) * 0.05 = 0 then 1 else (x1 - x0) * 0.05 end as px,
+              case when (y1 - y0) * 0.05 = 0 then 1 else (y1 - y0) * 0.05 end as py from e)
+            select chart, x0 - px as x_low, y0 - py as y_low, x1 + px as x_high, y1 + py as y_high
+            from p""",
+        "stream_csv": f"with {RAW} select c1 as entity_name, c2 as time_period, c3 as metric_value, "
+        "c4 as security_hash from clean",
+        "stream_no_sequence": f"""with {NUMBERED} select cast(null as bigint) as priority_index, entity_name,
+            time_period, metric_value, security_hash from numbered where priority_index % 50 = 7""",
+        "stream_gap_timeout": f"with {NUMBERED}, {_LANDED} select {_VERIFIED_COLUMNS} from placed where not late",
+        "stream_late_rows": f"with {NUMBERED}, {_LANDED} select {_VERIFIED_COLUMNS} from placed where late",
+        "stream_repeated": f"with {NUMBERED} select {_VERIFIED_COLUMNS} from numbered where priority_index % 11 = 3",
+        "stream_release_samples": f"""with {NUMBERED}, {_LANDED},
+            raw as (select priority_index % 5 as sample, count(*) as size, count(*) filter (not late) as out
+              from placed group by 1)
+            select sample, 'raw' as stage, size from raw
+            union all select sample, 'intermediate', case when sample = 0 then size else 0 end from raw
+            union all select sample, 'processed', case sample when 0 then 0
+              when 1 then out + (select size from raw where sample = 0) else out end from raw""",
+        "progress_samples": """with s as (select unnest(['raw', 'intermediate', 'processed']) as stage)
+            select stage, cast(case stage when 'raw' then (select count(*) from events) else 0 end as bigint) as size
+            from s""",
         "scan_csv": f"""with {RAW} select row_number() over (order by event_id) as priority_index,
             c1 as entity_name, c2 as time_period, c3 as metric_value, c4 as security_hash from clean""",
         "add_sequence": "select row_number() over (order by ts, event_id) as priority_index, "
