@@ -1,0 +1,224 @@
+"""Nothing is lost or changed without a word: files, streams, charts, long windows, stored tables."""
+
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from test_run import COLUMNS, sign, spec, write
+from tidewire import workspace
+from tidewire.operators.charts import chart_feed, chart_names
+from tidewire.operators.rolling import rolling_average
+from tidewire.plans.run import run_pipeline
+from tidewire.sources.csv import scan_csv, scan_errors
+from tidewire.spec import Chart, RunSpec
+from tidewire.streaming.release import TICK, Release, released_rows, with_ticks
+
+GOOD = ["a", 1, 1.5, sign(1.5, "a key", 1)]
+HEADER = ("Sensor", "Clock", "Reading", "Mark")
+
+
+def text_file(path, *lines):
+    path.write_text("\n".join([",".join(HEADER), *lines]) + "\n")
+    return str(path)
+
+
+def codes(df):
+    return sorted(r.code for r in df.collect() if r.severity == "FATAL")
+
+
+def test_a_stray_quote_hides_no_cell(spark, tmp_path):
+    path = text_file(tmp_path / "a.csv", f'5" x,1,1.5,{GOOD[3]},6" more', ",".join(map(str, GOOD)))
+    assert codes(scan_errors(spark, path)) == ["RAGGED_ROW"]
+    run = run_pipeline(spark, spec(path, 1))
+    assert run.status.first().status == "RED" and run.processed.count() == 0 and codes(run.errors) == ["RAGGED_ROW"]
+
+
+def test_quoted_commas_and_quotes_are_no_fault(spark, tmp_path):
+    path = text_file(tmp_path / "a.csv", f'"a,""b"",c",1,1.5,{GOOD[3]}', f'5" x,2,1.5,{GOOD[3]}')
+    run = run_pipeline(spark, spec(path, 1))
+    assert sorted(r.entity_name for r in run.processed.collect()) == ['5" x', 'a,"b",c']
+
+
+def test_an_open_quote_is_fatal_unless_lines_may_go_on(spark, tmp_path):
+    path = text_file(tmp_path / "a.csv", f'"a\nb",1,1.5,{GOOD[3]}', ",".join(map(str, GOOD)))
+    assert codes(run_pipeline(spark, spec(path, 1)).errors) == ["OPEN_QUOTE"]
+    run = run_pipeline(spark, spec(path, 1, multiline=True))
+    assert sorted(r.entity_name for r in run.processed.collect()) == ["a", "a\nb"] and codes(run.errors) == []
+
+
+def test_the_configuration_may_allow_line_breaks():
+    columns = [{"source_name": c.source_name, "internal_mapping": c.internal_mapping, "data_type": c.data_type} for c in COLUMNS]
+    # fixed values: the keys of the configuration
+    config = {
+        "dataset_path": "p",
+        "schema_mapping": {"columns": columns},
+        "processing": {
+            "stateless_tasks": {"operation": "o", "algorithm": "a", "secret_key": "k", "iterations": 1},
+            "stateful_tasks": {"operation": "o", "running_average_window_size": 2},
+        },
+        "pipeline_dynamics": {"input_delay_seconds": 0, "core_parallelism": 1, "stream_queue_max_size": 1},
+        "visualizations": {
+            "telemetry": {f"show_{s}_stream": True for s in ("raw", "intermediate", "processed")},
+            "data_charts": [{"type": "real_time_scatter_values", "title": "t", "x_axis": "x", "y_axis": "y"}],
+        },
+    }
+    assert not RunSpec.from_mapping(config).multiline
+    assert RunSpec.from_mapping(config | {"multiline": True}).multiline
+    with pytest.raises(ValueError, match="multiline"):
+        RunSpec.from_mapping(config | {"multiline": 1})
+
+
+def test_files_that_cannot_be_read(spark, tmp_path):
+    empty = tmp_path / "empty.csv"
+    empty.write_text("")
+    assert codes(run_pipeline(spark, spec(str(empty), 1)).errors) == ["UNREADABLE_FILE"]
+    assert codes(scan_errors(spark, str(tmp_path / "none.csv"))) == ["MISSING_FILE"]
+
+
+def test_repeated_header_names(spark, tmp_path):
+    path = write(tmp_path / "a.csv", [["x", 1, "y", 2, "z"]], ("Sensor", "Clock", "Sensor", "Reading", "sensor"))
+    assert [tuple(r) for r in scan_csv(spark, path).collect()] == [("x", "1", "y", "2", "z")]
+    path = write(tmp_path / "b.csv", [[*GOOD, "other"]], (*HEADER, "Sensor"))
+    assert [r.entity_name for r in run_pipeline(spark, spec(path, 1)).processed.collect()] == ["a"]
+
+
+# ---- streams ------------------------------------------------------------------------------------
+
+
+def test_numberless_repeated_and_late_rows_are_kept(spark, folder):
+    release = Release(folder("out"), folder("state"), "seq", "v", 2, gap_timeout=1.0, clock=iter([0.0, 5.0, 9.0]).__next__)
+    schema = "seq long, v double, batch string"
+    batches = [
+        [(1, 1.0, "a"), (None, 9.0, "b"), (3, 3.0, "c"), (3, 3.0, "d")],
+        [(4, 4.0, "e"), (None, None, "f")],
+        [(2, 2.0, "g"), (5, 5.0, "h")],
+    ]
+    for i, rows in enumerate(batches):
+        release.run_batch(spark.createDataFrame(rows, schema), i)
+    parts = {p: released_rows(spark, release, p) for p in ("rows", "late", "repeated", "no_sequence")}
+    assert sorted((r.seq, r.computed_metric) for r in parts["rows"].collect()) == [(1, 1.0), (3, 2.0), (4, 3.5), (5, 4.5)]
+    assert {r.batch for r in parts["rows"].collect()} <= {"a", "c", "d", "e", "h"}
+    assert [tuple(r) for r in parts["late"].collect()] == [(2, 2.0, "g")]
+    assert [r.seq for r in parts["repeated"].collect()] == [3]
+    assert sorted(r.batch for r in parts["no_sequence"].collect()) == ["b", "f"]
+    assert all(parts[p].columns == ["seq", "v", "batch"] for p in ("late", "repeated", "no_sequence"))
+    with pytest.raises(ValueError):
+        released_rows(spark, release, "other")
+
+
+def test_late_table_of_a_stream_without_late_rows(spark, folder):
+    release = Release(folder("out"), folder("state"), "seq", "v", 2)
+    release.run_batch(spark.createDataFrame([(1, 1.0)], "seq long, v double"), 0)
+    late = released_rows(spark, release, "late")
+    assert late.columns == ["seq", "v"] and late.count() == 0
+
+
+def test_two_batches_at_one_time(spark, folder):
+    from tidewire.streaming.progress import release_samples
+
+    release = Release(folder("out"), folder("state"), "seq", clock=lambda: 1.0)
+    for i, rows in enumerate([[(2,), (3,)], [(4,)]]):
+        release.run_batch(spark.createDataFrame(rows, "seq long"), i)
+    raw = release_samples(spark, release, 10).filter("stage = 'raw'").orderBy("sample").collect()
+    assert [r["size"] for r in raw] == [2, 1]
+
+
+def test_ticks_are_marked_and_leave_no_row(spark, folder):
+    source = folder("source")
+    spark.createDataFrame([(1, 1.0)], "seq long, v double").write.parquet(source)
+    stream = with_ticks(spark.readStream.schema("seq long, v double").parquet(source))
+    assert stream.columns == ["seq", "v", TICK]
+    release = Release(folder("out"), folder("state"), "seq")
+    rows = [(1, 1.0, False), (None, None, True), (None, 2.0, False)]
+    release.run_batch(spark.createDataFrame(rows, f"seq long, v double, {TICK} boolean"), 0)
+    assert [tuple(r) for r in released_rows(spark, release).collect()] == [(1, 1.0)]
+    assert [tuple(r) for r in released_rows(spark, release, "no_sequence").collect()] == [(None, 2.0)]
+
+
+# ---- operators ----------------------------------------------------------------------------------
+
+
+def test_charts_are_told_apart_by_place(spark):
+    one = Chart("real_time_scatter_values", "t", "time_period", "y")
+    charts = [one, Chart(one.type, "t", "priority_index", "y"), one]
+    assert chart_names(charts) == [f"{one.type}: t", f"{one.type}: t (2)", f"{one.type}: t (3)"]
+    df = spark.createDataFrame([(i, 10 * i, float(i)) for i in range(5)], "priority_index long, time_period long, metric_value double")
+    feed = {}
+    for r in chart_feed(df, charts).collect():
+        feed.setdefault(r.chart, []).append((r.position, r.x))
+    points = [(i, 10.0 * i) for i in range(5)]
+    assert {k: sorted(v) for k, v in feed.items()} == dict(zip(chart_names(charts), [points, [(i, float(i)) for i in range(5)], points]))
+
+
+def test_one_odd_value_changes_its_stretches_only(spark):
+    rows = [(i, float(i % 97)) for i in range(1, 20_001)]
+    plain = rolling_average(spark.createDataFrame(rows, "n long, v double"), "n", "v", 300, bucket_width=4096)
+    rows[9_999] = (10_000, float("nan"))
+    rows[15_000] = (15_001, 1e12)
+    odd = rolling_average(spark.createDataFrame(rows, "n long, v double"), "n", "v", 300, bucket_width=4096)
+    plan = odd._jdf.queryExecution().executedPlan().toString()
+    assert "-299" in plan and "LeftAnti" in plan and "LeftSemi" in plan
+    want = {r.n: r.computed_metric for r in plain.collect()}
+    for r in odd.collect():
+        if 10_000 <= r.n < 10_300:
+            assert r.computed_metric != r.computed_metric
+        elif 15_001 <= r.n < 15_301:
+            assert r.computed_metric > 1e9
+        else:
+            assert r.computed_metric == want[r.n]
+
+
+def test_rows_without_a_number_have_no_place_in_groups(spark):
+    df = spark.createDataFrame([(1, 1.0, "a"), (None, 2.0, "a")], "n long, v double, g string")
+    with pytest.raises(ValueError, match="NULL"):
+        rolling_average(df, "n", "v", 3, partition_by=["g"])
+
+
+# ---- stored tables and workers ------------------------------------------------------------------
+
+
+def test_runs_free_their_tables(spark, tmp_path):
+    path = write(tmp_path / "a.csv", [GOOD], HEADER)
+    run = run_pipeline(spark, spec(path, 1))
+    assert run.processed.count() == 1 and run.paths
+    assert all(spark.sparkContext.applicationId in p for p in run.paths)
+    run.free()
+    assert not any(workspace.exists(spark, p) for p in run.paths)
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    class Nothing:
+        """A session on a cluster with no setting at all."""
+
+        master = "spark://host:7077"
+        conf = property(lambda self: self)
+        sparkContext = property(lambda self: self)
+
+        def get(self, *_):
+            return None
+
+        def getConf(self):
+            return self
+
+        getCheckpointDir = get
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_root(Nothing())
+
+
+def test_workers_find_the_package_from_anywhere(tmp_path):
+    root = Path(__file__).resolve().parent.parent
+    script = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+import __spark_entry__ as entry
+from tidewire.session import local_session
+spark = local_session(2, "elsewhere")
+print("rows", entry.queries()["verify_signatures_table"](spark, "/root/testdata/sf0.001").count())
+"""
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=200)
+    assert "rows 857" in done.stdout, done.stderr[-2000:]

@@ -1,5 +1,6 @@
 """Streams against the batch operators: order, gaps, late rows, repeats and the sinks."""
 
+import os
 import random
 import time
 from collections import deque
@@ -158,16 +159,13 @@ def test_verify_on_a_stream(spark, folder):
 
 
 def test_stream_csv(spark, folder):
-    source, out = folder("csv"), folder("out")
-    spark.createDataFrame([("a", "NA"), (" b ", "2")], "x string, y string").coalesce(1).write.csv(
-        source, header=True
-    )
+    source, out = folder("csv").removeprefix("file:"), folder("out")
+    os.makedirs(source)
+    with open(f"{source}/part.csv", "w") as file:
+        file.write("x,y\na,NA\n b ,2\n")
     query = write_processed(stream_csv(spark, source, ["x", "y"]), out, checkpoint=folder("cp"))
     query.awaitTermination()
-    assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted([("a", None), (" b ", "2")]) or (
-        # Spark trims unquoted cells on writing
-        sorted(map(tuple, spark.read.parquet(out).collect())) == [("a", None), ("b", "2")]
-    )
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == [(" b ", "2"), ("a", None)]
 
 
 def test_feed_sink(spark, folder):
