@@ -89,6 +89,15 @@ def test_base_spans_follow_their_definition(text):
         ("pay four one one one one one one one one one one one one one one one", "card",
          "four one one one one one one one one one one one one one one one"),
         ("id ４111 1111 1111 1111", "card", "４111 1111 1111 1111"),
+        ("id 4111\u20111111\u20111111\u20111111.", "card", "4111\u20111111\u20111111\u20111111"),
+        ("tel +1\u00a0(555)\u00a0010\u20130199", "phone", "+1\u00a0(555)\u00a0010\u20130199"),
+        ("host 192\u3002168\u30021\u300220", "ip", "192\u3002168\u30021\u300220"),
+        ("host 192[.]168[.]1[.]20", "ip", "192[.]168[.]1[.]20"),
+        ("mail jane&#64;example&#46;org", "email", "jane&#64;example&#46;org"),
+        ("jane dot doe at example dot com", "email", "jane dot doe at example dot com"),
+        ("jane (at) example.com", "email", "jane (at) example.com"),
+        ("jane.doe AT mail DOT example DOT com", "email", "jane.doe AT mail DOT example DOT com"),
+        ("j\u043ehn\uff20ex\u0430mple\u2024com", "email", "j\u043ehn\uff20ex\u0430mple\u2024com"),
     ],
 )
 def test_disguises_are_found_at_their_source(text, kind, found):

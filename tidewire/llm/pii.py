@@ -138,6 +138,13 @@ _SIGN_HINT = re.compile(
 _LETTER_DIGIT = re.compile(r"([0-9]\.?)[OoIl]+(?=[0-9.])")
 _LETTER_VALUE = str.maketrans("OoIl", "0011")
 
+# between digits: spaces, dashes and dots of other kinds, entities for the signs
+_PARTED = re.compile(
+    "([0-9)])([\u00a0\u2000-\u200a\u202f\u205f\u3000])(?=[0-9(])|([0-9)])([\u2010-\u2015\u2212])(?=[0-9(])"
+    "|([0-9])([\u00b7\u2022\u3002])(?=[0-9])"
+)
+_ENTITY = re.compile(r"&(?:#0*64|#x0*40|commat);|&(?:#0*46|#x0*2e|period);", re.I)
+
 Edit = tuple[int, int, str]
 
 
@@ -166,6 +173,21 @@ def _fold_edits(text: str) -> list[Edit]:
     return [(m.start(), m.end(), folds[m[0]]) for m in pattern.finditer(text)]
 
 
+def _parted_edits(text: str) -> list[Edit]:
+    edits = []
+    if not text.isascii():
+        for m in _PARTED.finditer(text):
+            kind = next(k for k in (2, 4, 6) if m[k])
+            edits.append((m.start(kind), m.end(kind), {2: " ", 4: "-", 6: "."}[kind]))
+    return edits
+
+
+def _entity_edits(text: str) -> list[Edit]:
+    if "&" not in text:
+        return []
+    return [(m.start(), m.end(), "@" if re.search("64|40|comm", m[0], re.I) else ".") for m in _ENTITY.finditer(text)]
+
+
 def _chain_edits(text: str) -> list[Edit]:
     edits = []
     for chain in _CHAIN.finditer(text):
@@ -189,7 +211,7 @@ def _letter_edits(text: str) -> list[Edit]:
     return [(m.end(1), m.end(), text[m.end(1) : m.end()].translate(_LETTER_VALUE)) for m in _LETTER_DIGIT.finditer(text)]
 
 
-TRANSDUCERS = (_fold_edits, _chain_edits, _sign_edits, _letter_edits)
+TRANSDUCERS = (_fold_edits, _entity_edits, _parted_edits, _chain_edits, _sign_edits, _letter_edits)
 
 
 class Rewritten:
