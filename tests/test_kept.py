@@ -5,6 +5,7 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from test_run import COLUMNS, sign, spec, write
@@ -13,6 +14,7 @@ from tidewire.operators.charts import chart_feed, chart_names
 from tidewire.operators.rolling import rolling_average
 from tidewire.plans.run import run_pipeline
 from tidewire.sources.csv import scan_csv, scan_errors
+from tidewire.sources.sinks import write_processed
 from tidewire.spec import Chart, RunSpec
 from tidewire.streaming.release import TICK, Release, released_rows, with_ticks
 
@@ -189,6 +191,15 @@ def test_runs_free_their_tables(spark, tmp_path):
     assert not any(workspace.exists(spark, p) for p in run.paths)
 
 
+def test_processed_rows_are_written_in_order(spark, folder):
+    rows = spark.range(1, 5001).select(F.col("id").alias("priority_index"), (F.col("id") % 7).alias("v"))
+    out = folder("processed").removeprefix("file:")
+    write_processed(rows.repartition(7, "v"), out)
+    files = sorted(f for f in os.listdir(out) if f.endswith(".parquet"))
+    got = [n for f in files for n in pq.read_table(f"{out}/{f}").column("priority_index").to_pylist()]
+    assert got == list(range(1, 5001))
+
+
 def test_a_cluster_must_name_a_shared_folder():
     class Nothing:
         """A session on a cluster with no setting at all."""

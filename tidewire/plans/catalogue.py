@@ -142,13 +142,17 @@ def q_chart_feed_twins(spark, sf_dir):
 
 def q_verify_table(spark, sf_dir):
     """Digests of distinct salts, joined back; two iterations, so Python hashes."""
+    return verify_signatures(signed_twice(spark, sf_dir), FIXTURE_KEY, 2)
+
+
+def signed_twice(spark, sf_dir):
+    """Events signed by two iterations, a seventh of them wrongly."""
     digest = digest_udf(FIXTURE_KEY, 2)(two_decimals(F.col("value")))
-    signed = events(spark, sf_dir).select(
+    return events(spark, sf_dir).select(
         "event_id",
         F.col("value").alias("metric_value"),
         F.when(F.col("event_id") % 7 == 3, F.reverse(digest)).otherwise(digest).alias("security_hash"),
     )
-    return verify_signatures(signed, FIXTURE_KEY, 2)
 
 
 def q_verify_wide(spark, sf_dir):
@@ -222,7 +226,11 @@ def hourly_samples(spark, sf_dir):
 
 def q_scan_csv(spark, sf_dir):
     """Write as CSV, scan, cast, and number the clean rows in source order."""
-    scanned = scan_csv(spark, live.raw_csv(spark, sf_dir), source_order=True)
+    return scanned(spark, live.raw_csv(spark, sf_dir))
+
+
+def scanned(spark, path):
+    scanned = scan_csv(spark, path, source_order=True)
     cast = ingest.cast_declared(scanned, DECLARED)
     clean = ingest.clean_rows(cast, DECLARED, keep=SOURCE_ORDER)
     return add_sequence(ingest.rename_internal(clean, DECLARED), SOURCE_ORDER)

@@ -35,9 +35,10 @@ def raw_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def csv_run(spark: SparkSession, sf_dir: str) -> Run:
+def csv_run(spark: SparkSession, sf_dir: str, path: str | None = None) -> Run:
+    """A run over the raw signals as CSV, written first unless ``path`` has them."""
     spec = RunSpec(
-        dataset_path=raw_csv(spark, sf_dir),
+        dataset_path=path or raw_csv(spark, sf_dir),
         columns=DECLARED,
         secret_key=FIXTURE_KEY,
         iterations=1,

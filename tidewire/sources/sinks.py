@@ -20,8 +20,14 @@ from tidewire.spec import SEQUENCE, Chart
 def write_processed(
     df: DataFrame, path: str, mode: str = "append", checkpoint: str | None = None
 ) -> StreamingQuery | None:
-    """Write processed rows as Parquet. A stream needs ``checkpoint`` and returns its query."""
+    """Write processed rows as Parquet. A stream needs ``checkpoint`` and returns its query.
+
+    A batch with sequence numbers is written in their order: each file is sorted, and holds higher numbers than
+    the files named before it.
+    """
     if not df.isStreaming:
+        if SEQUENCE in df.columns:
+            df = df.repartitionByRange(SEQUENCE).sortWithinPartitions(SEQUENCE)
         df.write.mode(mode).parquet(path)
         return None
     if checkpoint is None:
