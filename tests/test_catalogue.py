@@ -3,6 +3,7 @@
 import __spark_entry__ as contract
 import pytest
 from compare import connect, differences
+from tidewire.plans import catalogue, oracles
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
@@ -18,20 +19,11 @@ def test_same_rows(spark, con, name):
     assert differences(QUERIES[name](spark, SF), con, SQL[name]) == ""
 
 
-def test_only_known_queries_lack_sql():
-    assert set(QUERIES) - set(SQL) == {"progress_samples"}
+def test_all_queries_of_the_core_have_sql():
+    assert set(catalogue.queries()) == set(oracles.oracle_sql())
     assert set(SQL) <= set(QUERIES)
 
 
-def test_progress_samples(spark):
-    health = QUERIES["progress_samples"](spark, SF)
-    rows = health.collect()
-    assert {r.stage for r in rows} == {"raw", "intermediate", "processed"}
-    assert sum(r["size"] for r in rows if r.stage == "raw") == 1000
-    last = max(r["sample"] for r in rows)
-    assert [r["size"] for r in rows if r.stage == "intermediate" and r["sample"] == last] == [0]
-
-
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.count() > 0 and "computed_metric" in df.columns

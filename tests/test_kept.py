@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from test_run import COLUMNS, sign, spec, write
 from tidewire import workspace
 from tidewire.operators.charts import chart_feed, chart_names
+from tidewire.operators.ordering import add_sequence
 from tidewire.operators.rolling import rolling_average
 from tidewire.plans.run import run_pipeline
 from tidewire.sources.csv import scan_csv, scan_errors
@@ -179,6 +180,14 @@ def test_rows_without_a_number_have_no_place_in_groups(spark):
         rolling_average(df, "n", "v", 3, partition_by=["g"])
 
 
+def test_repeated_numbers_are_refused(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 2.0), (2, 3.0)], "n long, v double")
+    with pytest.raises(ValueError, match="repeated"):
+        rolling_average(df, "n", "v", 2)
+    with pytest.raises(ValueError, match="repeated"):
+        add_sequence(df, "n", unique=True)
+
+
 # ---- stored tables and workers ------------------------------------------------------------------
 
 

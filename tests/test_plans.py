@@ -83,13 +83,15 @@ def test_no_python_in_the_flagship(spark):
 def test_shared_folder(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert named is None or shared_root(spark) == named.rstrip("/")
-    assert new_path(spark, "x").startswith(shared_root(spark) + "/tidewire/x-")
+    assert new_path(spark, "x").startswith(f"{shared_root(spark)}/tidewire/{spark.sparkContext.applicationId}/x-")
 
 
 def test_shared_folder_of_our_own_where_none_is_named(spark, monkeypatch):
     made = []
 
     class Context:
+        master = "local[2]"
+
         def getConf(self):
             return {}
 
@@ -110,6 +112,7 @@ def test_shared_folder_of_our_own_where_none_is_named(spark, monkeypatch):
 def test_clear(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(workspace, "shared_root", lambda spark: str(tmp_path))
     assert workspace.materialise(spark.range(5), "t").count() == 5
-    assert list((tmp_path / "tidewire").iterdir())
+    (tmp_path / "tidewire" / "other").mkdir()
+    assert len(list((tmp_path / "tidewire").iterdir())) == 2
     workspace.clear(spark)
-    assert not (tmp_path / "tidewire").exists()
+    assert [p.name for p in (tmp_path / "tidewire").iterdir()] == ["other"]

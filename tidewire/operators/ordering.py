@@ -231,6 +231,9 @@ def key_spread(df: DataFrame, key: str) -> KeySpread | None:
     low, high, rows, keyed = df.agg(F.min(key), F.max(key), F.count("*"), F.count(key)).first()
     if keyed < rows:
         raise ValueError(f"{key!r} is NULL in {rows - keyed} rows, which thus have no place in order")
+    if rows and rows > high - low + 1:
+        # numbers held by very many rows would also end up in one task
+        raise ValueError(f"{key!r} has {rows} rows on {high - low + 1} numbers, so some are repeated")
     return KeySpread(low, high - low + 1, rows) if rows else None
 
 
