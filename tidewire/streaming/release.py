@@ -72,7 +72,8 @@ class Release:
         # one row per number: the one that came first, of those that came together any
         first = Window.partitionBy(seq).orderBy(_SINCE, _FRESH, F.xxhash64(*batch.columns))
         pooled = before.pending.withColumn(_FRESH, F.lit(False)).unionByName(fresh)
-        placed = pooled.filter(seq.isNotNull()).withColumn(_COPY, F.row_number().over(first) > 1)
+        numbered = pooled.filter(seq.isNotNull()).withColumn(_COPY, F.row_number().over(first) > 1)
+        placed = numbered.unionByName(pooled.filter(seq.isNull()).withColumn(_COPY, F.lit(False)))
         kept = ~F.col(_COPY)
         seen = Observation()
         pool_path = self._slot(batch_id, "pool")
@@ -83,6 +84,7 @@ class Release:
                 F.count_if(late & kept).alias("late"),
                 F.count_if(~late & kept).alias("open"),
                 F.count_if(F.col(_COPY)).alias("repeated"),
+                F.count_if(seq.isNull()).alias("placeless"),
                 F.max(F.when(self._overdue(now) & ~late, seq)).alias("overdue"),
             )
             .drop(_FRESH)
@@ -91,12 +93,14 @@ class Release:
         )
         counts = seen.get
         stored = spark.read.schema(T.StructType([*before.pending.schema.fields, _COPY_FIELD])).parquet(pool_path)
-        pool = stored.filter(kept).drop(_COPY)
+        pool = stored.filter(kept & seq.isNotNull()).drop(_COPY)
         if counts["late"]:
             self._put(pool.filter(late).drop(_SINCE), "late", batch_id)
         if counts["repeated"]:
             self._put(stored.filter(F.col(_COPY)).drop(_SINCE, _COPY), "repeated", batch_id)
-        placeless = self._placeless(batch.filter(seq.isNull()), batch_id)
+        if counts["placeless"]:
+            # rows without a number have no place in the order
+            self._put(stored.filter(seq.isNull()).drop(_SINCE, _COPY), "no_sequence", batch_id)
         reached = max(before.expected - 1, counts["overdue"] or 0)
         expected = before.expected
         if counts["open"]:
@@ -108,7 +112,7 @@ class Release:
         ).parquet(self._folder("rows", batch_id))
         waiting = pool.filter(seq >= expected).count() if counts["open"] else 0
         self._note(spark, batch_id, expected, due, before)
-        sizes = {"raw": counts["fresh"] + placeless, "intermediate": waiting, "processed": written.get["rows"]}
+        sizes = {"raw": counts["fresh"], "intermediate": waiting, "processed": written.get["rows"]}
         samples = [(batch_id, stage, size, None) for stage, size in sizes.items()]
         small_frame(spark, samples, SAMPLES).write.mode("overwrite").parquet(
             self._folder("samples", batch_id)
@@ -117,12 +121,6 @@ class Release:
     def _put(self, rows: DataFrame, part: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self._folder(part, batch_id))
 
-    def _placeless(self, rows: DataFrame, batch_id: int) -> int:
-        """Keep rows without a number apart, and count them: they have no place in the order."""
-        seen = Observation()
-        self._put(rows.observe(seen, F.count("*").alias("rows")), "no_sequence", batch_id)
-        return seen.get["rows"]
-
     def _overdue(self, now: float):
         if self.gap_timeout is None:
             return F.lit(False)
@@ -252,7 +250,8 @@ def released_rows(spark: SparkSession, release: Release, part: str = "rows") ->
     reader = spark.read.option("recursiveFileLookup", True)
     if part == "rows" or exists(spark, f"{release.out}/{part}"):
         return reader.parquet(f"{release.out}/{part}")
-    return reader.parquet(f"{release.out}/no_sequence").limit(0)  # written by every batch
+    rows = reader.parquet(f"{release.out}/rows").limit(0)
+    return rows.drop(AVERAGE) if release.value_col is not None else rows
 
 
 def with_ticks(sdf: DataFrame, per_second: int = 1) -> DataFrame:
