@@ -277,8 +277,9 @@ def hash_prefix(tokens: np.ndarray, rule: Rule, seed: int) -> np.ndarray:
 
 def class_orders(signed: DataFrame, posted: DataFrame) -> DataFrame:
     """The prefixes of the classes with candidates under the other orders."""
-    some = signed.select("set", "orders").join(posted.select("set").distinct(), "set")
-    return some.dropDuplicates(["set"])
+    # once per class in each task, before any join: a class may have very many rows
+    once = signed.filter("n > 0").select("set", "orders").dropDuplicates(["set"])
+    return once.join(posted.select("set").distinct(), "set", "left_semi")
 
 
 def sharing(pairs: DataFrame, orders: DataFrame) -> DataFrame:
