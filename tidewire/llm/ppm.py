@@ -339,7 +339,8 @@ def score_texts(docs: DataFrame, learn_col: str, id_col: str = "doc_id", text_co
                     for some in pieces(part, "text"):
                         yield _scores(some, ready, tokens, base)
 
-    docs_ = dealt.select("chunk", F.lit(1).alias("kind"), "id", "text", *[F.lit(None).cast("binary").alias(c) for c in ("keys", "worth", "counts")])
+    nothing = [F.lit(None).cast("binary").alias(c) for c in ("keys", "worth", "counts")]
+    docs_ = dealt.select("chunk", F.lit(1).alias("kind"), "id", "text", *nothing)
     kind = dict(texts.dtypes)["id"]
     model = values.filter("chunk >= 0").select(
         "chunk", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("id"), F.lit("").alias("text"), "keys", "worth", "counts"

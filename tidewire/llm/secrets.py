@@ -22,7 +22,7 @@ from math import log2
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidewire.llm.common import map_batches, pieces, texts_of, with_columns
+from tidewire.llm.common import map_batches, pieces, with_columns
 from tidewire.llm.spans import Span, find_spans, mask_text
 
 KINDS = ("assign", "access", "hex", "entropy")
