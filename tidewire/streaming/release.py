@@ -70,10 +70,11 @@ class Release:
         fresh = batch.withColumns({_SINCE: F.lit(now), _FRESH: F.lit(True)})
         late = seq < before.expected
         # one row per number: the one that came first, of those that came together any
-        first = Window.partitionBy(seq).orderBy(_SINCE, _FRESH, F.xxhash64(*batch.columns))
+        row = F.xxhash64(*batch.columns)
+        # rows without a number are spread, and stay
+        first = Window.partitionBy(seq, F.when(seq.isNull(), row)).orderBy(_SINCE, _FRESH, row)
         pooled = before.pending.withColumn(_FRESH, F.lit(False)).unionByName(fresh)
-        numbered = pooled.filter(seq.isNotNull()).withColumn(_COPY, F.row_number().over(first) > 1)
-        placed = numbered.unionByName(pooled.filter(seq.isNull()).withColumn(_COPY, F.lit(False)))
+        placed = pooled.withColumn(_COPY, seq.isNotNull() & (F.row_number().over(first) > 1))
         kept = ~F.col(_COPY)
         seen = Observation()
         pool_path = self._slot(batch_id, "pool")
