@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -136,6 +138,29 @@ def test_entropy_and_allow_list():
         assert secrets.secret_spans(text) == []
 
 
+BASE62 = string.ascii_letters + string.digits
+
+
+def random_keys(letters, size, seed=5):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choices(letters, k=size)) for _ in range(200)]
+
+
+@pytest.mark.parametrize(
+    "around",
+    ["api.example.com/v1/{}", "sample_{}", "example_{}", "https_proxy={}", "www.site.com/{}", "{}00000000", "{}xxxxxxxx",
+     "550e8400-e29b-41d4-a716-446655440000_{}", "changeme.{}.dummy"],
+)
+def test_filler_hides_no_key_beside_it(around):
+    found = 0
+    for key in random_keys(BASE62, 40):
+        text = around.format(key)
+        at = text.index(key)
+        spans = [(s, e) for k, s, e, _ in secrets.secret_spans(text) if k == "entropy"]
+        found += any(s < at + 40 and at < e for s, e in spans)
+    assert found >= 190
+
+
 def test_masking_joins_overlaps():
     assert mask_text("abcdefgh", [(1, 3, "x"), (2, 5, "y"), (6, 7, "z")]) == "a[X]f[Z]h"
     assert mask_text("abc", []) == "abc"

@@ -3,8 +3,9 @@
 The base kinds are patterns. The method adds spans of kind ``entropy``: every candidate string
 (a run of key-like characters) is cut into its runs of one character class, and a window slides over
 each run. The window's Shannon entropy follows from counts that change by one character in and one
-out, so a run of any length costs the same per character. Candidates that look like words, paths,
-names or well-known filler are suppressed.
+out, so a run of any length costs the same per character. Windows that look like words, paths of words,
+names or numbers do not count; letters of one case alone always look so. UUIDs, and keys beside a filler
+word whose letters follow the alphabet, are left out. Neither hides what stands beside it.
 
 Null and empty texts have no spans. Repeated rows are scanned one by one. A column of the result's
 name is replaced; all other columns are kept. Spans are in code points, end exclusive, by start and
@@ -35,10 +36,13 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 
 #: Candidate strings: runs of key-like characters.
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{20,}")
-_ALLOWED = re.compile(
-    r"(?i)example|placeholder|changeme|dummy|sample|lorem|x{6,}|0{8,}|^[0-9.+/=_-]+$|^https?|^www[.]|^[a-z+/_=.-]+$"
-)
-_UUID = re.compile(r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")
+#: Identifiers of no worth, and keys beside a filler word, which are made up if their letters follow the alphabet.
+_UUID = re.compile(r"(?<![A-Za-z0-9])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9])")
+_LABELLED = re.compile(r"(?:example|placeholder|changeme|dummy|sample|lorem)[/._=+-]?([A-Za-z0-9]{20,})", re.I)
+_PARTS = re.compile(r"[/._=+-]+")
+# letters with a number before or after, and those in one case or capitalised
+_NAME = re.compile(r"[0-9]{0,4}[A-Za-z]*[0-9]{0,4}|[0-9]+")
+_WORD = re.compile(r"[0-9]*(?:[A-Z]?[a-z]*|[A-Z]*)[0-9]*")
 
 
 @dataclass(frozen=True)
@@ -51,7 +55,7 @@ class Window:
     bits: float
 
 
-# A run of the first class is a run of the second too; each class has its own greatest entropy.
+# A run of one class may be a run of a wider one too; each class has its own greatest entropy.
 WINDOWS = (
     Window("hexadecimal", re.compile(r"[0-9a-fA-F]{20,}"), 20, 3.0),
     Window("alphanumeric", re.compile(r"[A-Za-z0-9]{20,}"), 20, 3.6),
@@ -73,33 +77,60 @@ def sliding_entropy(run: str, length: int) -> Iterator[float]:
         yield log2(length) - weighed / length
 
 
-def allowed(candidate: str) -> bool:
-    """Strings that no one needs to hide: words, paths of words, numbers, filler, UUIDs."""
-    return bool(_ALLOWED.search(candidate) or _UUID.match(candidate))
+def worthless(candidate: str) -> list[tuple[int, int]]:
+    """The stretches of a candidate that no one needs to hide, whatever stands beside them."""
+    found = [m.span() for m in _UUID.finditer(candidate)]
+    for m in _LABELLED.finditer(candidate):
+        letters = [c for c in m[1].lower() if c.isalpha()]
+        if len(letters) >= 10 and letters == sorted(letters):
+            found.append(m.span())
+    return sorted(found)
+
+
+def wordy(window: str) -> bool:
+    """Words, paths of words, names and numbers: every part between signs is a word or a number.
+
+    Words run together have one capital in three letters at most, and vowels among the small ones.
+    """
+    parts = _PARTS.split(window)
+    if not all(map(_NAME.fullmatch, parts)):
+        return False
+    if all(map(_WORD.fullmatch, parts)):
+        return True
+    small = [c for c in window if c.islower()]
+    return 2 * sum(c.isupper() for c in window) <= len(small) <= 4 * sum(c in "aeiouy" for c in small)
+
+
+def _secret_like(window: str) -> bool:
+    """Secrets mix two digits or more with letters, otherwise than words and numbers do."""
+    digits = sum(c.isdigit() for c in window)
+    return 2 <= digits < len(window) - 1 and (window.isalnum() or not wordy(window))
 
 
-def _mixed(run: str) -> bool:
-    """Secrets mix digits with letters; a part of a long word or number doesn't."""
-    digits = sum(c.isdigit() for c in run)
-    return 2 <= digits < len(run) - 1
+def _remaining(candidate: str) -> Iterator[tuple[int, str]]:
+    """What is left of a candidate beside its worthless stretches, and where it begins."""
+    at = 0
+    for start, end in [*worthless(candidate), (len(candidate),) * 2]:
+        if start - at >= 20:
+            yield at, candidate[at:start]
+        at = max(at, end)
 
 
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     """Stretches of candidate strings in which some window of some class is above its threshold."""
     found = []
     for candidate in _CANDIDATE.finditer(text):
-        if allowed(candidate[0]):
-            continue
         marks = []
-        for window in WINDOWS:
-            for run in window.run.finditer(candidate[0]):
-                first = last = None
-                for at, bits in enumerate(sliding_entropy(run[0], window.length)):
-                    if bits >= window.bits and _mixed(run[0][at : at + window.length]):
-                        first, last = at if first is None else first, at
-                if first is not None:
-                    at = candidate.start() + run.start()
-                    marks.append((at + first, at + last + window.length))
+        for begin, rest in _remaining(candidate[0]):
+            for window in WINDOWS:
+                for run in window.run.finditer(rest):
+                    first = last = None
+                    for at, bits in enumerate(sliding_entropy(run[0], window.length)):
+                        if bits >= window.bits and _secret_like(run[0][at : at + window.length]):
+                            first, last = at if first is None else first, at
+                    if first is not None:
+                        at = candidate.start() + begin + run.start()
+                        marks.append((at + first, at + last + window.length))
         reach = -1
         for start, end in sorted(marks):
             if start < reach:
