@@ -58,8 +58,9 @@ class Window:
 # A run of one class may be a run of a wider one too; each class has its own greatest entropy.
 WINDOWS = (
     Window("hexadecimal", re.compile(r"[0-9a-fA-F]{20,}"), 20, 3.0),
+    Window("base32", re.compile(r"[A-Z2-7]{20,}|[a-z2-7]{20,}"), 20, 3.3),
     Window("alphanumeric", re.compile(r"[A-Za-z0-9]{20,}"), 20, 3.6),
-    Window("base64", re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}"), 24, 3.9),
+    Window("base64", re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}"), 20, 3.65),
 )
 
 
@@ -102,9 +103,16 @@ def wordy(window: str) -> bool:
 
 
 def _secret_like(window: str) -> bool:
-    """Secrets mix two digits or more with letters, otherwise than words and numbers do."""
+    """Secrets mix digits with letters, or capitals with small letters, otherwise than words do.
+
+    Two digits will do in a run without signs; with fewer, or with signs, it must not be words.
+    """
     digits = sum(c.isdigit() for c in window)
-    return 2 <= digits < len(window) - 1 and (window.isalnum() or not wordy(window))
+    if digits >= len(window) - 1:
+        return False
+    if digits >= 2 and window.isalnum():
+        return True
+    return not wordy(window)
 
 
 def _remaining(candidate: str) -> Iterator[tuple[int, str]]:
