@@ -107,6 +107,31 @@ def test_disguises_are_found_at_their_source(text, kind, found):
     assert (kind, text.index(found), text.index(found) + len(found), False) in spans
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("ask anna at posta dot it now", "anna at posta dot it"),
+        ("anna at posta dot in", "anna at posta dot in"),
+        ("joe at mail dot me", "joe at mail dot me"),
+        ("anna at posta punkt de", "anna at posta punkt de"),
+        ("jane punkt doe at mail point posta point fr", "jane punkt doe at mail point posta point fr"),
+        ("jane.smith at host.com", "jane.smith at host.com"),
+        ("see follow-up at example.com", "follow-up at example.com"),
+    ],
+)
+def test_bare_words_tell_any_host(text, found):
+    assert ("email", text.index(found), text.index(found) + len(found), False) in pii.private_spans(text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["we are at this point in time", "it was at boiling point it seems", "we met at home . then we left", "see e.g. at example.com",
+     "looked at noon dot then left"],
+)
+def test_sentences_are_no_hosts(text):
+    assert pii.private_spans(text) == []
+
+
 @pytest.mark.parametrize(
     "text",
     ["we met at noon", "look at the dot on the i", "at one point two or three of us left", "one, two, three, go", "p. 12 @ home",

@@ -119,20 +119,31 @@ _LABEL = r"[A-Za-z0-9-]+"
 _DOT_SIGN = rf"{_OPEN}(?:{_POINT}|\.){_CLOSE}|(?<=[A-Za-z0-9])\s+(?:dot|punto)\s+(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])\s\.\s(?=[a-z0-9])"
 # Ends of host names that are told from words of a sentence.
 _ENDS = "com|net|org|edu|gov|mil|info|biz|io|co|ai|app|dev|uk|de|fr|es|eu|nl|ch|ca|au|jp|cn|br|ru|pl|se|test|example|invalid"
+# Words that begin or end no host name, and ends that are words too, which "point" alone doesn't tell.
+_NO_HOST = "the|a|an|this|that|these|those|some|any|every|each|one|no|what|which|another|my|your|his|her|its|our|their"
+_NO_END = (
+    "the|of|on|and|or|for|with|from|by|but|if|we|he|she|they|you|an|that|this|these|those|there|then|than|when|where|which|who"
+    "|was|were|are|has|have|had|will|would|can|could|should|not|only|two|three|four|five|six|seven|eight|nine|ten"
+)
+_WORD_END = "in|it|is|at|to|so|no|be|my|us|am|as|me|do"
+_WORD_DOT = rf"{_OPEN}(?:{_POINT}|\.){_CLOSE}|(?<=[A-Za-z0-9])\s+(?:{_POINT})\s+(?=[A-Za-z0-9])"
+_SPACED_DOT = r"(?<=[A-Za-z0-9])\s\.\s(?=[a-z0-9])"
+_BARE_POINT = re.compile(r"(?<=[A-Za-z0-9])\s+(?:point|punkt)\s+(?=[A-Za-z0-9])", re.I)
+_POINT_WORD_END = re.compile(rf"\spoint\s+(?:{_WORD_END})\Z", re.I)
 _SIGN = re.compile(
     rf"(?P<at>{_OPEN}(?:at|arroba|@){_CLOSE}"  # in brackets
     rf"|(?<=[A-Za-z0-9])\s+@\s*(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\s+(?=[a-z0-9])"  # spaced out
     rf"|(?<=[A-Za-z0-9])\s+(?:at|arroba)\s+"  # words for both signs
-    rf"(?={_LABEL}(?:(?:\.|{_DOT_SIGN}){_LABEL})*?(?:{_DOT_SIGN})(?:{_ENDS})\b))"
-    rf"|(?P<named>(?:(?<=[0-9])|(?<=[._+-][A-Za-z]{{2}})|(?<=[._+-][A-Za-z]{{4}}))\s+at\s+"
-    rf"(?=(?:{_LABEL}\.)+(?:{_ENDS})\b))"  # an odd name before
+    rf"(?=(?P<host>(?!(?:{_NO_HOST})\b(?!-)){_LABEL}(?:(?:\.|{_WORD_DOT}|{_SPACED_DOT}){_LABEL})*"
+    rf"(?:(?:{_WORD_DOT})(?!(?:{_NO_END})\b)[A-Za-z]{{2,}}|(?:{_SPACED_DOT})(?:{_ENDS})))\b))"
+    rf"|(?P<named>(?<=[A-Za-z0-9])\s+at\s+(?=(?:{_LABEL}\.)+(?:{_ENDS})\b))"  # after an odd name
     rf"|(?P<dot>{_DOT_SIGN})",
     re.I,
 )
 # what every match of the above has, told fast
 _SIGN_HINT = re.compile(
-    rf"[ \t-\r@\[({{<](?:\s*(?:at|arroba|@|{_POINT}|\.)\s*[\])}}>]|(?:dot|punto|\.)\s|@|\s+@"
-    rf"|(?<=@)\s|(?:dot|punto)\s|at\s+(?:{_LABEL}\.)+(?:{_ENDS})\b)",
+    rf"[\s@\[({{<](?:\s*(?:at|arroba|@|{_POINT}|\.)\s*[\])}}>]|(?:dot|punto|\.)\s|@|\s+@"
+    rf"|(?<=@)\s|(?:{_POINT})\s|at\s+(?:{_LABEL}\.)+(?:{_ENDS})\b)",
     re.I,
 )
 _LETTER_DIGIT = re.compile(r"([0-9]\.?)[OoIl]+(?=[0-9.])")
@@ -201,10 +212,52 @@ def _chain_edits(text: str) -> list[Edit]:
     return edits
 
 
+def _name_start(text: str, end: int) -> int:
+    while end and text[end - 1] in _LOCAL:
+        end -= 1
+    return end
+
+
+def _odd_name(text: str, end: int) -> bool:
+    """The name that ends there isn't a word: it has a digit, ``.``, ``_`` or ``+``, or two or four letters after ``-``."""
+    name = text[_name_start(text, end) : end]
+    return bool(re.search(r"[0-9._+]", name.lstrip(".")) or re.search(r"-(?:[A-Za-z]{2}|[A-Za-z]{4})\Z", name))
+
+
+def _points_before(text: str, end: int) -> list[tuple[int, int]]:
+    """Bare ``point`` and ``punkt`` within the name that ends there."""
+    found = []
+    while True:
+        start = _name_start(text, end)
+        gap = start
+        while gap and text[gap - 1].isspace():
+            gap -= 1
+        word = gap - 5
+        if gap == start or word < 1 or text[word:gap].lower() not in ("point", "punkt") or not text[word - 1].isspace():
+            return found[::-1]
+        end = word
+        while end and text[end - 1].isspace():
+            end -= 1
+        if not end or text[end - 1] not in _LOCAL:
+            return found[::-1]
+        found.append((end, start))
+
+
 def _sign_edits(text: str) -> list[Edit]:
     if not _SIGN_HINT.search(text):
         return []
-    return [(m.start(), m.end(), "." if m["dot"] else "@") for m in _SIGN.finditer(text)]
+    edits = []
+    for m in _SIGN.finditer(text):
+        if m["named"] and not _odd_name(text, m.start()):
+            continue
+        if m["host"]:
+            if _POINT_WORD_END.search(m["host"]) and not _odd_name(text, m.start()):
+                continue
+            edits += [(s, e, ".") for s, e in _points_before(text, m.start())]
+        edits.append((m.start(), m.end(), "." if m["dot"] else "@"))
+        if m["host"]:
+            edits += [(x.start() + m.start("host"), x.end() + m.start("host"), ".") for x in _BARE_POINT.finditer(m["host"])]
+    return edits
 
 
 def _letter_edits(text: str) -> list[Edit]:
