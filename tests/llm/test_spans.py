@@ -132,6 +132,12 @@ def test_sentences_are_no_hosts(text):
     assert pii.private_spans(text) == []
 
 
+def test_every_folded_character_is_folded_alone():
+    _, folds = pii._folding()
+    assert all(pii._fold_edits(f"a{char}b") == [(1, 2, plain)] for char, plain in folds.items())
+    assert ("email", 0, 12, False) in pii.private_spans("ann@mail\u2024com")
+
+
 @pytest.mark.parametrize(
     "text",
     ["we met at noon", "look at the dot on the i", "at one point two or three of us left", "one, two, three, go", "p. 12 @ home",

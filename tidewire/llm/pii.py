@@ -161,7 +161,10 @@ Edit = tuple[int, int, str]
 
 @lru_cache(maxsize=1)
 def _folding() -> tuple[re.Pattern, dict[str, str]]:
-    """Characters with an ASCII reading: look-alikes, compatibility forms and digits of any script."""
+    """Characters with an ASCII reading: look-alikes, compatibility forms and digits of any script.
+
+    The pattern takes all of them, and any other character beyond the basic plane, as one range is quicker there.
+    """
     folds = dict(_LOOKALIKES) | dict.fromkeys(_INVISIBLE, "")
     for code in range(0x370, sys.maxunicode + 1):
         char = chr(code)
@@ -171,17 +174,15 @@ def _folding() -> tuple[re.Pattern, dict[str, str]]:
         plain = unicodedata.normalize("NFKC", char) if digit is None else str(digit)
         if len(plain) == 1 and plain != char and 33 <= ord(plain) < 127:
             folds[char] = plain
-    return re.compile("[" + re.escape("".join(folds)) + "]"), folds
-
-
-_BEYOND = re.compile("[\u00ad\u0370-\u1fff\u200b-\u200f\u2060-\u2fff\ufb00-\uffff\U00010000-\U0010ffff]")
+    plane = "".join(c for c in folds if ord(c) < 0x10000)
+    return re.compile("[" + re.escape(plane) + "\U00010000-\U0010ffff]"), folds
 
 
 def _fold_edits(text: str) -> list[Edit]:
-    if text.isascii() or not _BEYOND.search(text):
+    if text.isascii():
         return []
     pattern, folds = _folding()
-    return [(m.start(), m.end(), folds[m[0]]) for m in pattern.finditer(text)]
+    return [(m.start(), m.end(), folds[m[0]]) for m in pattern.finditer(text) if m[0] in folds]
 
 
 def _parted_edits(text: str) -> list[Edit]:
