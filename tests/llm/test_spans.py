@@ -5,6 +5,7 @@ import re
 import string
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -138,6 +139,24 @@ def test_every_folded_character_is_folded_alone():
     assert ("email", 0, 12, False) in pii.private_spans("ann@mail\u2024com")
 
 
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("+1 two one two 555 0199", "phone"),
+        ("+49 one 7 two 3 four 5 six 8", "phone"),
+        ("+1 (two one two) 555, zero one nine nine", "phone"),
+        ("4111 one one one one 1111 1111", "card"),
+        ("192 dot one six eight dot 1 dot one", "ip"),
+        ("\u00a0".join("one two three four five six seven eight nine zero".split()), "phone"),
+    ],
+)
+def test_words_and_figures_mixed(text, kind):
+    for around in ("{}", "call \u201c{}\u201d now"):
+        whole = around.format(text)
+        spells = bool(pii.spells_numbers(pa.array([whole]))[0])
+        assert spells and (kind, whole.index(text), whole.index(text) + len(text), False) in pii.private_spans(whole, spells)
+
+
 @pytest.mark.parametrize(
     "text",
     ["we met at noon", "look at the dot on the i", "at one point two or three of us left", "one, two, three, go", "p. 12 @ home",

@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tidewire.llm.common import bytes_of, character_marks, starts_of, word_hashes, words_of
@@ -107,11 +108,14 @@ _SPELLED = (
 _VALUE = {word: str(value) for value, words in enumerate(_SPELLED) for word in words}
 _NUMBER = "|".join(sorted(_VALUE, key=len, reverse=True))
 _POINT = "dot|point|punto|punkt"
+_MANY = r"(?:(?:double|triple)\s+)?"
+# a run of number words, or a figure or plus beside which one may stand
 _CHAIN = re.compile(
-    rf"\b(?:plus\s+)?(?:(?:double|triple)\s+)?(?:{_NUMBER})\b"
-    rf"(?:[\s,-]+(?:(?:{_POINT})[\s,-]+)?(?:(?:double|triple)\s+)?(?:{_NUMBER})\b){{3,}}",
+    rf"(?P<run>\b(?:plus\s+)?{_MANY}(?:{_NUMBER})\b(?:[\s,-]+(?:(?:{_POINT})[\s,-]+)?{_MANY}(?:{_NUMBER})\b)*)|\+?[0-9]+|\+",
     re.I,
 )
+_GAP = re.compile(rf"[\s,().-]*(?:(?:(?<=[\s,().-])({_POINT}))[\s,().-]+)?", re.I)
+_GAP_SIGN = re.compile(r"[\s,]+")
 _CHAIN_PART = re.compile(rf"\b(?:(plus)|(double|triple)\s+({_NUMBER})|({_NUMBER})|({_POINT}))\b", re.I)
 
 _OPEN, _CLOSE = r"\s*[\[({<]\s*", r"\s*[\])}>]\s*"
@@ -201,15 +205,31 @@ def _entity_edits(text: str) -> list[Edit]:
 
 
 def _chain_edits(text: str) -> list[Edit]:
+    """Number words as figures, where another number word, a figure or a plus is next to them."""
+    items = list(_CHAIN.finditer(text))
+    gaps: list[re.Match | None] = [None]  # before each item, if only signs are there; and after the last
+    for before, item in zip(items, items[1:]):
+        gaps.append(_GAP.fullmatch(text, before.end(), item.start()) if before["run"] or item["run"] else None)
+    gaps.append(None)
     edits = []
-    for chain in _CHAIN.finditer(text):
-        out = []
-        for plus, times, many, one, point in _CHAIN_PART.findall(chain[0]):
+    for at, item in enumerate(items):
+        if gap := gaps[at]:
+            new = "." if gap[1] else _GAP_SIGN.sub(" ", gap[0])
+            new = new if new.strip(" -") else new[:1] if " " not in new else " "
+            if new != gap[0]:
+                edits.append((gap.start(), gap.end(), new))
+        if not item["run"]:
+            continue
+        out, words = [], 0
+        for plus, times, many, one, point in _CHAIN_PART.findall(item[0]):
             if plus or point:
                 out.append("+" if plus else ".")
+                words += bool(plus)
             else:
                 out.append(_VALUE[(many or one).lower()] * {"": 1, "double": 2, "triple": 3}[times.lower()])
-        edits.append((chain.start(), chain.end(), "".join(out)))
+                words += 1
+        if words > 1 or gaps[at] or gaps[at + 1]:
+            edits.append((item.start(), item.end(), "".join(out)))
     return edits
 
 
@@ -302,18 +322,28 @@ def _number_hashes() -> np.ndarray:
     return np.unique(word_hashes(data, offsets[:-1], offsets[1:]))
 
 
-#: What may stand between spelled digits, and all other signs, as they part words too.
-_BETWEEN = character_marks(b" \t\n\v\f\r" + string.punctuation.encode())
+#: What may stand beside spelled digits: all signs, ASCII and others, and white space of any kind.
+_BETWEEN = character_marks(bytes(c for c in range(128) if not chr(c).isalnum()))
+_BEYOND_WORDS = r"[^\x00-\x7f\pL\pN]+"
+_FIGURES = character_marks(string.digits.encode() + b"+")
 
 
 def spells_numbers(texts: pa.Array) -> np.ndarray:
-    """Texts with four digits as words at least; only they can hold a chain. Folding may make digit words."""
+    """Texts with two digits as words at least, or one and a figure or plus; only they can hold a chain.
+
+    Folding may make digit words.
+    """
+    odd = pc.invert(pc.string_is_ascii(texts))
+    if pc.any(odd).as_py():
+        parted = pc.utf8_lower(pc.replace_substring_regex(texts.filter(odd), _BEYOND_WORDS, " "))
+        texts = pc.replace_with_mask(texts, odd, parted)
     data, offsets = bytes_of(texts)
     starts, ends, firsts = words_of(data, offsets, _BETWEEN)
     numbers, hashes = _number_hashes(), word_hashes(data, starts, ends)
     known = numbers[np.minimum(np.searchsorted(numbers, hashes), len(numbers) - 1)] == hashes
-    sums = starts_of(known)
-    return sums[firsts[1:]] - sums[firsts[:-1]] >= 4
+    words, figures = starts_of(known), starts_of(_FIGURES[data])
+    words = words[firsts[1:]] - words[firsts[:-1]]
+    return (words > 1) | (words == 1) & (figures[offsets[1:]] > figures[offsets[:-1]])
 
 
 def disguised_spans(text: str, spells: bool = True) -> list[tuple[str, int, int]]:
