@@ -62,6 +62,24 @@ def test_language_of_mixed_texts(spark):
     assert (alone[:, en] > 0.9).mean() > 0.9
 
 
+def made_up_languages(count):
+    """Languages of words over letters of their own, in texts of 300 words each, by name."""
+    rng = np.random.default_rng(11)
+    alphabets = ["".join(chr(0x400 + 8 * lang + i) for i in range(8)) for lang in range(count)]
+    return {
+        f"l{at}": " ".join("".join(rng.choice(list(letters), 6)) for _ in range(300)) for at, letters in enumerate(alphabets)
+    }
+
+
+def test_a_text_may_have_all_learned_languages(spark):
+    texts = made_up_languages(7)
+    model = language.learn_languages(spark.createDataFrame(list(texts.items()), "lang string, text string"))
+    for count in (1, 3, 5, 7):
+        mixed = " ".join(" ".join(text.split()[:60]) for text in list(texts.values())[:count])
+        shares = language.infer(model, pa.array([mixed]))[0]
+        assert shares == pytest.approx([1 / count] * count + [0] * (7 - count), abs=0.01)
+
+
 def test_language_query_on_held_out_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     rows = queries.op10_language(spark, SF).join(docs, "doc_id").collect()

@@ -26,8 +26,8 @@ from tidewire.llm.common import appended, bytes_of, map_batches, pieces, starts_
 
 #: Trigram buckets per language.
 BUCKETS = 1 << 16
-#: Steps of expectation-maximisation, and languages a document may have.
-STEPS, MOST = 8, 4
+#: Steps of expectation-maximisation.
+STEPS = 8
 #: Likelihoods of a word differ by no more than this, in nats.
 SPREAD = np.float32(25)
 #: Weight of the penalty, times the log of the number of words, for each further language.
@@ -129,7 +129,7 @@ def mixture(likely: np.ndarray, firsts: np.ndarray, allowed: np.ndarray, steps:
     return shares, np.add.reduceat(np.log(total, dtype=np.float64), firsts[:-1])
 
 
-def infer(model: LanguageModel, texts: pa.Array, most: int = MOST, penalty: float = PENALTY) -> np.ndarray:
+def infer(model: LanguageModel, texts: pa.Array, most: int | None = None, penalty: float = PENALTY) -> np.ndarray:
     """Shares of the languages of each text, zero outside of its set; all zero if it has no word."""
     buckets, words, firsts = trigrams_of(texts)
     shares = np.zeros((len(texts), len(model.names)))
@@ -143,21 +143,31 @@ def infer(model: LanguageModel, texts: pa.Array, most: int = MOST, penalty: floa
     bounds = starts_of(sizes[rows])
     count = len(model.names)
     every = np.ones((len(rows), count))
-    full, _ = mixture(likely, bounds, every)
+    full, value = mixture(likely, bounds, every)
+    # no mixture has a greater likelihood: by concavity from the full one, and as no word's is above 1
+    parts = likely / (likely * full[np.repeat(np.arange(len(rows)), sizes[rows])].astype(np.float32)).sum(1, keepdims=True)
+    steepest = np.add.reduceat(parts, bounds[:-1], 0, dtype=np.float64).max(1) / sizes[rows]
+    limit = np.minimum(value + sizes[rows] * np.log(np.maximum(steepest, 1)) + 1e-3, 0)
     rank = np.argsort(np.argsort(-full, 1, kind="stable"), 1, kind="stable")
     best = np.full(len(rows), -np.inf)
-    for size in range(1, min(most, count) + 1):
+    for size in range(1, min(most or count, count) + 1):
+        cost = penalty * (size - 1) * np.log(np.maximum(sizes[rows], 2))
         if size == 1:
+            left = np.arange(len(rows))
             alone = np.add.reduceat(np.log(likely), bounds[:-1], 0, dtype=np.float64)
-            allowed = np.eye(count)[alone.argmax(1)]
-            found, value = allowed, alone.max(1)
+            found, value = np.eye(count)[alone.argmax(1)], alone.max(1)
         else:
-            allowed = (rank < size).astype(float)
-            found, value = mixture(likely, bounds, allowed)
-        value = value - penalty * (size - 1) * np.log(np.maximum(sizes[rows], 2))
-        better = value > best
-        best[better] = value[better]
-        shares[rows[better]] = found[better]
+            left = np.flatnonzero(limit - cost > best)
+            if not len(left):
+                break
+            chosen = np.zeros(len(rows), bool)
+            chosen[left] = True
+            words_left = likely[np.repeat(chosen, sizes[rows])]
+            found, value = mixture(words_left, starts_of(sizes[rows[left]]), (rank[left] < size).astype(float))
+        value = value - cost[left]
+        better = value > best[left]
+        best[left[better]] = value[better]
+        shares[rows[left[better]]] = found[better]
     return shares
 
 
