@@ -21,17 +21,15 @@ from tidewire.llm.language import UNKNOWN, detect_languages, learn_languages
 from tidewire.llm.secrets import redact_secrets
 from tidewire.workspace import materialise
 
-#: A document whose main language has less than this share of its words is rejected.
-LEAST_SHARE = 0.4
-
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose text is in a language learned from the labelled rows of ``docs``; texts without one, null or
-    too mixed go. With no labelled row nothing is known and all rows go."""
+    """Rows whose text is in languages learned from the labelled rows of ``docs``, in one or in many. Texts that are
+    null or without letters go, and those that the languages explain no better than even odds over all trigrams.
+    With no labelled row nothing is known and all rows go."""
     names = docs.columns
     model = learn_languages(docs, "text", "lang")
-    judged = detect_languages(docs.select(F.col("text"), F.struct(*names).alias("row")), model)
-    kept = judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE))
+    judged = detect_languages(docs.select(F.col("text"), F.struct(*names).alias("row")), model, gain=True)
+    kept = judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("gain") > 0))
     return kept.select(*[F.col("row")[c].alias(c) for c in names])
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_jaccard import brute
 from test_leaks import folded
+from test_models import made_up_languages
 from tokenizers import Tokenizer
 
 from tidewire.llm import secrets
@@ -92,6 +93,18 @@ def test_odd_rows_pass_every_stage(spark, odd_docs, no_docs):
         assert stage(spark, no_docs, SF).count() == 0
 
 
+def test_mixed_texts_of_known_languages_stay(spark):
+    texts = made_up_languages(5)
+    third = " ".join(" ".join(text.split()[:60]) for text in list(texts.values())[:3])
+    fifth = " ".join(" ".join(text.split()[:60]) for text in texts.values())
+    unknown = " ".join("zq%s xv" % letter for letter in "abcdefghijklmnopqrstuvw" * 5)
+    rows = [(at, text, lang) for at, (lang, text) in enumerate(texts.items())]
+    rows += [(10, third, None), (11, fifth, None), (12, unknown, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.keep_known_language(spark, docs, SF).collect()}
+    assert kept == {*range(5), 10, 11}
+
+
 def test_labels_are_not_needed_to_pass(spark, odd_docs):
     unlabelled = odd_docs.withColumn("lang", F.lit(None).cast("string"))
     assert corpus_pipeline.keep_known_language(spark, unlabelled, SF).count() == 0

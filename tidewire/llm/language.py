@@ -171,12 +171,27 @@ def infer(model: LanguageModel, texts: pa.Array, most: int | None = None, penalt
     return shares
 
 
+def gains(model: LanguageModel, texts: pa.Array) -> np.ndarray:
+    """By how many nats per trigram the best language of each word beats even odds over all buckets; 0 without words."""
+    buckets, words, firsts = trigrams_of(texts)
+    out = np.zeros(len(texts))
+    rows = np.flatnonzero(np.diff(firsts))
+    if len(rows) and model.names:
+        best = np.add.reduceat(model.table[buckets], words[:-1], 0).max(1)
+        counts = np.diff(words[firsts])[rows]
+        out[rows] = np.add.reduceat(best, firsts[:-1][rows], dtype=np.float64) / counts + np.log(BUCKETS)
+    return out
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
-def detect_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` (its share) and ``languages`` (name and share of the whole set)."""
+def detect_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text", gain: bool = False) -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` (its share) and ``languages`` (name and share of the whole set).
+
+    ``gain`` adds a column of this name: see ``gains``.
+    """
     # BUCKETS * 4 bytes per language
     shared = docs.sparkSession.sparkContext.broadcast(model)
     size = max(1 << 16, (8 << 20) // max(len(model.names), 4))
@@ -199,7 +214,10 @@ def detect_languages(docs: DataFrame, model: LanguageModel, text_col: str = "tex
                     "score": pa.array(scores, pa.float64()),
                     "languages": pa.array(sets, kind),
                 }
+                if gain:
+                    added["gain"] = pa.array(gains(known, texts), pa.float64())
                 yield with_columns(part, added)
 
     columns = "lang_pred string, score double, languages array<struct<lang:string,share:double>>"
+    columns += ", gain double" if gain else ""
     return map_batches(docs, work, appended(docs, columns))
