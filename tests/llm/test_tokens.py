@@ -57,6 +57,24 @@ def test_bytes_encode_and_decode_as_the_library_does(byte_library, encoder, some
     assert decoded == [byte_library.decode(i, skip_special_tokens=False) for i in got]
 
 
+def test_every_character_is_cut_as_the_library_does(byte_library):
+    """All of Unicode, each character between two letters, between two digits, and after a space."""
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    cutter = byte_library.pre_tokenizer
+    for first in range(0, len(every), 40_000):
+        text = "".join(f"a{c}a1{c}1 {c}" for c in every[first : first + 40_000])
+        theirs = [text[a:b] for _, (a, b) in cutter.pre_tokenize_str(text)]
+        assert bpe.cut_words(text) == theirs
+    assert bpe.newer_characters()
+
+
+def test_new_letters_encode_as_the_library_does(byte_library, encoder):
+    some = [f"word{chr(c)}word 12{chr(c)}3 {chr(c)}{chr(c)}x" for c in (0x558, 0xC5C, 0xA7CE, 0x10940, 0x11DE0, 0x187F8, 0x1DF2B, 0x323B0)]
+    ids, offsets = encoder.encode(some)
+    got = [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+    assert got == [byte_library.encode(t, add_special_tokens=False).ids for t in some]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(texts, max_size=4))
 def test_pieces_encode_as_the_library_does(word_library, piece_encoder, some):

@@ -19,7 +19,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+import unicodedata
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -27,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tidewire.llm.common import appended, gather_runs, list_array, map_batches, pieces, starts_of, texts_of, with_columns
 
@@ -36,6 +39,45 @@ WORDS = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 
+
+@lru_cache(maxsize=1)
+def newer_characters() -> str:
+    """Letters and digits of a later edition of Unicode, which the common library takes for signs, as ranges for a
+    pattern. Only characters that this Python does not know can be among them: the library is asked about those, each
+    between two letters and between two digits."""
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    doubtful = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn"]
+    cutter = ByteLevel(add_prefix_space=False, use_regex=True)
+    whole: set[str] = set()
+    for side in "a1":
+        probe = " ".join(f"{side}{c}{side}" for c in doubtful)
+        places = (place for _, place in cutter.pre_tokenize_str(probe))
+        # a letter or digit of the library's stays between its like
+        whole.update(probe[end - 2] for begin, end in places if end - begin - (probe[begin] == " ") == 3)
+    newer = [ord(c) for c in doubtful if c not in whole]
+    starts = [c for b, c in zip([-2, *newer], newer) if c != b + 1]
+    ends = [c for c, d in zip(newer, [*newer[1:], -2]) if d != c + 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends))
+
+
+@lru_cache(maxsize=1)
+def _cuts() -> tuple[Callable, Callable, Callable]:
+    """Whether a text has newer characters; the cut of texts without, and of texts with them."""
+    newer, plain = newer_characters(), regex.compile(WORDS).findall
+    if not newer:
+        return lambda text: None, plain, plain
+    # the newer ones leave both classes and join the signs
+    told = WORDS.replace(r"\p{L}+", rf"[\p{{L}}--[{newer}]]+").replace(r"\p{N}+", rf"[\p{{N}}--[{newer}]]+", 1)
+    told = told.replace(r"[^\p{White_Space}\p{L}\p{N}]+", rf"(?:[^\p{{White_Space}}\p{{L}}\p{{N}}]|[{newer}])+")
+    return re.compile(f"[{newer}]").search, plain, regex.compile(told, regex.V1).findall
+
+
+def cut_words(text: str) -> list[str]:
+    """The words of a text in whatever script."""
+    has_newer, plain, told = _cuts()
+    return told(text) if has_newer(text) else plain(text)
+
+
 # The same for texts of Latin letters and common signs, as the faster of the two libraries has it.
 PLAIN_WORDS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+| ?[\d\xb2\xb3\xb9\xbc-\xbe]+"
@@ -182,7 +224,6 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self._vocabulary = vocabulary
-        self._cut = regex.compile(WORDS).findall
         self._cut_plain = re.compile(PLAIN_WORDS).findall
         special = sorted(vocabulary.added, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
@@ -210,9 +251,9 @@ class Encoder:
         if self._special is not None and any(t in text for t in self._vocabulary.added):
             found: list[str] = []
             for place, part in enumerate(self._special.split(text)):
-                found += [part] if place % 2 else self._cut(part)
+                found += [part] if place % 2 else cut_words(part)
             return found
-        return self._cut(text) if _UNCOMMON.search(text) else self._cut_plain(text)
+        return cut_words(text) if _UNCOMMON.search(text) else self._cut_plain(text)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts on end, and where each text's begin."""
