@@ -188,3 +188,90 @@ def test_feed_sink(spark, folder):
     assert sorted(map(tuple, read_feed(spark, plain).collect())) == want
     write_processed(df, plain, mode="overwrite")
     assert spark.read.parquet(plain).count() == 300
+
+
+def jobs_run(spark):
+    return spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+
+
+def written(folder):
+    """Bytes below a folder, by file."""
+    top = folder.removeprefix("file:")
+    return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(top) for f in names}
+
+
+@pytest.mark.parametrize("window", [1, 4])
+def test_few_jobs_and_few_bytes_however_long_the_backlog(spark, folder, window):
+    """Number 1 comes last: nothing is released before, and a batch writes no more for what waits already."""
+    release = Release(folder("out"), folder("state"), "seq", "v", window, accepted_col="ok")
+    rows = some_rows(9_000)[1:]
+    sizes, known = [], {}
+    for i in range(9):
+        batch = spark.createDataFrame(rows[i * 1000 : (i + 1) * 1000], SCHEMA).coalesce(1).cache()
+        batch.count()
+        before = jobs_run(spark)
+        release.run_batch(batch, i)
+        assert jobs_run(spark) - before <= 8
+        now = written(release.out) | written(release.state)
+        sizes.append(sum(size for path, size in now.items() if path not in known))
+        known = now
+    assert max(sizes[4:]) < 1.3 * max(sizes[1:4])
+    before = jobs_run(spark)
+    release.run_batch(spark.createDataFrame([(1, 0.0, True)], SCHEMA), 9)
+    assert jobs_run(spark) - before <= 8
+    assert averages(released_rows(spark, release)) == by_hand([(1, 0.0, True), *rows], window)
+    # each file of released rows is in order
+    for path in written(f"{release.out}/rows"):
+        if path.endswith(".parquet"):
+            numbers = [r.seq for r in spark.read.parquet(f"file:{path}").collect()]
+            assert numbers == sorted(numbers)
+
+
+def test_many_segments_are_merged(spark, folder):
+    """Thirty-five batches wait for number 1; repeats of merged rows are still known."""
+    release = release_of(folder)
+    rows = some_rows(36)[1:]
+    for i, row in enumerate(rows):
+        release.run_batch(spark.createDataFrame([row, rows[max(0, i - 20)]] if i > 20 else [row], SCHEMA), i)
+    assert len(release._notes(spark, 34).segments) < 20
+    release.run_batch(spark.createDataFrame([(1, 0.5, True)], SCHEMA), 35)
+    assert averages(released_rows(spark, release)) == by_hand([(1, 0.5, True), *rows], 4)
+    assert released_rows(spark, release, "repeated").count() == 14
+    assert release._notes(spark, 35).segments == ()
+
+
+def test_one_number_very_often(spark, folder):
+    """A number that most rows have is given out once; the others are kept apart."""
+    release = release_of(folder)
+    many = spark.range(20_000).selectExpr("2L as seq", "cast(id as double) as v", "true as ok")
+    release.run_batch(many.union(spark.createDataFrame([(3, 1.0, True)], SCHEMA)), 0)
+    release.run_batch(spark.createDataFrame([(1, 1.0, True), (2, 9.0, True), (3, 7.0, True)], SCHEMA), 1)
+    assert [r.seq for r in released_rows(spark, release).orderBy("seq").collect()] == [1, 2, 3]
+    assert released_rows(spark, release, "repeated").count() == 20_001
+
+
+def test_random_batches_with_repeats_and_timeouts(spark, folder):
+    """Against a plain model: first comes, first kept; gaps below overdue rows are passed."""
+    rnd = random.Random(11)
+    ticks = iter(range(0, 1000, 1))
+    release = release_of(folder, gap_timeout=2.5, clock=lambda: float(next(ticks)))
+    waiting, expected, seen, out, late, repeated = {}, 1, set(), [], [], 0
+    for i in range(10):
+        rows = [(max(1, i * 25 + rnd.randint(-20, 40)), round(rnd.random(), 2), rnd.random() < 0.8) for _ in range(25)]
+        release.run_batch(spark.createDataFrame(rows, SCHEMA).coalesce(1), i)
+        for row in rows:
+            if row[0] < expected:
+                late.append(row[0])
+            elif row[0] in waiting:
+                repeated += 1
+            else:
+                waiting[row[0]] = (i, row)
+        reached = max([n for n, (since, _) in waiting.items() if since < i - 2.5], default=expected - 1)
+        while expected <= reached or expected in waiting:
+            if expected in waiting:
+                out.append(waiting.pop(expected)[1])
+            expected += 1
+    assert averages(released_rows(spark, release)) == by_hand(out, 4)
+    assert sorted(r.seq for r in released_rows(spark, release, "late").collect()) == sorted(late)
+    assert released_rows(spark, release, "repeated").count() == repeated and repeated and late
+    assert averages(drain(spark, release, 9)) == by_hand(out + [r for _, r in waiting.values()], 4)[sum(ok for _, _, ok in out):]

@@ -14,6 +14,8 @@ from tidewire.workspace import materialise
 # Rows of one bucket go to one task. Sequence numbers are unique, so a bucket of this width is also
 # bounded in rows.
 BUCKET_WIDTH = 1 << 18
+# A sequence known to be this short is one task's work, and is not looked at before.
+ONE_STRETCH = 1 << 16
 # Splits of one scan that may be broadcast: about 150 bytes each, so at most 150 MB.
 BROADCAST_SPLITS = 1_000_000
 
@@ -192,15 +194,18 @@ class Buckets:
 
 
 def cut_in_buckets(
-    df: DataFrame, seq_col: str, carry: int = 0, width: int = BUCKET_WIDTH
+    df: DataFrame, seq_col: str, carry: int = 0, width: int = BUCKET_WIDTH, spread: KeySpread | None = None
 ) -> Buckets | None:
     """Cut ``df`` along an integer sequence column; ``None`` for no rows at all.
 
     A sequence that is dense up to ordinary gaps is cut as it is, which costs no shuffle. If gaps
     are so long that the end of a stretch may hold fewer than ``carry`` rows, or numbers so sparse
-    that the buckets outnumber what the rows need, the rows are first numbered densely.
+    that the buckets outnumber what the rows need, the rows are first numbered densely. ``spread`` is looked up
+    unless it is given.
     """
-    spread = key_spread(df, seq_col)
+    if spread and spread.span <= ONE_STRETCH:
+        return Buckets(df, seq_col, spread.low, spread.span, 0, 0)
+    spread = spread or key_spread(df, seq_col)
     if spread is None:
         return None
     width = _fit(df, spread.span, carry, width)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import round_half_even
-from tidewire.operators.ordering import BUCKET_WIDTH, Buckets, _fit, add_sequence, cut_in_buckets
+from tidewire.operators.ordering import BUCKET_WIDTH, Buckets, KeySpread, _fit, add_sequence, cut_in_buckets
 from tidewire.spec import AVERAGE, whole_number
 
 
@@ -37,6 +37,7 @@ def rolling_average(
     digits: int = 4,
     name: str = AVERAGE,
     bucket_width: int = BUCKET_WIDTH,
+    spread: KeySpread | None = None,
 ) -> DataFrame:
     """Add the mean of the last ``window`` values in sequence order, the row's own included.
 
@@ -47,7 +48,8 @@ def rolling_average(
     Rows are cut into bounded stretches of the sequence, and the end of each stretch is copied into
     the next one, which gives every window its full frame within one task: one shuffle, no
     one-partition window, and no task holds a whole group. ``df`` is read up to four times, so an
-    expensive input should be stored first.
+    expensive input should be stored first. Who knows how far the sequence reaches says so by ``spread``, which
+    saves a pass (without groups).
     """
     whole_number("window", window)
     carry = window - 1
@@ -62,7 +64,7 @@ def rolling_average(
         width = _fit(df, rows, carry, bucket_width)
         cut = Buckets(dense, "__dense", 0, width, carry, max(rows - 1, 0) // width)
     else:
-        cut = cut_in_buckets(df, seq_col, carry, bucket_width)
+        cut = cut_in_buckets(df, seq_col, carry, bucket_width, spread)
     if cut is None:
         return df.withColumn(name, F.lit(0.0))
     home = cut.bucket()

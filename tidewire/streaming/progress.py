@@ -33,5 +33,5 @@ def progress_samples(spark: SparkSession, query: StreamingQuery, capacity: int)
 def release_samples(spark: SparkSession, release: Release, capacity: int) -> DataFrame:
     """One row per micro-batch and stage of a release: rows come in, waiting, and given out."""
     whole_number("capacity", capacity)
-    stored = spark.read.schema(SAMPLES).parquet(f"{release.out}/samples")
+    stored = spark.read.schema(SAMPLES).json(f"{release.out}/samples")
     return stored.select("sample", "stage", "size", F.lit(capacity).cast("bigint").alias("max"))

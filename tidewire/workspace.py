@@ -68,8 +68,36 @@ def free(spark: SparkSession, paths: Sequence[str]) -> None:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name, which may hold ``*``."""
     _, store, folder = _store(spark, path)
-    return store.exists(folder)
+    return bool(store.globStatus(folder)) if "*" in path else store.exists(folder)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file through the store's own client; an older one of that name is replaced once this is whole."""
+    jvm, store, target = _store(spark, path)
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+    stream = store.create(part, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    if store.exists(target):
+        store.delete(target, False)
+    if not store.rename(part, target):
+        raise OSError(f"cannot write {path}")
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """What ``put_text`` wrote there; ``None`` if there is nothing."""
+    jvm, store, source = _store(spark, path)
+    if not store.exists(source):
+        return None
+    stream = store.open(source)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
 
 
 def _store(spark: SparkSession, path: str):
