@@ -35,17 +35,20 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five words, a similarity of 0.8) the row with the least ``doc_id``, nulls last;
-    of repeated rows one. Rows without words are no copies of others, and stay."""
-    key = F.xxhash64("doc_id", "text")
-    keyed = docs.select("doc_id", "text", key.alias("copy_key"))
+    of rows that repeat both id and text one. Rows without words are no copies of others, and all stay as they are."""
+    names = docs.columns
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # 128 bits of id and text, a null id told from all others: no two rows that differ are taken for one
+    marked = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit("|"), F.col("text"))
+    key = F.unhex(F.md5(marked))
+    searched = docs.filter(worded)
+    keyed = searched.select("doc_id", "text", key.alias("copy_key"))
     grouped = jaccard_components(keyed, size=5, percent=80, keep=["copy_key"])
     first = grouped.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = first.filter("component is not null").groupBy("component").agg(F.min("copy_key").alias("copy_key"))
-    wordless = first.filter("component is null").select("copy_key")
-    keys = chosen.select("copy_key").union(wordless).distinct()
-    rows = docs.select(key.alias("copy_key"), F.struct(*docs.columns).alias("row"))
+    keys = first.groupBy("component").agg(F.min("copy_key").alias("copy_key")).select("copy_key")
+    rows = searched.select(key.alias("copy_key"), F.struct(*names).alias("row"))
     kept = rows.join(keys, "copy_key").dropDuplicates(["copy_key"])
-    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return kept.select(*[F.col("row")[c].alias(c) for c in names]).unionByName(docs.filter(~worded))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
