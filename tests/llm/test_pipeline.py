@@ -108,3 +108,17 @@ def test_mixed_texts_of_known_languages_stay(spark):
 def test_labels_are_not_needed_to_pass(spark, odd_docs):
     unlabelled = odd_docs.withColumn("lang", F.lit(None).cast("string"))
     assert corpus_pipeline.keep_known_language(spark, unlabelled, SF).count() == 0
+
+
+def test_rows_without_words_all_stay(spark):
+    """Null ids and texts with other columns that differ, blank repeats; of repeated worded rows one stays."""
+    rows = [
+        (None, None, "en", "s1", 1), (None, None, "fr", "s1", 1), (None, None, "en", "s2", 1),
+        (4, " \n", "en", "s1", 2), (4, " \n", "en", "s1", 2), (5, "", "en", "s1", 0),
+        (6, "some words here", "en", "s1", 3), (6, "some words here", "en", "s1", 3),
+        (None, "a text of a null id", "en", "s1", 3), (-1, "other text of an id", "en", "s1", 3),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.keep_one_of_each(spark, materialise(docs, "wordless"), SF)
+    expected = [r for i, r in enumerate(rows) if i != 7]
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, expected))
