@@ -254,10 +254,10 @@ def test_random_batches_with_repeats_and_timeouts(spark, folder):
     """Against a plain model: first comes, first kept; gaps below overdue rows are passed."""
     rnd = random.Random(11)
     ticks = iter(range(0, 1000, 1))
-    release = release_of(folder, gap_timeout=2.5, clock=lambda: float(next(ticks)))
+    release = release_of(folder, gap_timeout=1.5, clock=lambda: float(next(ticks)))
     waiting, expected, seen, out, late, repeated = {}, 1, set(), [], [], 0
     for i in range(10):
-        rows = [(max(1, i * 25 + rnd.randint(-20, 40)), round(rnd.random(), 2), rnd.random() < 0.8) for _ in range(25)]
+        rows = [(max(1, i * 25 + rnd.randint(-80, 40)), round(rnd.random(), 2), rnd.random() < 0.8) for _ in range(25)]
         release.run_batch(spark.createDataFrame(rows, SCHEMA).coalesce(1), i)
         for row in rows:
             if row[0] < expected:
@@ -266,7 +266,7 @@ def test_random_batches_with_repeats_and_timeouts(spark, folder):
                 repeated += 1
             else:
                 waiting[row[0]] = (i, row)
-        reached = max([n for n, (since, _) in waiting.items() if since < i - 2.5], default=expected - 1)
+        reached = max([n for n, (since, _) in waiting.items() if since < i - 1.5], default=expected - 1)
         while expected <= reached or expected in waiting:
             if expected in waiting:
                 out.append(waiting.pop(expected)[1])
