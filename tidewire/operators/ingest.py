@@ -96,6 +96,17 @@ def quarantine_rows(
 ) -> DataFrame:
     """One record per bad row, about its first failing column in declared order."""
 
+    first = first_bad_cell(columns)
+    return (
+        cast_df.filter(~all_ok(columns))
+        .select(F.col(row_index).cast("bigint").alias("row_index"), first.alias("bad"))
+        .select("row_index", "bad.column", "bad.raw_value", "bad.reason")
+    )
+
+
+def first_bad_cell(columns: Sequence[Column]):
+    """The first failing column in declared order, its raw value and the reason; null for a clean row."""
+
     def record(c: Column):
         raw = F.col(f"`{c.source_name}`")
         return F.struct(
@@ -109,12 +120,7 @@ def quarantine_rows(
             ).alias("reason"),
         )
 
-    first = F.coalesce(*[F.when(~_ok(c), record(c)) for c in columns])
-    return (
-        cast_df.filter(~all_ok(columns))
-        .select(F.col(row_index).cast("bigint").alias("row_index"), first.alias("bad"))
-        .select("row_index", "bad.column", "bad.raw_value", "bad.reason")
-    )
+    return F.coalesce(*[F.when(~_ok(c), record(c)) for c in columns])
 
 
 def quarantine_preview(quarantine_df: DataFrame, n: int = 6) -> DataFrame:

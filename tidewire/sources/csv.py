@@ -67,8 +67,8 @@ def scan_csv(
     """All columns as text, by header name; cells equal to a missing-value token are NULL.
 
     ``source_order`` adds the columns ``SOURCE_ORDER`` for ``add_sequence``; files rank by path.
-    ``ragged`` adds ``__overlong``, whether the line has more cells than the header, and ``__open``,
-    whether it leaves a quote open. ``multiline`` allows line breaks within quotes, and makes each file
+    ``ragged`` adds ``__overlong``, whether the line has more cells than the header, ``__open``,
+    whether it leaves a quote open, and ``__text``, such a line itself. ``multiline`` allows line breaks within quotes, and makes each file
     one unsplittable task. Of header names that are equal but for case the first keeps its name, and the
     others get a number; the files of a set then agree by place.
     """
@@ -90,11 +90,17 @@ def scan_csv(
             F.monotonically_increasing_id().alias(line),
         ]
     if ragged:
-        extra += [_overlong(names).alias("__overlong"), _open_quote(names).alias("__open")]
+        extra += fault_columns(names)
     cells = [F.col(f"`{c}`") for c in names]
     return missing_as_null(df.select(*cells, *extra), names, na_tokens)
 
 
+def fault_columns(names: Sequence[str]) -> list:
+    """``__overlong``, ``__open`` and ``__text`` (the line, if it has too few or too many cells)."""
+    text = F.when(_holds_cell(names), F.col(CORRUPT))
+    return [_overlong(names).alias("__overlong"), _open_quote(names).alias("__open"), text.alias("__text")]
+
+
 def _bare(line):
     """A line without its quoted cells. A quote opens a cell only at its start; elsewhere it is text."""
     return F.regexp_replace(line, r'(^|,)"(?:[^"]|"")*"', "$1")
@@ -163,13 +169,27 @@ def stream_csv(
     columns: Sequence[str],
     max_files: int = 1,
     na_tokens: Sequence[str] = NA_TOKENS,
+    multiline: bool = False,
+    ragged: bool = False,
 ) -> DataFrame:
-    """The CSV files of a folder as a stream of text columns, at most ``max_files`` per batch."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = (
-        _reader(spark.readStream, False)
-        .schema(schema)
-        .option("maxFilesPerTrigger", max_files)
-        .csv(path)
-    )
-    return missing_as_null(df, columns, na_tokens)
+    """The CSV files of a folder as a stream of text columns, at most ``max_files`` per batch.
+
+    A line that the parser would cut (more cells than ``columns``) or tear (a quote left open) stops the stream with
+    an error, so that no cell is lost unseen. With ``ragged`` such lines pass, marked by ``__overlong``, ``__open`` and
+    ``__text``, with ``__file`` and ``__block``: ``run_stream`` sets them aside. ``multiline`` allows line breaks within quotes.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
+    # with unread columns pruned, the parser would not notice surplus cells
+    reader = _reader(spark.readStream, multiline).schema(schema).option("columnPruning", False)
+    df = reader.option("maxFilesPerTrigger", max_files).csv(path)
+    cells = [F.col(f"`{c}`") for c in columns]
+    if ragged:
+        file, block, _ = SOURCE_ORDER
+        place = [F.col("_metadata.file_path").alias(file), F.col("_metadata.file_block_start").alias(block)]
+        return missing_as_null(df.select(*cells, *place, *fault_columns(columns)), columns, na_tokens)
+    overlong, opened, text = fault_columns(columns)
+    told = F.concat(F.lit("line with too many cells or a quote left open: "), text)
+    wrong = overlong if multiline else overlong | opened
+    # a filter, as a column that nobody reads would check nothing
+    checked = df.filter(F.when(wrong, F.raise_error(told).cast("boolean")).otherwise(F.lit(True)))
+    return missing_as_null(checked.select(*cells), columns, na_tokens)

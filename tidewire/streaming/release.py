@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewire.operators.ordering import BUCKET_WIDTH, KeySpread
-from tidewire.operators.rolling import rolling_average
+from tidewire.operators.ordering import KeySpread
 from tidewire.spec import AVERAGE, whole_number
+from tidewire.streaming.carry import Tail, carried_average, keep_last_values, write_in_order
 from tidewire.workspace import exists, free, get_text, put_text, small_frame
 
 # Fixed value: seconds a later row waits before a gap is passed.
@@ -38,12 +38,11 @@ GAP_TIMEOUT = 2.0
 # Segments of one level that are merged into one of the next.
 MERGED_AT_ONCE = 16
 
-_KIND, _ROW, _OLD = "__kind", "__row", "__old"
+_KIND, _ROW = "__kind", "__row"
 TICK = "__tick"
 PARTS = ("rows", "late", "repeated", "no_sequence")
 _ROW_FIELD = T.StructField(_ROW, T.LongType())
 _BITS = "word bigint, bits bigint, n bigint"
-_TAIL = "seq bigint, value double"
 _FULL = (1 << 64) - 1
 
 
@@ -66,8 +65,7 @@ class _Notes:
     batch: int
     expected: int
     segments: tuple[Segment, ...] = ()
-    #: path, least number and rows of the last accepted values
-    tail: tuple[str, int, int] | None = None
+    tail: Tail | None = None
     #: what no later batch reads
     dropped: tuple[str, ...] = field(default=())
 
@@ -79,7 +77,7 @@ class _Notes:
         kept = json.loads(text)
         segments = [Segment(**{**s, "marks": tuple(map(tuple, s["marks"]))}) for s in kept.pop("segments")]
         tail = kept.pop("tail")
-        return cls(**kept, segments=tuple(segments), tail=tuple(tail) if tail else None)
+        return cls(**kept, segments=tuple(segments), tail=Tail(*tail) if tail else None)
 
 
 @dataclass(frozen=True)
@@ -241,7 +239,7 @@ class Release:
     def _release(
         self, spark: SparkSession, schema: T.StructType, segments: list[Segment], before: _Notes, expected: int,
         rows: int, batch_id: int,
-    ) -> tuple[int, tuple[str, int, int] | None]:
+    ) -> tuple[int, Tail | None]:
         """Write the rows that are due, in order; how many were accepted, and where the last values are now."""
         path = self._folder("rows", batch_id)
         if not rows:
@@ -251,32 +249,16 @@ class Release:
                 free(spark, [path])
             return 0, before.tail
         due = self._between(spark, segments, before.expected, expected, schema)
-        spread = KeySpread(before.expected, expected - before.expected, rows)
-        written = Observation()
-        emitted = self._emit(due, before, spread).observe(written, F.count("*").alias("rows"))
-        if expected - before.expected > BUCKET_WIDTH:
-            emitted = emitted.repartitionByRange(self.seq_col)
-        elif self.value_col is None:
-            emitted = emitted.repartition(1)
-        emitted.sortWithinPartitions(self.seq_col).write.mode("overwrite").parquet(path)
-        return written.get["rows"], self._last_values(spark, path, before, written.get["rows"], batch_id)
-
-    def _last_values(
-        self, spark: SparkSession, path: str, before: _Notes, released: int, batch_id: int
-    ) -> tuple[str, int, int] | None:
-        """Keep the last ``window - 1`` accepted values for the windows of the next batch."""
-        most = self.window - 1
-        if self.value_col is None or not most or not released:
-            return before.tail
-        values = spark.read.parquet(path).select(
-            F.col(self.seq_col).cast("bigint").alias("seq"), F.col(self.value_col).cast("double").alias("value")
+        span = expected - before.expected
+        emitted = self._emit(due, before, KeySpread(before.expected, span, rows))
+        released = write_in_order(emitted, self.seq_col, span, path, grouped=self.value_col is not None)
+        if self.value_col is None:
+            return released, None
+        kept = self._folder("tail", batch_id, self.state)
+        last = keep_last_values(
+            spark.read.parquet(path), released, before.tail, self.seq_col, self.value_col, self.window, kept
         )
-        if before.tail and released < most:
-            values = values.unionByName(spark.read.schema(_TAIL).parquet(before.tail[0]))
-        kept, seen = self._folder("tail", batch_id, self.state), Observation()
-        last = values.orderBy(F.desc("seq")).limit(most)
-        last.observe(seen, F.min("seq").alias("low"), F.count("*").alias("rows")).write.mode("overwrite").parquet(kept)
-        return kept, seen.get["low"], seen.get["rows"]
+        return released, last
 
     def _merge(
         self, spark: SparkSession, segments: list[Segment], expected: int, schema: T.StructType, batch_id: int
@@ -324,22 +306,7 @@ class Release:
         rows = due.filter(F.col(self.accepted_col)) if self.accepted_col else due
         if self.value_col is None:
             return rows
-        if before.tail:
-            # the last values released before go first, with no other column
-            path, low, held = before.tail
-            kind = {c: due.schema[c].dataType for c in (self.seq_col, self.value_col)}
-            tail = due.sparkSession.read.schema(_TAIL).parquet(path).select(
-                F.col("seq").cast(kind[self.seq_col]).alias(self.seq_col),
-                F.col("value").cast(kind[self.value_col]).alias(self.value_col),
-                F.lit(True).alias(_OLD),
-            )
-            rows = rows.withColumn(_OLD, F.lit(False)).unionByName(tail, allowMissingColumns=True)
-            if spread:
-                spread = KeySpread(low, spread.low + spread.span - low, spread.rows + held)
-        averaged = rolling_average(rows, self.seq_col, self.value_col, self.window, spread=spread)
-        if before.tail:
-            averaged = averaged.filter(~F.col(_OLD))
-        return averaged.select(*due.columns, AVERAGE)
+        return carried_average(rows, before.tail, self.seq_col, self.value_col, self.window, spread)
 
     # ---- state ------------------------------------------------------------------------------
 
