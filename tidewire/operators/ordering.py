@@ -15,7 +15,7 @@ from tidewire.workspace import materialise
 # bounded in rows.
 BUCKET_WIDTH = 1 << 18
 # A sequence known to be this short is one task's work, and is not looked at before.
-ONE_STRETCH = 1 << 16
+ONE_STRETCH = BUCKET_WIDTH
 # Splits of one scan that may be broadcast: about 150 bytes each, so at most 150 MB.
 BROADCAST_SPLITS = 1_000_000
 

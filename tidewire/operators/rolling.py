@@ -67,9 +67,10 @@ def rolling_average(
         cut = cut_in_buckets(df, seq_col, carry, bucket_width, spread)
     if cut is None:
         return df.withColumn(name, F.lit(0.0))
-    home = cut.bucket()
+    # a sequence of one stretch has no ends to copy
+    home = cut.bucket() if cut.last else F.lit(0).cast("bigint")
     copies = F.when(cut.in_zone(), F.array(home, home + 1)).otherwise(F.array(home))
-    rows = cut.rows.withColumn("__bucket", F.explode(copies))
+    rows = cut.rows.withColumn("__bucket", F.explode(copies) if cut.last else home)
     order = Window.partitionBy("__bucket", *groups).orderBy(cut.key)
     value = F.col(value_col).cast("double")
     averaged = _averaged(rows, order, value, window, name, cut.width + cut.zone)

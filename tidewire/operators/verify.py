@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewire.functions.digest import DIGEST_TEXT, digest_udf, native_digest
@@ -77,13 +77,12 @@ def _through_table(df, key, iterations, value, signature, broadcast_digests):
     tasks = max(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
+    seen = Observation()
+    hashed = counted.repartition(tasks, "__salt").withColumn("__digest", digest_udf(key, iterations)(F.col("__salt")))
     digests = materialise(
-        counted.repartition(tasks, "__salt").withColumn(
-            "__digest", digest_udf(key, iterations)(F.col("__salt"))
-        ),
-        "digests",
+        hashed.observe(seen, F.count("*").alias("salts"), F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows")), "digests"
     )
-    salts, rows = digests.agg(F.count("*"), F.coalesce(F.sum("__rows"), F.lit(0))).first()
+    salts, rows = seen.get["salts"], seen.get["rows"]
     keyed = df.withColumn("__salt", salt)
     if salts <= broadcast_digests:
         joined = keyed.join(

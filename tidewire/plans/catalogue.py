@@ -303,4 +303,10 @@ def queries() -> dict[str, Query]:
         "stream_rolling_average": live.q_stream_rolling,
         "stream_drain": live.q_stream_drain,
         "progress_samples": live.q_progress_samples,
+        "stream_end_to_end": live.q_stream_end_to_end,
+        "stream_end_to_end_quarantine": live.q_stream_end_to_end_quarantine,
+        "stream_end_to_end_feed": live.q_stream_end_to_end_feed,
+        "stream_add_sequence": live.q_stream_add_sequence,
+        "stream_scan_errors": live.q_stream_scan_errors,
+        "stream_faults": live.q_stream_faults,
     }

@@ -12,15 +12,17 @@ from tidewire.operators.ordering import add_sequence
 from tidewire.operators.rolling import rolling_average
 from tidewire.operators.verify import verify_signatures
 from tidewire.plans.run import Run, run_pipeline
+from tidewire.plans.stream_run import StreamRun, run_stream
 from tidewire.plans.views import CHARTS, DECLARED, FIXTURE_KEY, WINDOW, raw_signals, signals
 from tidewire.sources.csv import stream_csv
 from tidewire.sources.sinks import read_feed, write_feed, write_processed
 from tidewire.spec import SEQUENCE, RunSpec
-from tidewire.streaming.progress import progress_samples, release_samples
+from tidewire.streaming.progress import ProgressLog, release_samples
 from tidewire.streaming.release import (
     Release,
     drain,
     released_rows,
+    start_release,
     stream_resequence,
     stream_rolling_average,
 )
@@ -35,17 +37,20 @@ def raw_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def csv_run(spark: SparkSession, sf_dir: str, path: str | None = None) -> Run:
-    """A run over the raw signals as CSV, written first unless ``path`` has them."""
-    spec = RunSpec(
-        dataset_path=path or raw_csv(spark, sf_dir),
+def csv_spec(path: str) -> RunSpec:
+    return RunSpec(
+        dataset_path=path,
         columns=DECLARED,
         secret_key=FIXTURE_KEY,
         iterations=1,
         window=WINDOW,
         charts=CHARTS,
     )
-    return run_pipeline(spark, spec)
+
+
+def csv_run(spark: SparkSession, sf_dir: str, path: str | None = None) -> Run:
+    """A run over the raw signals as CSV, written first unless ``path`` has them."""
+    return run_pipeline(spark, csv_spec(path or raw_csv(spark, sf_dir)))
 
 
 def q_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,17 +160,15 @@ def q_write_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_progress_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What Spark reports of a stream: which rows a batch holds is open, their sum and number are not."""
-    query = write_processed(
-        file_stream(numbered_signals(spark, sf_dir)),
-        new_path(spark, "passed"),
-        checkpoint=new_path(spark, "stream-checkpoint"),
-    )
-    samples = progress_samples(spark, ended(query), capacity=10_000)
-    return samples.groupBy("stage").agg(F.sum("size").alias("size"))
+    """What each of five micro-batches read and wrote, of a stream that keeps the rows with a right signature."""
+    rows = numbered_signals(spark, sf_dir)
+    with ProgressLog(spark, new_path(spark, "progress")) as log:
+        stream = verify_signatures(landing(spark, rows), FIXTURE_KEY, 1)
+        query = ended(write_processed(stream, new_path(spark, "passed"), checkpoint=new_path(spark, "stream-checkpoint")))
+        return log.samples(query, capacity=10_000).select("sample", "stage", "size")
 
 
-def torn_csv(spark: SparkSession, sf_dir: str) -> str:
+def torn_csv(spark: SparkSession, sf_dir: str, folder: bool = False) -> str:
     """CSV files written as plain text: lines with a cell too many behind a stray quote, and quotes left open."""
     path = new_path(spark, "torn-csv")
     row = F.col("event_id")
@@ -179,7 +182,7 @@ def torn_csv(spark: SparkSession, sf_dir: str) -> str:
     )
     # one column, whose name is the header, parted and quoted by characters that no line has
     lines = rows.select(F.concat_ws(",", *rows.columns).alias(",".join(rows.columns)))
-    lines.write.option("sep", "\u0001").option("quote", "\u0002").csv(path, header=True)
+    lines.write.option("sep", "\u0001").option("quote", "\u0002").csv(f"{path}/part=0" if folder else path, header=True)
     return path
 
 
@@ -193,18 +196,84 @@ def q_stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.rename_internal(spark.read.schema(clean.schema).parquet(out), DECLARED)
 
 
+# ---- the whole run as a stream ------------------------------------------------------------------
+
+
+def landed_csv(spark: SparkSession, sf_dir: str, files: int = 5) -> str:
+    """The raw signals as CSV files that were written one after the other, in event order and in the order of paths."""
+    path = new_path(spark, "landed-csv")
+    rows = materialise(raw_signals(spark, sf_dir), "raw-signals")
+    low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
+    step = (high - low) // files + 1
+    for part in range(files):
+        first = low + part * step
+        mine = rows.filter((F.col("event_id") >= first) & (F.col("event_id") < first + step)).orderBy("event_id")
+        mine.drop("event_id").write.option("escape", '"').csv(f"{path}/part={part}", header=True)
+    return path
+
+
+def streamed_run(spark: SparkSession, path: str, max_files: int = 1) -> StreamRun:
+    """A whole run over the CSV files below a folder, to the stream's end."""
+    query, run = run_stream(
+        spark, csv_spec(f"{path}/*"), new_path(spark, "run"), new_path(spark, "state"), new_path(spark, "stream-checkpoint"), max_files
+    )
+    ended(query)
+    return run
+
+
+def q_stream_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streamed_run(spark, landed_csv(spark, sf_dir)).table(spark, "processed")
+
+
+def q_stream_end_to_end_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streamed_run(spark, landed_csv(spark, sf_dir)).table(spark, "quarantine")
+
+
+def q_stream_end_to_end_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streamed_run(spark, landed_csv(spark, sf_dir)).table(spark, "feed")
+
+
+def q_stream_add_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows with the numbers that five micro-batches gave them."""
+    return streamed_run(spark, landed_csv(spark, sf_dir)).table(spark, "clean").drop("verified")
+
+
+def q_stream_scan_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are cut or torn, told by a stream over them."""
+    return streamed_run(spark, torn_csv(spark, sf_dir, folder=True)).errors(spark)
+
+
+def q_stream_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines are accounted for: those with a fault by its kind, and the rest, whether before or after an open quote."""
+    run = streamed_run(spark, torn_csv(spark, sf_dir, folder=True))
+    faults = run.table(spark, "faults").select(F.when(F.col("code") != "AFTER_OPEN_QUOTE", F.col("code")).alias("code"))
+    rest = run.table(spark, "clean").select(F.lit(None).cast("string").alias("code"))
+    bad = run.table(spark, "quarantine").select(F.lit(None).cast("string").alias("code"))
+    every = faults.unionByName(rest).unionByName(bad).groupBy("code").agg(F.count("*").alias("lines"))
+    return every.select(F.coalesce("code", F.lit("NONE")).alias("code"), "lines")
+
+
 # ---- micro-batches of known content -------------------------------------------------------------
 
 
+def landing(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """A stream of five files, one per micro-batch: the rest of the number by five each; no number: the first."""
+    source = new_path(spark, "landing")
+    stored = materialise(rows, "landing-rows")
+    for part in range(5):
+        mine = stored.filter(F.coalesce(F.col(SEQUENCE) % 5, F.lit(0)) == part)
+        # files are read in the order in which they were written
+        mine.coalesce(1).write.mode("append").parquet(source)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+
+
 def landed(spark: SparkSession, rows: DataFrame, gap_timeout: float | None = None) -> Release:
-    """Five micro-batches, the rest of the number by five each, three seconds apart; no number: the first."""
+    """The stream of ``landing``, released. By the clock of the release its batches are three seconds apart."""
     clock = iter(range(0, 15, 3))
     release = Release(
         new_path(spark, "released"), new_path(spark, "state"), SEQUENCE, gap_timeout=gap_timeout, clock=lambda: float(next(clock))
     )
-    stored = materialise(rows, "landing")
-    for part in range(5):
-        release.run_batch(stored.filter(F.coalesce(F.col(SEQUENCE) % 5, F.lit(0)) == part), part)
+    ended(start_release(landing(spark, rows), release, new_path(spark, "stream-checkpoint")))
     return release
 
 

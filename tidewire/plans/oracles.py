@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from tidewire.functions.digest import hmac_blocks
-from tidewire.operators.health import STAGE_LABELS
-from tidewire.plans.views import CHARTS, DECLARED, FIXTURE_KEY
-from tidewire.operators.charts import chart_name
-from tidewire.spec import CHART_VALUE
-
-_INNER, _OUTER = hmac_blocks(FIXTURE_KEY)
+# All that the twins need is written out here, so that no fault of the code under test is shared.
+# The key of the views, chart types with the column that each plots, and labels of the stages.
+_KEY = b"fixture_key".ljust(64, b"\0")
+_INNER, _OUTER = (bytes(b ^ pad for b in _KEY).hex() for pad in (0x36, 0x5C))
+_CHARTS = {
+    "real_time_line_graph_values": "metric_value",
+    "real_time_line_graph_average": "computed_metric",
+    "real_time_bar_chart_values": "metric_value",
+    "real_time_bar_chart_average": "computed_metric",
+    "real_time_scatter_values": "metric_value",
+    "real_time_scatter_average": "computed_metric",
+}
+_STAGES = {
+    "raw": "Raw Stream (Input → Core)",
+    "intermediate": "Intermediate Stream (Core → Aggregator)",
+    "processed": "Processed Stream (Aggregator → Output)",
+}
 
 
 def _hmac(message: str) -> str:
@@ -29,10 +39,16 @@ verified as (select priority_index, entity_name, time_period, metric_value, secu
   from numbered where digest = security_hash)"""
 
 
+def _mean(value: str, window: str) -> str:
+    """The mean of values of whole cents: their exact sum, divided once, rounded as Python does."""
+    cents = f"(sum(cast(round({value} * 100) as hugeint)) over ({window}))::double"
+    return f"cast(printf('%.4f', {cents} / 100 / count({value}) over ({window})) as double)"
+
+
 def _processed(window: int) -> str:
+    frame = f"order by priority_index rows between {window - 1} preceding and current row"
     return NUMBERED + f""",
-processed as (select *, cast(printf('%.4f', favg(metric_value) over (order by
-  priority_index rows between {window - 1} preceding and current row)) as double) as computed_metric from verified)"""
+processed as (select *, {_mean("metric_value", frame)} as computed_metric from verified)"""
 
 
 RAW = SIGNALS + """,
@@ -70,17 +86,16 @@ r_numbered as (select row_number() over (order by event_id) as priority_index, *
   sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode(printf('%.2f', c3))
     || unhex('00000001')))) as digest from clean),
 r_processed as (select priority_index, c1 as entity_name, c2 as time_period, c3 as metric_value,
-  c4 as security_hash, cast(printf('%.4f', favg(c3) over (order by priority_index
-  rows between 9 preceding and current row)) as double) as computed_metric from r_numbered where digest = c4)""".format(
-    inner=_INNER, outer=_OUTER
+  c4 as security_hash, {mean} as computed_metric from r_numbered where digest = c4)""".format(
+    inner=_INNER, outer=_OUTER, mean=_mean("c3", "order by priority_index rows between 9 preceding and current row")
 )
 
 def _feed(table: str) -> str:
     """The last 120 points per chart of the processed rows in ``table``."""
     feeds = " union all ".join(
-        f"select '{chart_name(c)}' as chart, priority_index, cast(time_period as double) as x,"
-        f" cast(time_period as varchar) as x_text, {CHART_VALUE[c.type]} as y from {table}"
-        for c in CHARTS
+        f"select '{kind}: {kind.replace('_', ' ')}' as chart, priority_index, cast(time_period as double) as x,"
+        f" cast(time_period as varchar) as x_text, {plotted} as y from {table}"
+        for kind, plotted in _CHARTS.items()
     )
     return f""",
 points as ({feeds}),
@@ -101,7 +116,7 @@ samples as (
 
 
 def _health(size: str, extra: str = "") -> str:
-    labels = " ".join(f"when '{s}' then '{text}'" for s, text in STAGE_LABELS.items())
+    labels = " ".join(f"when '{s}' then '{text}'" for s, text in _STAGES.items())
     return f"""with {_SAMPLES},
 filled as (select sample, stage, {size} as size, max, least({size} / max, 1.0::double) as fill_ratio
   from samples)
@@ -142,14 +157,14 @@ def oracle_sql() -> dict[str, str]:
         for w in (1, 3, 10, 100, 5000)
     }
     verified = f"with {SIGNALS} select {_SIGNAL_COLUMNS} from signals where digest = security_hash"
-    renames = ", ".join(f"{c.source_name} as {c.internal_mapping}" for c in DECLARED)
+    renames = "entity as entity_name, epoch as time_period, reading as metric_value, signature as security_hash"
     return rolling | {
         "flagship": rolling["rolling_average_w10"],
         "stream_rolling_average": rolling["rolling_average_w10"],
         "stream_drain": f"""with {NUMBERED}, arrived as (select * from verified
               where priority_index % 400 <> 77)
-            select {_VERIFIED_COLUMNS}, cast(printf('%.4f', favg(metric_value) over (order by
-              priority_index rows between 9 preceding and current row)) as double) as computed_metric
+            select {_VERIFIED_COLUMNS},
+              {_mean("metric_value", "order by priority_index rows between 9 preceding and current row")} as computed_metric
             from arrived""",
         "stream_resequence": f"with {NUMBERED} select {_VERIFIED_COLUMNS} from numbered",
         "stream_verify": f"with {NUMBERED} select {_VERIFIED_COLUMNS} from verified",
@@ -229,9 +244,19 @@ def oracle_sql() -> dict[str, str]:
             union all select sample, 'intermediate', case when sample = 0 then size else 0 end from raw
             union all select sample, 'processed', case sample when 0 then 0
               when 1 then out + (select size from raw where sample = 0) else out end from raw""",
-        "progress_samples": """with s as (select unnest(['raw', 'intermediate', 'processed']) as stage)
-            select stage, cast(case stage when 'raw' then (select count(*) from events) else 0 end as bigint) as size
-            from s""",
+        "progress_samples": f"""with {NUMBERED},
+            n as (select priority_index % 5 as sample, count(*) as read, count(*) filter (digest = security_hash) as kept
+              from numbered group by 1)
+            select sample, unnest(['raw', 'intermediate', 'processed']) as stage, unnest([read, 0, kept]) as size from n""",
+        "stream_end_to_end": f"with {RAW_PROCESSED} select {_PROCESSED_COLUMNS} from r_processed",
+        "stream_end_to_end_quarantine": f"with {RAW} select * from quarantine",
+        "stream_end_to_end_feed": f"with {RAW_PROCESSED}{_feed('r_processed')} select * from feed",
+        "stream_add_sequence": f"""with {RAW} select row_number() over (order by event_id) as priority_index,
+            c1 as entity_name, c2 as time_period, c3 as metric_value, c4 as security_hash from clean""",
+        "stream_scan_errors": _TORN + """select 'FATAL' as severity, code, cast(null as varchar) as "column",
+            text || n as message from torn where n > 0""",
+        "stream_faults": """select case when event_id % 100 = 7 then 'RAGGED_ROW' when event_id % 200 = 9 then 'OPEN_QUOTE'
+              else 'NONE' end as code, count(*) as lines from events group by 1""",
         "scan_csv": f"""with {RAW} select row_number() over (order by event_id) as priority_index,
             c1 as entity_name, c2 as time_period, c3 as metric_value, c4 as security_hash from clean""",
         "add_sequence": "select row_number() over (order by ts, event_id) as priority_index, "
@@ -256,8 +281,8 @@ def oracle_sql() -> dict[str, str]:
         "reject_stale": f"with {_ARRIVALS} select event_id, arrival, event_type from flagged where not late",
         "stale_flags": f"with {_ARRIVALS} select event_id, late from flagged",
         "rolling_average_by_entity": f"""with {SIGNALS} select event_id, entity_name,
-            cast(printf('%.4f', favg(metric_value) over (partition by entity_name
-            order by event_id rows between 9 preceding and current row)) as double) as computed_metric from signals""",
+            {_mean("metric_value", "partition by entity_name order by event_id rows between 9 preceding and current row")}
+            as computed_metric from signals""",
         "chart_feed": f"with {FEED} select * from feed",
         "chart_extents": f"""with {FEED}, e as (select chart, min(x) as x0, max(x) as x1,
               min(y) as y0, max(y) as y1 from feed group by chart),

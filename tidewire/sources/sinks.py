@@ -15,12 +15,14 @@ from tidewire.operators.charts import (
     place_points,
 )
 from tidewire.spec import SEQUENCE, Chart
+from tidewire.streaming.progress import count_written
 
 
 def write_processed(
     df: DataFrame, path: str, mode: str = "append", checkpoint: str | None = None
 ) -> StreamingQuery | None:
-    """Write processed rows as Parquet. A stream needs ``checkpoint`` and returns its query.
+    """Write processed rows as Parquet. A stream needs ``checkpoint`` and returns its query; its reports count the rows
+    written (see ``streaming.progress``).
 
     A batch with sequence numbers is written in their order: each file is sorted, and holds higher numbers than
     the files named before it.
@@ -33,7 +35,7 @@ def write_processed(
     if checkpoint is None:
         raise ValueError("a streaming write needs a checkpoint folder")
     return (
-        df.writeStream.format("parquet")
+        count_written(df).writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -73,6 +73,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(store.globStatus(folder)) if "*" in path else store.exists(folder)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right below a folder; none if there is no such folder."""
+    _, store, folder = _store(spark, path)
+    return [entry.getPath().getName() for entry in store.listStatus(folder)] if store.exists(folder) else []
+
+
 def put_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file through the store's own client; an older one of that name is replaced once this is whole."""
     jvm, store, target = _store(spark, path)
