@@ -1,6 +1,7 @@
 """Numbering, gaps and late rows against brute force, whatever the partitioning."""
 
 import random
+import time
 
 import pandas as pd
 import pytest
@@ -10,6 +11,7 @@ from tidewire.operators.ordering import (
     cut_in_buckets,
     find_gaps,
     first_missing,
+    gap_ranges,
     flag_stale,
     reject_stale,
     resequence,
@@ -94,6 +96,31 @@ def test_gaps_brute(spark, upto):
     assert missing(numbers(spark, seen), upto=upto) == sorted(set(range(1, upto + 1)) - set(seen))
 
 
+def test_far_apart_numbers_in_seconds(spark):
+    """The work does not grow with the numbers, nor with a run of them."""
+    began = time.time()
+    far = numbers(spark, [1, 10**12])
+    assert list(map(tuple, gap_ranges(far, "seq").collect())) == [(2, 10**12 - 1)]
+    assert sorted(map(tuple, gap_ranges(far, "seq", 10**12 + 5).collect())) == [(2, 10**12 - 1), (10**12 + 1, 10**12 + 5)]
+    assert time.time() - began < 30
+    long = spark.range(1, 300_001).filter("id not between 70000 and 170000 and id % 1000 <> 7").toDF("seq")
+    ranges = sorted(map(tuple, gap_ranges(long, "seq").collect()))
+    single = [i for i in range(7, 300_001, 1000) if not 70_000 <= i <= 170_000]
+    assert ranges == sorted([(i, i) for i in single] + [(70_000, 170_000)])
+    assert find_gaps(long, "seq").count() == len(single) + 100_001
+
+
+def test_ranges_brute(spark):
+    rnd = random.Random(5)
+    for most in (70, 700, 7000):
+        seen = sorted(rnd.sample(range(-3, most), most // 2))
+        df = numbers(spark, seen + seen[:9]).repartition(5)
+        gaps = [i for i in range(1, max(seen)) if i not in set(seen)]
+        found = sorted(map(tuple, gap_ranges(df, "seq").collect()))
+        assert [i for a, b in found for i in range(a, b + 1)] == gaps
+        assert all(b + 1 < c for (_, b), (c, _) in zip(found, found[1:]))
+
+
 def test_first_missing(spark):
     df = numbers(spark, [*range(5, 300), 400, 10**17])
     assert first_missing(df, "seq", 4, 297) == 300

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.workspace import materialise
+from tidewire.workspace import materialise, ship
 
 # Rows of one bucket go to one task. Sequence numbers are unique, so a bucket of this width is also
 # bounded in rows.
@@ -257,11 +260,39 @@ def _zones_hold(cut: Buckets, carry: int) -> bool:
     return zones == cut.last and fewest >= carry
 
 
+def gap_ranges(df: DataFrame, seq_col: str, upto: int | None = None) -> DataFrame:
+    """Numbers of ``1..upto`` (default: the highest present) that no row has, as ranges ``first``, ``last``.
+
+    Work and result grow with the rows and the gaps, not with the numbers: 64 numbers become one word of bits before
+    the shuffle, words are sorted across the cluster, each task looks between neighbours, and only the ends of the
+    tasks' parts come together.
+    """
+    place = F.col(seq_col).cast("bigint") - 1
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
+    inside = df.filter(F.col(seq_col) >= 1 if upto is None else F.col(seq_col).between(1, upto))
+    words = inside.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    ship(df.sparkSession)
+    found = materialise(words.orderBy("word").mapInArrow(_between_runs, _GAPS), "gaps")
+    within = found.filter("part is null").select("first", "last")
+    # of each part its lowest and highest number
+    parts = found.filter("part is not null")
+    before = F.lag("last").over(Window.orderBy("part"))
+    between = parts.select((F.coalesce(before, F.lit(0)) + 1).alias("first"), (F.col("first") - 1).alias("last"))
+    ranges = within.unionByName(between)
+    if upto is not None:
+        after = parts.agg((F.coalesce(F.max("last"), F.lit(0)) + 1).alias("first")).withColumn("last", F.lit(upto).cast("bigint"))
+        ranges = ranges.unionByName(after)
+    return ranges.filter("first <= last")
+
+
 def find_gaps(df: DataFrame, seq_col: str, upto: int | None = None) -> DataFrame:
-    """Numbers of ``1..upto`` (default: the highest present) that no row has."""
-    if upto is None:
-        upto = df.agg(F.max(seq_col)).first()[0] or 0
-    return _missing_in(_open_words(df, F.col(seq_col), upto), upto)
+    """Numbers of ``1..upto`` (default: the highest present) that no row has, one row each."""
+    stretch = F.lit(1 << 16)
+    pieces = gap_ranges(df, seq_col, upto).select(
+        F.explode(F.sequence("first", "last", stretch.cast("bigint"))).alias("from"), "last"
+    )
+    upto_last = F.least(F.col("from") + stretch - 1, F.col("last"))
+    return pieces.select(F.explode(F.sequence("from", upto_last)).alias("missing"))
 
 
 def first_missing(df: DataFrame, seq_col: str, after: int, rows: int) -> int:
@@ -269,34 +300,49 @@ def first_missing(df: DataFrame, seq_col: str, after: int, rows: int) -> int:
 
     As many rows cannot fill one number more than they are, so no later number matters.
     """
-    upto = rows + 1
-    first = _open_words(df, F.col(seq_col) - F.lit(after), upto).orderBy("__word").limit(1)
-    return after + _missing_in(first, upto).agg(F.min("missing")).first()[0]
-
-
-def _open_words(df: DataFrame, seq: Column, upto: int) -> DataFrame:
-    """Stretches of 64 numbers within ``1..upto`` that are not full, with a bit per number present.
-
-    The bits are set before the shuffle, by a hash aggregate, so 64 rows travel as one.
-    """
-    place = seq - 1
-    bit = (place % 64).cast("int")
-    present = (
-        df.filter(seq.between(1, upto))
-        .groupBy(F.shiftright(place, 6).alias("__word"))
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("__bits"))
-    )
-    words = df.sparkSession.range((upto + 63) // 64).select(F.col("id").alias("__word"))
-    return words.join(present, "__word", "left").filter("__bits is null or __bits <> -1")
-
-
-def _missing_in(words: DataFrame, upto: int) -> DataFrame:
-    return (
-        words.withColumn("__place", F.explode(F.sequence(F.lit(0), F.lit(63))))
-        .filter("__bits is null or shiftright(__bits, __place) & 1 = 0")
-        .select((F.col("__word") * 64 + F.col("__place") + 1).alias("missing"))
-        .filter(F.col("missing") <= upto)
-    )
+    later = df.filter(F.col(seq_col) > after).select((F.col(seq_col) - F.lit(after)).alias("seq"))
+    return after + gap_ranges(later, "seq", rows + 1).agg(F.min("first")).first()[0]
+
+
+_GAPS = "part bigint, first bigint, last bigint"
+
+
+def _between_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted words of bits as the ranges between runs of set bits; then the ends of all, with the part's number."""
+    low = last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts, ends = _runs(*(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)))
+        if low is None:
+            low, first, after = int(starts[0]), starts[1:], ends[:-1]
+        else:
+            first, after = starts, np.concatenate([[last], ends[:-1]])
+        last = int(ends[-1])
+        gap = first - after > 1
+        yield _ranges(np.full(gap.sum(), -1), after[gap] + 1, first[gap] - 1)
+    if low is not None:
+        yield _ranges(np.array([TaskContext.get().partitionId()]), np.array([low]), np.array([last]))
+
+
+def _ranges(part: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(c.astype(np.int64), mask=(c < 0) if c is part else None) for c in (part, first, last)]
+    return pa.RecordBatch.from_arrays(columns, names=["part", "first", "last"])
+
+
+def _runs(words: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last number of each run of set bits within its word, in order."""
+    full = bits == -1
+    some = np.flatnonzero(~full)
+    places = np.unpackbits(bits[some].astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    edges = np.diff(np.pad(places, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    row, start = np.nonzero(edges == 1)
+    _, stop = np.nonzero(edges == -1)
+    base = words * 64 + 1
+    starts = np.concatenate([base[full], base[some][row] + start])
+    ends = np.concatenate([base[full] + 63, base[some][row] + stop - 1])
+    order = np.argsort(starts)
+    return starts[order], ends[order]
 
 
 def reject_stale(

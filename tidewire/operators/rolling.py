@@ -68,7 +68,7 @@ def rolling_average(
     if cut is None:
         return df.withColumn(name, F.lit(0.0))
     # a sequence of one stretch has no ends to copy
-    home = cut.bucket() if cut.last else F.lit(0).cast("bigint")
+    home = cut.bucket()
     copies = F.when(cut.in_zone(), F.array(home, home + 1)).otherwise(F.array(home))
     rows = cut.rows.withColumn("__bucket", F.explode(copies) if cut.last else home)
     order = Window.partitionBy("__bucket", *groups).orderBy(cut.key)

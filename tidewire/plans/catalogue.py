@@ -15,6 +15,7 @@ from tidewire.operators.ordering import (
     add_sequence,
     find_gaps,
     flag_stale,
+    gap_ranges,
     reject_stale,
     resequence,
 )
@@ -279,6 +280,7 @@ def queries() -> dict[str, Query]:
         "verification_summary": q_verification_summary,
         "resequence": q_resequence,
         "find_gaps": lambda s, d: find_gaps(verified(s, d), SEQUENCE),
+        "gap_ranges": lambda s, d: gap_ranges(verified(s, d), SEQUENCE),
         "reject_stale": q_reject_stale,
         "stale_flags": q_stale_flags,
         "rolling_average_w1": lambda s, d: processed(s, d, 1),

@@ -278,6 +278,9 @@ def oracle_sql() -> dict[str, str]:
         "find_gaps": f"""with {NUMBERED}, n as (select unnest(range(1,
               (select max(priority_index) from verified) + 1)) as missing)
             select missing from n anti join verified on missing = priority_index""",
+        "gap_ranges": f"""with {NUMBERED}, ends as (select coalesce(lag(priority_index) over (order by priority_index), 0) + 1
+              as first, priority_index - 1 as last from verified)
+            select first, last from ends where first <= last""",
         "reject_stale": f"with {_ARRIVALS} select event_id, arrival, event_type from flagged where not late",
         "stale_flags": f"with {_ARRIVALS} select event_id, late from flagged",
         "rolling_average_by_entity": f"""with {SIGNALS} select event_id, entity_name,
