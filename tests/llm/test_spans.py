@@ -3,6 +3,7 @@ import math
 import random
 import re
 import string
+import time
 from collections import Counter
 
 import pyarrow as pa
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidewire.llm import pii, queries, secrets
-from tidewire.llm.spans import mask_text
+from tidewire.llm.spans import Taken, mask_text
 
 SF = "/root/testdata/sf0.001"
 
@@ -274,3 +275,28 @@ def test_redaction_keeps_rows_and_columns(spark):
     docs = spark.createDataFrame([(1, text, len(text)), (2, None, None), (3, "clean", 5)], "doc_id int, text string, n_chars int")
     got = secrets.redact_secrets(docs, "text", "n_chars").collect()
     assert [tuple(r) for r in got] == [(1, "set [ASSIGN] now", 16), (2, None, None), (3, "clean", 5)]
+
+
+@pytest.mark.parametrize("kind", ["private", "secret"])
+def test_very_many_spans_in_one_text(kind):
+    """Twenty thousand base spans and more, and as many added ones, in one text: the work grows with the text."""
+    if kind == "private":
+        text, spans = "und.34@mail7.example.com and ann_smith [at] posta [dot] org 10.0.0.1 " * 20_000, pii.private_spans
+    else:
+        text, spans = "api_key=abcdef123456 ordinary Zk3Vb8Qw1Xy7Rt5Ns0Lp words " * 20_000, secrets.secret_spans
+    began = time.time()
+    found = spans(text)
+    assert time.time() - began < 60
+    base = [x for x in found if x[3]]
+    assert len(base) >= 20_000 and len(found) - len(base) >= 20_000
+
+
+def test_taken_stretches_against_brute_force():
+    rnd = random.Random(3)
+    for _ in range(300):
+        spans = [(a, a + rnd.randint(1, 6)) for a in (rnd.randint(0, 40) for _ in range(rnd.randint(0, 8)))]
+        taken = Taken(spans)
+        for _ in range(30):
+            start = rnd.randint(0, 45)
+            end = start + rnd.randint(1, 5)
+            assert taken.meets(start, end) == any(s < end and start < e for s, e in spans)

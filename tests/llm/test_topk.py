@@ -68,3 +68,23 @@ def test_k_must_be_positive(spark):
 
 def test_query_has_its_twins_rows(spark):
     assert differences(queries.op3_topk(spark, SF), connect(SF), queries.OP3_SQL) == ""
+
+
+def test_queries_beyond_the_bound_meet_by_a_shuffle(spark):
+    """Five hundred blocks of candidates: no copy of the queries is broadcast, and both ways agree."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(1000)]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+    asked = frame.filter("vec_id % 50 = 0")
+    block, topk.BLOCK = topk.BLOCK, 2
+    try:
+        wide = topk.exact_top_k(frame, asked, 3, broadcast_bytes=0)
+        plan = wide._jdf.queryExecution().toString()
+        assert "SortMergeJoin [slot" in plan and "BroadcastHashJoin [slot" not in plan
+        narrow = topk.exact_top_k(frame, asked, 3)
+        plan = narrow._jdf.queryExecution().toString()
+        # what is broadcast are the blocks themselves, not their copies
+        assert "BroadcastHashJoin [length" in plan and "explode" not in plan
+        assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, narrow.collect()))
+    finally:
+        topk.BLOCK = block

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tidewire.llm.common import bytes_of, character_marks, starts_of, word_hashes, words_of
-from tidewire.llm.spans import Span, find_spans
+from tidewire.llm.spans import Span, Taken, find_spans
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -379,8 +379,9 @@ def private_spans(text: str, spells: bool = True) -> list[Span]:
     """Base spans, and spans behind disguises that overlap no base span of their kind."""
     base = plain_spans(text)
     spans: list[Span] = [(*x, True) for x in base]
+    taken = {kind: Taken((s, e) for k, s, e in base if k == kind) for kind in KINDS}
     for kind, start, end in dict.fromkeys(disguised_spans(text, spells)):
-        if not any(k == kind and s < end and start < e for k, s, e in base):
+        if not taken[kind].meets(start, end):
             spans.append((kind, start, end, False))
     return sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
 

@@ -10,7 +10,7 @@ bytes, not once per place. A unigram base over words goes with it.
 How it is spread: documents are dealt to *chunks* of bounded size by a hash. A chunk sends its distinct
 strings and words, sorted and packed, to *buckets* by a hash of the last three context bytes, so that a
 bucket has all contexts of order 3 and more of its strings. It adds up the counts of all chunks, works out the
-probabilities and sends each chunk its own back. Contexts of up to two bytes have 2^24 counts at most and
+probabilities and sends each chunk its own back; the chunks' rows stay packed meanwhile. Contexts of up to two bytes have 2^24 counts at most and
 are broadcast. No table of the whole model is ever in one place, and nothing is cut from it.
 
 Null texts count as empty: one end token, one end symbol. Texts are scored whole. Repeated rows are scored,
@@ -38,6 +38,10 @@ from tidewire.workspace import materialise
 ORDER = 5
 #: Bytes of text in a chunk, about.
 CHUNK = 48 << 20
+#: Buckets, and tasks that chunks are dealt to, at most: a chunk sends a row to every bucket.
+BUCKETS, TASKS = 1 << 16, 20_000
+#: Keys of a bucket's rows that are unpacked at once, besides its distinct ones.
+MERGED_KEYS = 1 << 22
 #: The end of a document among the words.
 END = -(1 << 62)
 
@@ -244,36 +248,50 @@ def chunk_values(counted: DataFrame, short: list[Context]) -> DataFrame:
     the count in training. Rows of chunk -1 have the number of words known to the bucket."""
     shared = counted.sparkSession.sparkContext.broadcast(short)
 
-    def close(bucket: int, rows: list) -> pa.RecordBatch:
-        own = [_unpack_sorted(keys) for _, keys, _ in rows]
-        keys, counts = _merged([(k, _unpack(n, np.int64)) for k, (_, _, n) in zip(own, rows)])
+    def close(bucket: int, rows: list) -> Iterator[pa.RecordBatch]:
+        """The rows stay packed and are gone through twice: added up, then answered. What is unpacked at once are the
+        bucket's distinct keys and some rows."""
+        merged, some = [], []
+        for _, keys, counts in rows:
+            some.append((_unpack_sorted(keys), _unpack(counts, np.int64)))
+            if sum(len(k) for k, _ in some) >= MERGED_KEYS:
+                merged, some = [_merged([*merged, *some])], []
+        keys, counts = _merged([*merged, *some])
         words = int(np.searchsorted(keys, 0))
         values = counts.astype(np.float64)
         values[words:] = log_probabilities(keys[words:], counts[words:], shared.value)
-        sent = [_pack(values[np.searchsorted(keys, k)].astype(np.float32)) for k in own]
-        # counts of words are whole: float32 would round those beyond 2^24
-        whole = [_pack(counts[np.searchsorted(keys, k[: np.searchsorted(k, 0)])]) for k in own]
         known = np.array([(counts[:words] > 0).sum()], np.int64)
-        made = {
-            "chunk": pa.array([*(c for c, _, _ in rows), -1], pa.int32()),
-            "bucket": pa.array([bucket] * (len(rows) + 1), pa.int32()),
-            "keys": pa.array([*(k for _, k, _ in rows), b""], pa.binary()),
-            "worth": pa.array([*sent, b""], pa.binary()),
-            "counts": pa.array([*whole, _pack(known)], pa.binary()),
-        }
-        return pa.RecordBatch.from_pydict(made)
+        made: list[tuple] = [(-1, b"", b"", _pack(known))]
+        held = 0
+        for chunk, packed, _ in rows:
+            own = _unpack_sorted(packed)
+            # counts of words are whole: float32 would round those beyond 2^24
+            whole = _pack(counts[np.searchsorted(keys, own[: np.searchsorted(own, 0)])])
+            made.append((chunk, packed, _pack(values[np.searchsorted(keys, own)].astype(np.float32)), whole))
+            held += len(own)
+            if held >= MERGED_KEYS:
+                yield answered(bucket, made)
+                made, held = [], 0
+        if made:
+            yield answered(bucket, made)
+
+    def answered(bucket: int, made: list[tuple]) -> pa.RecordBatch:
+        chunks, *packed = zip(*made)
+        columns = [pa.array(chunks, pa.int32()), pa.array([bucket] * len(made), pa.int32())]
+        columns += [pa.array(c, pa.binary()) for c in packed]
+        return pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "keys", "worth", "counts"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
             for chunk, bucket, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket != now and rows:
-                    yield close(now, rows)
+                    yield from close(now, rows)
                     rows = []
                 now = bucket
                 rows.append((chunk, keys, counts))
         if rows:
-            yield close(now, rows)
+            yield from close(now, rows)
 
     gathered = counted.repartition("bucket").sortWithinPartitions("bucket")
     return map_batches(gathered, work, "chunk int, bucket int, keys binary, worth binary, counts binary")
@@ -312,9 +330,12 @@ def score_texts(docs: DataFrame, learn_col: str, id_col: str = "doc_id", text_co
     )
     size = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     chunks = -(-size // CHUNK) or 1
-    buckets = min(max(64, chunks), 4096)
+    buckets = min(max(64, chunks), BUCKETS)
+    tasks = min(chunks, TASKS)
     dealt = texts.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int"))
-    sorted_ = dealt.repartition("chunk").sortWithinPartitions("chunk")
+    # one chunk per task, or as many as there are chunks to a task, in turn
+    task = F.pmod(F.col("chunk"), F.lit(tasks))
+    sorted_ = dealt.repartitionById(tasks, task).sortWithinPartitions("chunk")
     counted = materialise(chunk_counts(sorted_, buckets), "ppm-counts")
     keys, counts, tokens = _short_counts(counted)
     values = materialise(chunk_values(counted, short_contexts(keys, counts)), "ppm-values")
@@ -345,7 +366,7 @@ def score_texts(docs: DataFrame, learn_col: str, id_col: str = "doc_id", text_co
     model = values.filter("chunk >= 0").select(
         "chunk", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("id"), F.lit("").alias("text"), "keys", "worth", "counts"
     )
-    met = model.unionByName(docs_).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    met = model.unionByName(docs_).repartitionById(tasks, task).sortWithinPartitions("chunk", "kind")
     columns = f"`{id_col}` {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return map_batches(met, score, columns)
 

@@ -34,6 +34,7 @@ def _digest(docs: DataFrame, spans: str, kinds: tuple[str, ...]) -> DataFrame:
     return docs.select(
         "doc_id",
         *[count_of(found, k).alias(f"n_{k}") for k in kinds],
+        F.size(found).cast("bigint").alias("n_spans"),
         F.sha2(joined(base_only(found)), 256).alias("base_sha256"),
         joined(found).alias("spans"),
     )

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidewire.llm.common import map_batches, pieces, with_columns
-from tidewire.llm.spans import Span, find_spans, mask_text
+from tidewire.llm.spans import Span, Taken, find_spans, mask_text
 
 KINDS = ("assign", "access", "hex", "entropy")
 
@@ -155,9 +155,9 @@ def secret_spans(text: str) -> list[Span]:
     spans: list[Span] = [("assign", m.start(), m.end(), True) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
     spans += [("access", m.start(), m.end(), True) for m in _ACCESS.finditer(text) if len(m[0]) >= 20]
     spans += [("hex", m.start(), m.end(), True) for m in _HEX.finditer(text)]
-    taken = sorted((s, e) for _, s, e, _ in spans)
+    taken = Taken((s, e) for _, s, e, _ in spans)
     for start, end in entropy_spans(text):
-        if not any(s < end and start < e for s, e in taken):
+        if not taken.meets(start, end):
             spans.append(("entropy", start, end, False))
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0])))
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -44,6 +45,25 @@ def find_spans(
     return map_batches(docs, work, appended(docs, f"`{out_col}` {SPANS}"))
 
 
+class Taken:
+    """Stretches of a text that are taken: spans put together where they overlap, looked up by halving."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self._starts: list[int] = []
+        self._ends: list[int] = []
+        for start, end in sorted(spans):
+            if self._ends and start < self._ends[-1]:
+                self._ends[-1] = max(self._ends[-1], end)
+            else:
+                self._starts.append(start)
+                self._ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        """Whether a span overlaps any of them."""
+        last = bisect_left(self._starts, end) - 1
+        return last >= 0 and self._ends[last] > start
+
+
 def joined(spans: Column) -> Column:
     """``kind:start:end`` of all spans, comma-joined."""
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")

@@ -30,6 +30,8 @@ from tidewire.workspace import materialise
 
 #: Rows in a block of candidates, and of queries.
 BLOCK, QUERIES = 2048, 1024
+#: Bytes of all queries (of their blocks) that are broadcast.
+BROADCAST_BYTES = 64 << 20
 #: Bins of a round, as a power of two, at most.
 BITS = 11
 
@@ -225,8 +227,11 @@ def exact_top_k(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     scale: float = 256.0,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Per row of ``queries`` its ``k`` greatest scores among ``rows``: query_id, rank (from 1), vec_id, score."""
+    """Per row of ``queries`` its ``k`` greatest scores among ``rows``: query_id, rank (from 1), vec_id, score.
+
+    Queries of up to ``broadcast_bytes`` (counted) are sent to every task; more are met by a shuffle."""
     if k < 1:
         raise ValueError("k must be 1 at least")
     candidates = materialise(_blocks(whole_vectors(rows, id_col, vector_col, scale), BLOCK), "topk-rows")
@@ -238,10 +243,18 @@ def exact_top_k(
     # a slot holds about one block of candidates
     placed = candidates.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int")).drop("block", "greatest")
 
+    spark = rows.sparkSession
+    tasks = 2 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    asked_bytes = asked.agg(F.sum(F.octet_length("query_matrix").cast("bigint"))).first()[0] or 0
+
     def pairs(state: DataFrame) -> DataFrame:
         """Each block of queries with every block of candidates of its vector length."""
+        if asked_bytes <= broadcast_bytes:
+            # all of them to every task, once; a block of candidates meets them there
+            return placed.repartition(min(slots, tasks), "slot").drop("slot").join(F.broadcast(state), "length")
+        # a copy per slot: never to be broadcast, however small it was before it was copied
         repeated = state.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-        return repeated.join(placed, ["slot", "length"])
+        return repeated.hint("merge").join(placed.hint("merge"), ["slot", "length"])
 
     rounds = -(-bits // BITS)
     width = -(-bits // rounds)
