@@ -311,4 +311,7 @@ def queries() -> dict[str, Query]:
         "stream_add_sequence": live.q_stream_add_sequence,
         "stream_scan_errors": live.q_stream_scan_errors,
         "stream_faults": live.q_stream_faults,
+        "stream_by_entity": live.q_stream_by_entity,
+        "stream_by_entity_drain": live.q_stream_by_entity_drain,
+        "stream_verify_table": live.q_stream_verify_table,
     }

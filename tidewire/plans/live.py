@@ -10,13 +10,14 @@ from tidewire.operators import ingest
 from tidewire.operators.health import stage_health
 from tidewire.operators.ordering import add_sequence
 from tidewire.operators.rolling import rolling_average
-from tidewire.operators.verify import verify_signatures
+from tidewire.operators.verify import DigestTable, stream_verify, verify_signatures
 from tidewire.plans.run import Run, run_pipeline
 from tidewire.plans.stream_run import StreamRun, run_stream
 from tidewire.plans.views import CHARTS, DECLARED, FIXTURE_KEY, WINDOW, raw_signals, signals
 from tidewire.sources.csv import stream_csv
 from tidewire.sources.sinks import read_feed, write_feed, write_processed
 from tidewire.spec import SEQUENCE, RunSpec
+from tidewire.streaming.entities import STATE_STORE, left_in_state, stream_by_entity
 from tidewire.streaming.progress import ProgressLog, release_samples
 from tidewire.streaming.release import (
     Release,
@@ -196,6 +197,57 @@ def q_stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.rename_internal(spark.read.schema(clean.schema).parquet(out), DECLARED)
 
 
+# ---- keyed state, and digests kept across batches -----------------------------------------------
+
+
+def signals_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals with their number among those of their entity, from 1."""
+    placed = add_sequence(signals(spark, sf_dir).drop("security_hash"), ["entity_name", "event_id"], "place", unique=True)
+    placed = materialise(placed, "placed")
+    first = placed.groupBy("entity_name").agg(F.min("place").alias("first"))
+    return placed.join(first, "entity_name").withColumn("n", F.col("place") - F.col("first") + 1).drop("place", "first")
+
+
+def streamed_by_entity(spark: SparkSession, rows: DataFrame) -> tuple[str, str]:
+    """Where the ordered rows of a stream by entity are, and its checkpoint."""
+    name, store = STATE_STORE
+    before = spark.conf.get(name)
+    spark.conf.set(name, store)
+    out, checkpoint = new_path(spark, "by-entity"), new_path(spark, "stream-checkpoint")
+    source = new_path(spark, "by-entity-source")
+    rows.repartition(3, F.xxhash64("event_id")).write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    try:
+        ended(stream_by_entity(stream, out, checkpoint, "entity_name", "n", "metric_value", WINDOW))
+    finally:
+        spark.conf.set(name, before)
+    return out, checkpoint
+
+
+def q_stream_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = streamed_by_entity(spark, signals_by_entity(spark, sf_dir))
+    rows = spark.read.parquet(out).filter("kind = 'row'")
+    return rows.select("event_id", "entity_name", "computed_metric")
+
+
+def q_stream_by_entity_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some numbers of each entity never come: what its state holds back at the end is read from it."""
+    rows = signals_by_entity(spark, sf_dir).filter("n % 400 <> 77")
+    out, checkpoint = streamed_by_entity(spark, rows)
+    given = spark.read.parquet(out).filter("kind = 'row'")
+    left = left_in_state(spark, checkpoint, "entity_name", "n", "metric_value", WINDOW)
+    columns = ["event_id", "entity_name", "computed_metric"]
+    return given.select(*columns).unionByName(left.select(*columns))
+
+
+def q_stream_verify_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five micro-batches verified by a table of digests that grows by the salts not seen before."""
+    table = DigestTable(new_path(spark, "digest-table"), FIXTURE_KEY, 1)
+    rows, out = numbered_signals(spark, sf_dir), new_path(spark, "verified")
+    ended(stream_verify(landing(spark, rows), table, out, new_path(spark, "stream-checkpoint")))
+    return spark.read.option("recursiveFileLookup", True).schema(rows.schema).parquet(out)
+
+
 # ---- the whole run as a stream ------------------------------------------------------------------
 
 

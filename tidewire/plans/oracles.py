@@ -255,6 +255,16 @@ def oracle_sql() -> dict[str, str]:
             c1 as entity_name, c2 as time_period, c3 as metric_value, c4 as security_hash from clean""",
         "stream_scan_errors": _TORN + """select 'FATAL' as severity, code, cast(null as varchar) as "column",
             text || n as message from torn where n > 0""",
+        "stream_by_entity": f"""with {SIGNALS} select event_id, entity_name,
+            {_mean("metric_value", "partition by entity_name order by event_id rows between 9 preceding and current row")}
+            as computed_metric from signals""",
+        "stream_by_entity_drain": f"""with {SIGNALS}, n as (select *,
+              row_number() over (partition by entity_name order by event_id) as n from signals),
+            came as (select * from n where n % 400 <> 77)
+            select event_id, entity_name,
+            {_mean("metric_value", "partition by entity_name order by event_id rows between 9 preceding and current row")}
+            as computed_metric from came""",
+        "stream_verify_table": f"with {NUMBERED} select {_VERIFIED_COLUMNS} from verified",
         "stream_faults": """select case when event_id % 100 = 7 then 'RAGGED_ROW' when event_id % 200 = 9 then 'OPEN_QUOTE'
               else 'NONE' end as code, count(*) as lines from events group by 1""",
         "scan_csv": f"""with {RAW} select row_number() over (order by event_id) as priority_index,
