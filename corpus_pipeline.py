@@ -19,7 +19,7 @@ from tidewire.llm.decontaminate import find_leaks
 from tidewire.llm.jaccard import jaccard_components
 from tidewire.llm.language import UNKNOWN, detect_languages, learn_languages
 from tidewire.llm.secrets import redact_secrets
-from tidewire.workspace import materialise
+from tidewire.workspace import free, materialise, recorded
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,8 +83,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole of ``documents``. What a stage has stored is deleted once its result is, and its
+    result once the next one is."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with recorded() as paths:
+            docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # the last path given out is that of the result
+        free(spark, before + paths[:-1])
+        before = paths[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -85,3 +85,35 @@ def round_half_even(v: Column, digits: int = 4) -> Column:
         .when(F.abs(v) < 2.0**39, rounded)
         .otherwise(v if digits == 4 else F.bround(v, digits))
     )
+
+
+def shortest_text(v: Column) -> Column:
+    """``str(v)`` of Python for a double: the shortest digits that give it back, with an exponent below 1e-4 and from 1e16.
+
+    The digits are Java's: before version 19 a few doubles of full length get one digit more than needed.
+    """
+    plain = v.cast("double").cast("string")
+    form = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
+    sign, first, rest, power = (F.regexp_extract(plain, form, i) for i in (1, 2, 3, 4))
+    rest = F.when(rest == "0", "").otherwise(rest)
+    digits, power = F.concat(first, rest), power.try_cast("int")
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    missing = F.concat(F.repeat(F.lit("0"), power + 1 - F.length(digits)), F.lit(".0"))
+    point = F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, F.lit(400)))
+    large = F.concat(sign, F.when(F.length(digits) <= power + 1, F.concat(digits, missing)).otherwise(point))
+    mantissa = F.concat(sign, first, F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(""))
+    raised = F.concat(
+        mantissa, F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0")
+    )
+    # exponents of three digits are not cut to two
+    raised = F.when(F.abs(power) < 100, raised).otherwise(
+        F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), F.abs(power).cast("string"))
+    )
+    return (
+        F.when(F.isnan(v), "nan")
+        .when(F.abs(v) == float("inf"), F.when(v > 0, "inf").otherwise("-inf"))
+        .when(~plain.contains("E"), plain)
+        .when(power.between(-4, -1), small)
+        .when(power.between(0, 15), large)
+        .otherwise(raised)
+    )

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewire.functions.text import shortest_text
 from tidewire.spec import CHART_VALUE, SEQUENCE, Chart, whole_number
 from tidewire.workspace import small_frame
 
@@ -37,6 +38,7 @@ def chart_points(
 
     def points(pair, members):
         x, y = (F.col(f"`{c}`") for c in pair)
+        fraction = dict(df.dtypes)[pair[0]] in ("double", "float")
         last = (
             df.select(F.col(seq_col).cast("bigint").alias("seq"), x.alias("x"), y.alias("y"))
             .filter("x is not null and y is not null")
@@ -47,7 +49,7 @@ def chart_points(
             F.explode(F.array(*map(F.lit, members))).alias("chart"),
             "seq",
             F.col("x").cast("string").try_cast("double").alias("x"),
-            F.col("x").cast("string").alias("x_text"),
+            (shortest_text(F.col("x")) if fraction else F.col("x").cast("string")).alias("x_text"),
             F.col("y").cast("double").alias("y"),
         )
 

@@ -203,6 +203,12 @@ def q_chart_feed(spark, sf_dir):
     return charts.chart_feed(materialise(processed(spark, sf_dir), "processed"), CHARTS)
 
 
+def q_float_axis_labels(spark, sf_dir):
+    """Labels of a chart whose x axis holds fractions: measured values."""
+    chart = Chart("real_time_scatter_values", "by value", "metric_value", "metric_value")
+    return charts.axis_labels(charts.chart_feed(verified(spark, sf_dir), [chart]))
+
+
 def q_stage_health(spark, sf_dir):
     return health.stage_health(hourly_samples(spark, sf_dir))
 
@@ -291,6 +297,7 @@ def queries() -> dict[str, Query]:
         "chart_feed": q_chart_feed,
         "chart_extents": lambda s, d: charts.chart_extents(q_chart_feed(s, d)),
         "axis_labels": lambda s, d: charts.axis_labels(q_chart_feed(s, d)),
+        "float_axis_labels": q_float_axis_labels,
         "stage_health": q_stage_health,
         "stage_health_hidden": q_stage_health_hidden,
         "processed_summary": lambda s, d: health.pipeline_summary(verified(s, d)),

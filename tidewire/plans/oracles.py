@@ -306,6 +306,12 @@ def oracle_sql() -> dict[str, str]:
         "axis_labels": f"""with {FEED}, n as (select *, count(*) over (partition by chart) as n from feed)
             select chart, position, right(x_text, 4) as label from n
             where position % greatest(1, n // 6) = 0""",
+        "float_axis_labels": f"""with {NUMBERED}, r as (select metric_value, row_number() over (order by priority_index desc) as r
+              from verified),
+            f as (select metric_value, row_number() over (order by r desc) - 1 as position, count(*) over () as n
+              from r where r <= 120)
+            select 'real_time_scatter_values: by value' as chart, position, right(cast(metric_value as varchar), 4) as label
+            from f where position % greatest(1, n // 6) = 0""",
         "stage_health": _health("size"),
         "stage_health_hidden": _health(
             "case when stage = 'intermediate' then 0 else size end", ", stage <> 'intermediate' as shown"
