@@ -1,5 +1,6 @@
 """Rolling means against a deque, over all ways of cutting the sequence."""
 
+import math
 import random
 from collections import defaultdict, deque
 
@@ -151,3 +152,35 @@ def test_no_rows_and_integers(spark):
 def test_window_checked(spark, window):
     with pytest.raises(ValueError):
         rolling_average(spark.range(1), "id", "id", window)
+
+
+@pytest.mark.parametrize("window", [40, 1000, 5000, 10**7])
+def test_windows_over_many_stretches_of_odd_values(spark, window):
+    """Stretches of 64 numbers, whatever the window; values that are missing, infinite or not a number."""
+    rnd = random.Random(window)
+    rows, odd = [], {700: float("nan"), 1500: float("inf"), 1900: float("-inf"), 2300: None, 2301: None, 2600: 2.0**51}
+    for i in range(3000):
+        if i % 37:
+            rows.append((i * 3 - 50 if i < 2000 else 10**9 + i, odd.get(i, rnd.randrange(10**6) / 1000)))
+    df = spark.createDataFrame(rows, "seq long, v double").repartition(7)
+    got = {r.seq: r.computed_metric for r in rolling_average(df, "seq", "v", window, bucket_width=64).collect()}
+    values = [v for _, v in rows]
+    for at, (seq, _) in enumerate(rows):
+        known = [v for v in values[max(0, at + 1 - window) : at + 1] if v is not None]
+        if any(math.isnan(v) for v in known) or {float("inf"), float("-inf")} <= set(known):
+            assert math.isnan(got[seq])
+        elif any(map(math.isinf, known)):
+            assert math.isinf(got[seq]) and got[seq] in known
+        else:
+            assert got[seq] == (round(math.fsum(known) / len(known), 4) if known else 0.0)
+
+
+def test_a_stretch_does_not_grow_with_the_window(spark):
+    from tidewire.operators.ordering import key_spread
+
+    df = spark.range(1, 4001).selectExpr("id as seq", "cast(id % 97 as double) as v")
+    for window in (1000, 10**7):
+        averaged = rolling_average(df, "seq", "v", window, bucket_width=128, spread=key_spread(df, "seq"))
+        plan = averaged._jdf.queryExecution().optimizedPlan().toString()
+        assert "div 128" in plan and "SinglePartition" not in plan
+        assert averaged.count() == 4000

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import round_half_even
-from tidewire.operators.ordering import BUCKET_WIDTH, Buckets, KeySpread, _fit, add_sequence, cut_in_buckets
+from tidewire.operators.ordering import BUCKET_WIDTH, Buckets, KeySpread, _fit, add_sequence, cut_in_buckets, key_spread
 from tidewire.spec import AVERAGE, whole_number
 
 
@@ -47,13 +47,19 @@ def rolling_average(
 
     Rows are cut into bounded stretches of the sequence, and the end of each stretch is copied into
     the next one, which gives every window its full frame within one task: one shuffle, no
-    one-partition window, and no task holds a whole group. ``df`` is read up to four times, so an
+    one-partition window, and no task holds a whole group. A window that is long against a stretch is
+    the difference of two sums over all rows before, which are brought together ``window`` rows apart: stretches
+    stay as they are, however long it is (values below 2**52, no groups). ``df`` is read up to four times, so an
     expensive input should be stored first. Who knows how far the sequence reaches says so by ``spread``, which
     saves a pass (without groups).
     """
     whole_number("window", window)
     carry = window - 1
     groups = list(partition_by or ())
+    if not groups and carry > bucket_width // 16:
+        far = _mean_by_prefix(df, seq_col, value_col, window, name, bucket_width, spread)
+        if far is not None:
+            return far.withColumn(name, round_half_even(F.coalesce(name, F.lit(0.0)), digits)).select(*df.columns, name)
     if groups:
         missing = df.filter(F.col(seq_col).isNull()).count()
         if missing:
@@ -127,3 +133,75 @@ def _mean_by_difference(
     coarse, rest, count = (F.col(c) - F.lag(c, window, 0).over(order) for c in running)
     total = coarse.cast("double") / 1024.0 + rest.cast("double") / fine
     return summed.withColumn(name, F.when(count > 0, total / count))
+
+
+# The finest fraction of 1/1024ths' rests that is added up, and values up to which that is exact.
+_FINE, _WHOLE = 2.0**52, 2.0**52
+_SUMS = ("__coarse", "__fine", "__count", "__nan", "__up", "__down")
+
+
+def _mean_by_prefix(
+    df: DataFrame, seq_col: str, value_col: str, window: int, name: str, width: int, spread: KeySpread | None
+) -> DataFrame | None:
+    """Means as differences of sums over all rows so far, ``window`` rows apart; ``None`` if some value has no such sum.
+
+    Totals of stretches are added up on one row per stretch, sums within a stretch by a window over it. A row's sum is
+    then sent to the place ``window`` rows on, where the row there takes it off. No task holds more than a stretch and
+    the sums sent to it. Values that are infinite or not a number are counted, not added.
+    """
+    value = F.col(value_col).cast("double")
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    if not df.filter(finite & (F.abs(value) >= _WHOLE)).isEmpty():
+        return None
+    spread = spread or key_spread(df, seq_col)
+    if spread is None:
+        return None
+    place = "__dense"
+    if spread.rows == spread.span:
+        dense = df.withColumn(place, F.col(seq_col).cast("bigint") - F.lit(spread.low))
+    else:
+        dense = add_sequence(df, seq_col, place, start=0, unique=True)
+    coarse = F.rint(value * 1024.0)
+    parts = {
+        "__coarse": F.when(finite, coarse.cast("bigint")),
+        "__fine": F.when(finite, F.rint((value - coarse / 1024.0) * _FINE).cast("bigint")),
+        "__count": F.when(value.isNotNull(), 1),
+        "__nan": F.when(F.isnan(value), 1),
+        "__up": F.when(value == float("inf"), 1),
+        "__down": F.when(value == float("-inf"), 1),
+    }
+    # sums of whole numbers that 64 bits could not hold
+    exact = {c: F.coalesce(e, F.lit(0)).cast("decimal(38,0)") for c, e in parts.items()}
+
+    def stretch(at: str) -> Column:
+        return F.expr(f"cast(`{at}` div {width}L as bigint)")
+
+    rows = dense.withColumns(exact).withColumn("__bucket", stretch(place))
+    totals = rows.groupBy("__bucket").agg(*[F.sum(c).alias(f"{c}_all") for c in _SUMS])
+    earlier = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("__bucket", *[F.coalesce(F.sum(f"{c}_all").over(earlier), F.lit(0)).alias(f"{c}_all") for c in _SUMS])
+    upto = Window.partitionBy("__bucket").orderBy(place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = rows.join(before, "__bucket").withColumns({c: F.sum(c).over(upto) + F.col(f"{c}_all") for c in _SUMS})
+    own = summed.select(*df.columns, place, F.struct(*_SUMS).alias("__sums"), F.lit(1).alias("__own"))
+    sent = summed.select((F.col(place) + window).alias(place), F.struct(*_SUMS).alias("__sums"), F.lit(0).alias("__own"))
+    met = own.unionByName(sent, allowMissingColumns=True).withColumn("__bucket", stretch(place))
+    # at one place there are the sum sent to it, if any, and the row
+    order = Window.partitionBy("__bucket").orderBy(place, "__own")
+    last = F.lag(F.struct(place, "__sums")).over(order)
+    there = met.withColumn("__last", last).filter("__own = 1")
+
+    def over_window(c: str) -> Column:
+        old = F.when(F.col("__last")[place] == F.col(place), F.col("__last")["__sums"][c])
+        return F.col("__sums")[c] - F.coalesce(old, F.lit(0))
+
+    coarse, fine, count, nan, up, down = map(over_window, _SUMS)
+    # both in the finer unit, rounded once, unless that is beyond 38 digits
+    units = F.try_add(F.try_multiply(coarse, F.lit(int(_FINE) // 1024).cast("decimal(38,0)")), fine)
+    total = F.coalesce(units.cast("double") / _FINE, coarse.cast("double") / 1024.0 + fine.cast("double") / _FINE)
+    mean = (
+        F.when((nan > 0) | ((up > 0) & (down > 0)), float("nan"))
+        .when(up > 0, float("inf"))
+        .when(down > 0, float("-inf"))
+        .when(count > 0, total / count.cast("double"))
+    )
+    return there.withColumn(name, mean)

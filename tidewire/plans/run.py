@@ -16,9 +16,11 @@ from tidewire.operators.staging import QUARANTINE, stage_scan
 from tidewire.operators.verify import verify_signatures
 from tidewire.sources.csv import line_errors, scan_csv, unreadable
 from tidewire.spec import AVERAGE, DATA_TYPES, SEQUENCE, STAGES, RunSpec
-from tidewire.workspace import free, new_path, recorded, small_frame
+from tidewire.workspace import free, materialise, new_path, recorded, small_frame
 
 COUNTS = "loaded bigint, passed bigint, skipped bigint"
+# Rows before the last points that are brought together for their windows, at most.
+LONG_FEED = 1 << 14
 
 
 class Run:
@@ -155,7 +157,10 @@ def _health(spark: SparkSession, spec: RunSpec, sizes: dict[str, int]) -> DataFr
 
 
 def _last_points(verified: DataFrame, spec: RunSpec, n: int = charts.POINTS) -> DataFrame:
-    """The chart feed, worked out from the last rows alone: ``n`` of them and one window before."""
+    """The chart feed, worked out from the last rows alone: ``n`` of them and one window before, unless that is long."""
+    if spec.window > LONG_FEED:
+        averaged = rolling_average(verified, SEQUENCE, spec.value_col, spec.window)
+        return charts.chart_feed(materialise(averaged, "averaged"), spec.charts, n)
     last = verified.orderBy(F.desc(SEQUENCE)).limit(n + spec.window - 1)
     averaged = rolling_average(last, SEQUENCE, spec.value_col, spec.window)
     return charts.chart_feed(averaged, spec.charts, n)
