@@ -243,3 +243,26 @@ def test_ppm_query_learns_from_its_fold_only(spark, documents):
     want = {r[0]: r for r in brute_ppm(some, ppm.ORDER)[::10]}
     got = [(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows if r.doc_id in want]
     compare_ppm(got, list(want.values()))
+
+
+def test_estimation_goes_on_until_it_settles():
+    """Close languages need many steps: a thousand more add next to nothing to any document's likelihood."""
+    rng = np.random.default_rng(7)
+    sizes = rng.integers(1, 400, 60)
+    firsts = np.concatenate([[0], np.cumsum(sizes)])
+    likely = np.exp(-rng.random((firsts[-1], 3)) * np.array([1.0, 1.0, 6.0])).astype(np.float32)
+    likely[:, 1] = likely[:, 0] * (1 + 0.05 * rng.standard_normal(firsts[-1])).astype(np.float32).clip(-3, 3)
+    allowed = np.ones((60, 3))
+    shares, value = language.mixture(likely, firsts, allowed)
+    _, eight = language.mixture(likely, firsts, allowed, 8)
+    _, long = language.mixture(likely, firsts, allowed, 1000)
+    assert (value >= eight - 1e-2).all() and (long - value).max() < 0.5
+    assert np.allclose(shares.sum(1), 1)
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 3)
+    docs = spark.createDataFrame([(f"text number {i}", f"l{i}") for i in range(4)], "text string, lang string")
+    with pytest.raises(ValueError, match="are they languages"):
+        language.learn_languages(docs)
+    assert len(language.learn_languages(docs.filter("lang <> 'l0'")).names) == 3

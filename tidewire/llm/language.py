@@ -2,7 +2,10 @@
 
 Each language has a likelihood for byte trigrams of words, learned from labelled texts. A document is a
 mixture: every word comes from one language, and expectation-maximisation estimates the share of each. The
-set of languages is the one with the greatest likelihood less a penalty for every further language.
+set of languages is the one with the greatest likelihood less a penalty for every further language, of the sets that
+begin with the greatest shares: the best one, the best two and so on, with every language as the last. (Of all subsets a
+better one exists for 0.2 % of the documents of the test tables, and for no mixture made of three of them.) Estimation
+goes on until a document's likelihood rises no more.
 
 Counts are kept in a fixed number of trigram buckets per language, added up in each task before anything is
 shuffled, so the model's size depends on the number of languages alone (``BUCKETS`` * 4 bytes each).
@@ -26,8 +29,11 @@ from tidewire.llm.common import appended, bytes_of, map_batches, pieces, starts_
 
 #: Trigram buckets per language.
 BUCKETS = 1 << 16
-#: Steps of expectation-maximisation.
-STEPS = 8
+#: Expectation-maximisation ends for a document once a step adds no more than this to its log likelihood (and no
+#: more than single precision tells: ``NOISE`` per word).
+GAIN, NOISE = 1e-3, 1e-7
+#: Languages that may be learned: each takes ``BUCKETS`` * 4 bytes in every task.
+MOST_LANGUAGES = 1000
 #: Likelihoods of a word differ by no more than this, in nats.
 SPREAD = np.float32(25)
 #: Weight of the penalty, times the log of the number of words, for each further language.
@@ -97,6 +103,9 @@ def learn_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "la
 
     labelled = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     counted = map_batches(labelled.filter("text is not null and lang is not null"), count, "lang string, bucket int, n bigint")
+    many = labelled.filter("text is not null and lang is not null").select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
+    if many > MOST_LANGUAGES:
+        raise ValueError(f"{lang_col!r} has more than {MOST_LANGUAGES} values: are they languages?")
     # at most BUCKETS rows per language, whatever the corpus
     rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     langs, buckets, counts = (rows.column(c).to_numpy() for c in ("lang", "bucket", "n"))
@@ -110,23 +119,38 @@ def learn_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "la
 # ---- inference ----------------------------------------------------------------------------------
 
 
-def mixture(likely: np.ndarray, firsts: np.ndarray, allowed: np.ndarray, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
+def mixture(
+    likely: np.ndarray, firsts: np.ndarray, allowed: np.ndarray, steps: int | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Shares of the languages per document and the log likelihood under them.
 
     ``likely``: likelihood of each word in each language, ``firsts``: where each document's words begin (no
-    document is without), ``allowed``: the languages each may have.
+    document is without), ``allowed``: the languages each may have. Each document goes on until it has settled, or for
+    so many ``steps``.
     """
-    sizes = np.diff(firsts)
-    doc = np.repeat(np.arange(len(sizes)), sizes)
     shares = allowed / allowed.sum(1, keepdims=True)
-    for _ in range(steps):
-        parts = likely * shares[doc].astype(np.float32)
-        parts /= parts.sum(1, keepdims=True)
-        shares = np.add.reduceat(parts, firsts[:-1], 0, dtype=np.float64) / sizes[:, None]
-        shares = np.maximum(shares, 1e-9) * allowed
-        shares /= shares.sum(1, keepdims=True)
-    total = (likely * shares[doc].astype(np.float32)).sum(1)
-    return shares, np.add.reduceat(np.log(total, dtype=np.float64), firsts[:-1])
+    value = np.full(len(shares), -np.inf)
+    left, sizes = np.arange(len(shares)), np.diff(firsts)
+    done = 0
+    while len(left):
+        doc = np.repeat(np.arange(len(left)), sizes)
+        starts = starts_of(sizes)[:-1]
+        parts = likely * shares[left][doc].astype(np.float32)
+        total = parts.sum(1)
+        now = np.add.reduceat(np.log(total, dtype=np.float64), starts)
+        open_ = now - value[left] > GAIN + NOISE * sizes if steps is None else np.full(len(left), done < steps)
+        done += 1
+        value[left] = np.maximum(now, value[left])
+        if not open_.any():
+            break
+        parts /= total[:, None]
+        new = np.add.reduceat(parts, starts, 0, dtype=np.float64) / sizes[:, None]
+        new = np.maximum(new, 1e-9) * allowed[left]
+        moved = new / new.sum(1, keepdims=True)
+        shares[left[open_]] = moved[open_]
+        if not open_.all():
+            likely, left, sizes = likely[open_[doc]], left[open_], sizes[open_]
+    return shares, value
 
 
 def infer(model: LanguageModel, texts: pa.Array, most: int | None = None, penalty: float = PENALTY) -> np.ndarray:
