@@ -181,6 +181,16 @@ def test_files_round_trip(spark, documents, word_library, monkeypatch, unit):
     index = spark.read.parquet(f"{path}/index").orderBy("start").collect()
     assert sum(r.n_docs for r in index) == len(documents)
     assert [r.start for r in index] == [0, *np.cumsum([r.n_ids for r in index])[:-1]]
+    # any stretch of ids, from the chunks that hold it alone
+    flat = b"".join(r.ids for r in sorted(rows, key=lambda r: r.start))
+    total, middle = len(flat) // 4, index[len(index) // 2]
+    for first, last in [(0, total), (0, 1), (total - 5, total + 9), (middle.start, middle.start + middle.n_ids), (7, 7), (1234, 9876), (total, total + 3)]:
+        some = sorted(token_files.read_id_range(spark, path, first, last).collect(), key=lambda r: r.start)
+        assert b"".join(r.ids for r in some) == flat[4 * first : 4 * last]
+        held = [r for r in index if r.start < last and r.start + r.n_ids > first] if last > first else []
+        assert [r.start for r in some] == [max(r.start, first) for r in held]
+    with pytest.raises(ValueError):
+        token_files.read_id_range(spark, path, 5, 4)
 
 
 def test_files_of_odd_rows(spark, odd_docs, no_docs, word_library):
@@ -193,6 +203,7 @@ def test_files_of_odd_rows(spark, odd_docs, no_docs, word_library):
     path = new_path(spark, "test-tokens")
     token_files.write_token_files(no_docs, path, WORDS, 1)
     assert token_files.read_token_files(spark, path).count() == 0
+    assert token_files.read_id_range(spark, path, 0, 10).count() == 0
     with pytest.raises(ValueError):
         token_files.write_token_files(no_docs, path, WORDS, 1, unit=2)
 

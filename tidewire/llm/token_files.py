@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.bpe import _Places, _source
 from tidewire.llm.common import bytes_of, gather_runs, map_batches, pieces, starts_of, texts_of
+from tidewire.workspace import small_frame
 
 #: Ids in a block; a multiple of 8.
 BLOCK = 1 << 15
@@ -301,3 +302,29 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     return map_batches(placed, work, "id bigint, start bigint, n_ids bigint, ids binary")
+
+
+def read_id_range(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    """Ids ``first`` to before ``last`` of all, by the index: ``start`` and ``ids`` (little-endian, 4 bytes each), a row
+    per chunk that holds some of them. Other chunks are not opened, and those of other parts not read."""
+    if not 0 <= first <= last:
+        raise ValueError("a range of ids begins at 0 or later and does not end before")
+    index = spark.read.parquet(f"{path}/index").filter((F.col("start") < last) & (F.col("start") + F.col("n_ids") > first))
+    low, high, least, most = index.agg(F.min("part"), F.max("part"), F.min("chunk"), F.max("chunk")).first()
+    if low is None or first == last:
+        return small_frame(spark, [], "start bigint, ids binary")
+    near = F.col("part").between(low, high)
+    if low == high:
+        near &= F.col("chunk").between(least, most)
+    chunks = spark.read.parquet(f"{path}/chunks").filter(near).select("part", "chunk", "planes", "unit")
+    hit = chunks.join(index.select("part", "chunk", "start", "n_ids"), ["part", "chunk"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                flat = from_planes(row["planes"], row["n_ids"], row["unit"])
+                a, b = max(first - row["start"], 0), min(last - row["start"], row["n_ids"])
+                some = {"start": pa.array([row["start"] + a], pa.int64()), "ids": pa.array([flat[a:b].tobytes()], pa.binary())}
+                yield pa.RecordBatch.from_pydict(some)
+
+    return map_batches(hit.select("start", "n_ids", "planes", "unit"), work, "start bigint, ids binary")
