@@ -34,6 +34,13 @@ def test_rolling_shuffles_once(spark):
     assert "hashpartitioning(__bucket" in text
 
 
+def test_numbering_and_averaging_shuffle_all_rows_once(spark):
+    """One exchange has the rows; the other two have counts of stretches."""
+    text = plan(processed(spark, SF))
+    exchanged = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", text)
+    assert len([c for c in exchanged if "metric_value" in c or "event_id" in c]) == 1
+
+
 def test_scans_read_only_what_is_needed(spark):
     signed = events(spark, SF).selectExpr("event_id", "value metric_value", "'x' security_hash")
     text = plan(verify_signatures(signed, "k", 1, route="native"))

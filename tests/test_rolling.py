@@ -6,7 +6,7 @@ from collections import defaultdict, deque
 
 import pandas as pd
 import pytest
-from tidewire.operators.rolling import rolling_average
+from tidewire.operators.rolling import rolling_average, sequence_and_average
 
 
 def by_hand(rows, window, groups=None):
@@ -184,3 +184,26 @@ def test_a_stretch_does_not_grow_with_the_window(spark):
         plan = averaged._jdf.queryExecution().optimizedPlan().toString()
         assert "div 128" in plan and "SinglePartition" not in plan
         assert averaged.count() == 4000
+
+
+@pytest.mark.parametrize("kind", ["dense", "gaps", "outages", "sparse", "clustered"])
+@pytest.mark.parametrize("window, share", [(1, 0.5), (10, 0.9), (10, 0.02), (64, 0.6), (200, 0.9)])
+def test_numbering_and_averaging_at_once(spark, kind, window, share):
+    """Against numbers and means by hand, with few accepted rows too, and a stretch without any."""
+    rnd = random.Random(window)
+    rows = [(k, v, rnd.random() < share and not 3000 < at < 5200) for at, (k, v) in enumerate(sorted(rows_of(kind)))]
+    df = spark.createDataFrame(rows, "key long, v double, ok boolean").repartition(5)
+    got = sequence_and_average(df, "key", "v", window, "ok", bucket_width=500).collect()
+    last, want = deque(maxlen=window), []
+    for n, (k, v, ok) in enumerate(rows, 1):
+        if ok:
+            last.append(v)
+            want.append((n, k, round(math.fsum(last) / len(last), 4)))
+    assert sorted((r.priority_index, r.key, r.computed_metric) for r in got) == want
+
+
+def test_numbering_nothing(spark):
+    df = spark.createDataFrame([], "key long, v double, ok boolean")
+    assert sequence_and_average(df, "key", "v", 3, "ok").collect() == []
+    with pytest.raises(ValueError):
+        sequence_and_average(df, "key", "v", 3, "ok", seq_name="v")

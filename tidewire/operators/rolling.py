@@ -8,8 +8,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import round_half_even
-from tidewire.operators.ordering import BUCKET_WIDTH, Buckets, KeySpread, _fit, add_sequence, cut_in_buckets, key_spread
-from tidewire.spec import AVERAGE, whole_number
+from tidewire.operators.ordering import (
+    BUCKET_WIDTH,
+    Buckets,
+    KeySpread,
+    _fit,
+    _zones_hold,
+    add_sequence,
+    cut_in_buckets,
+    key_spread,
+)
+from tidewire.spec import AVERAGE, SEQUENCE, whole_number
 
 
 # Windows from here on are worked out from running sums.
@@ -87,6 +96,56 @@ def rolling_average(
     )
 
 
+def sequence_and_average(
+    df: DataFrame,
+    key: str,
+    value_col: str,
+    window: int,
+    accepted_col: str,
+    seq_name: str = SEQUENCE,
+    digits: int = 4,
+    name: str = AVERAGE,
+    bucket_width: int = BUCKET_WIDTH,
+) -> DataFrame:
+    """Number all rows by a unique integer ``key``, keep the accepted ones and add their rolling mean: one shuffle.
+
+    The same as ``add_sequence``, a filter and ``rolling_average``, which shuffle once each. Here both work on the same
+    stretches of the key, to which the ends of the stretches before are copied. It takes the three steps where keys lie
+    too sparsely for that, where a stretch's end may hold too few accepted rows, and for long windows.
+    """
+    whole_number("window", window)
+    if seq_name in df.columns:
+        raise ValueError(f"column {seq_name!r} exists already")
+    carry = window - 1
+    spread = key_spread(df, key)
+    accepted = F.col(accepted_col)
+    cut = None
+    if spread is not None and window <= LONG_WINDOW:
+        width = _fit(df, spread.span, carry, bucket_width)
+        zone = min(width, max(8 * carry + 64, width // 16)) if carry else 0
+        cut = Buckets(df.filter(accepted), key, spread.low, width, zone, (spread.span - 1) // width)
+    if cut is None or not spread.fills(cut.width) or (cut.last and carry and not _zones_hold(cut, carry)):
+        numbered = add_sequence(df, key, seq_name, unique=True)
+        return rolling_average(numbered.filter(accepted), seq_name, value_col, window, digits=digits, name=name)
+    home = cut.bucket()
+    counts = df.groupBy(home.alias("__bucket")).agg(F.count("*").alias("__rows"))
+    earlier = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("__bucket", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
+    copies = F.when(cut.in_zone() & accepted, F.array(home, home + 1)).otherwise(F.array(home))
+    rows = df.withColumn("__home", home).withColumn("__bucket", F.explode(copies)).join(before, "__bucket")
+    own = (F.col("__bucket") == F.col("__home")).cast("bigint")
+    upto = Window.partitionBy("__bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = rows.withColumn(seq_name, F.col("__before") + F.sum(own).over(upto))
+    # rows that are not accepted have a window of their own, within the same stretch
+    order = Window.partitionBy("__bucket", accepted_col).orderBy(key)
+    averaged = _mean_by_frame(numbered, order, F.col(value_col).cast("double"), window, name)
+    return (
+        averaged.filter((F.col("__bucket") == F.col("__home")) & accepted)
+        .withColumn(name, round_half_even(F.coalesce(name, F.lit(0.0)), digits))
+        .select(seq_name, *df.columns, name)
+    )
+
+
 def _averaged(rows: DataFrame, order, value: Column, window: int, name: str, most_rows: int) -> DataFrame:
     """Short windows by frames; long ones by differences, but for stretches with values that have none."""
     if window <= LONG_WINDOW:

@@ -19,7 +19,7 @@ from tidewire.operators.ordering import (
     reject_stale,
     resequence,
 )
-from tidewire.operators.rolling import rolling_average
+from tidewire.operators.rolling import rolling_average, sequence_and_average
 from tidewire.operators.verify import verification_summary, verify_signatures
 from tidewire.plans import live
 from tidewire.plans.views import (
@@ -61,7 +61,9 @@ def verified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processed(spark: SparkSession, sf_dir: str, window: int = WINDOW) -> DataFrame:
-    return rolling_average(verified(spark, sf_dir), SEQUENCE, "metric_value", window)
+    """Signals numbered in event order, verified and averaged, all on the same stretches of the event's number."""
+    flagged = verify_signatures(signals(spark, sf_dir, once=True), FIXTURE_KEY, 1, keep_flag=True, route="native")
+    return sequence_and_average(flagged, "event_id", "metric_value", window, "verified").drop("verified", "event_id")
 
 
 def casts(spark: SparkSession, sf_dir: str) -> DataFrame:
