@@ -27,6 +27,7 @@ HEADLINES = (
     "verify_signatures_table",
     "verification_summary",
     "find_gaps",
+    "gap_ranges",
     "reject_stale",
     "rolling_average_w100",
     "rolling_average_w5000",
@@ -35,6 +36,7 @@ HEADLINES = (
     "stage_health",
     "end_to_end",
     "stream_rolling_average",
+    "stream_end_to_end",
 )
 
 #: Iterations per digest for the digest rate.
@@ -53,10 +55,12 @@ def main() -> None:
     queries = catalogue.queries()
     # what is read is written before the clock starts
     path = live.raw_csv(spark, sf_dir)
+    landed = live.landed_csv(spark, sf_dir)
     signed = materialise(catalogue.signed_twice(spark, sf_dir), "signed")
     queries |= {
         "scan_csv": lambda s, d: catalogue.scanned(s, path),
         "end_to_end": lambda s, d: live.csv_run(s, d, path).processed,
+        "stream_end_to_end": lambda s, d: live.streamed_run(s, landed).table(s, "processed"),
         "verify_signatures_table": lambda s, d: verify_signatures(signed, FIXTURE_KEY, 2),
     }
     # start-up of the JVM and of the Python workers is not what is measured

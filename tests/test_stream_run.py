@@ -25,8 +25,8 @@ def land(tmp_path, rows, parts, name="in"):
     return str(top)
 
 
-def started(spark, folder, path, **kw):
-    return run_stream(spark, spec(path, 3, **kw), folder("out"), folder("state"), folder("cp"))
+def started(spark, folder, path, iterations=3, **kw):
+    return run_stream(spark, spec(path, iterations, **kw), folder("out"), folder("state"), folder("cp"))
 
 
 def tuples(df):
@@ -59,6 +59,15 @@ def test_same_as_the_batch(spark, folder, tmp_path):
     assert quarantine_preview(run.table(spark, "quarantine")).count() == 6
 
 
+def test_costly_digests_are_kept_from_batch_to_batch(spark, folder, tmp_path):
+    rows, bad, clean, processed = dataset(120, 1000)
+    query, run = started(spark, folder, land(tmp_path, rows, 2), iterations=1000)
+    query.awaitTermination()
+    check_same(spark, run, rows, bad, clean, processed)
+    kept = spark.read.parquet(f"{run.state}/digests/digests")
+    assert kept.count() == kept.select("__salt").distinct().count() == len({f"{v:.2f}" for _, v, _ in clean})
+
+
 def test_a_batch_cut_off_half_way_changes_nothing(spark, folder, tmp_path, monkeypatch):
     """The second batch fails after all its sinks are written, and once more in the middle; then it is run again."""
     rows, bad, clean, processed = dataset(300, 3)

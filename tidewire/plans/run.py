@@ -141,12 +141,17 @@ def _run(spark: SparkSession, spec: RunSpec, paths: list[str]) -> Run:
     return Run(errors, made, paths)
 
 
-def flag_and_store(rows: DataFrame, spec: RunSpec, path: str) -> tuple[DataFrame, int]:
-    """Store ``rows`` with their flag ``verified``; and how many are."""
+def flag_and_store(
+    rows: DataFrame, spec: RunSpec, path: str, verify: Callable[..., DataFrame] | None = None
+) -> tuple[DataFrame, int]:
+    """Store ``rows`` with their flag ``verified``, by ``verify`` or as a batch does it; and how many are."""
     spark, seen = rows.sparkSession, Observation()
-    flagged = verify_signatures(
-        rows, spec.secret_key, spec.iterations, spec.value_col, spec.signature_col, keep_flag=True
-    )
+    if verify is None:
+        flagged = verify_signatures(
+            rows, spec.secret_key, spec.iterations, spec.value_col, spec.signature_col, keep_flag=True
+        )
+    else:
+        flagged = verify(rows)
     flagged.observe(seen, F.count_if("verified").alias("verified")).write.mode("overwrite").parquet(path)
     return spark.read.schema(flagged.schema).parquet(path), seen.get["verified"]
 

@@ -12,6 +12,7 @@ whose files land in the order of their paths thus has the numbers of a batch sca
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewire.operators import charts, health, ingest
 from tidewire.operators.ordering import KeySpread
 from tidewire.operators.staging import FAULTS, QUARANTINE, Staged, stage_scan
+from tidewire.operators.verify import DigestTable, verify_signatures
 from tidewire.plans.run import flag_and_store, processed_schema
 from tidewire.sources.csv import csv_header, line_errors, stream_csv
 from tidewire.spec import SEQUENCE, STAGES, RunSpec
@@ -29,6 +31,8 @@ from tidewire.workspace import exists, free, get_text, names_in, put_text, small
 
 #: Folders of one batch; the name is one that no input column has.
 _BATCH = "__batch"
+#: Iterations from which a digest is worth being looked up.
+KEPT_FROM = 1000
 SINKS = ("clean", "processed", "quarantine", "faults", "feed")
 
 
@@ -77,7 +81,7 @@ class StreamRun:
             lines, spec.columns, staged_path, self._folder("splits", batch_id, self.state), keep_lines=not spec.multiline
         )
         clean = self._folder("clean", batch_id)
-        flagged, verified = flag_and_store(staged.good(start=before.clean + 1), spec, clean)
+        flagged, verified = flag_and_store(staged.good(start=before.clean + 1), spec, clean, self._verifier(batch_id))
         tail = self._average(flagged, staged.good_rows, verified, before, batch_id)
         bad = self._set_aside(staged, before, batch_id)
         feed = self._merge_feed(spark, before, batch_id)
@@ -96,6 +100,15 @@ class StreamRun:
         put_text(spark, self._notes_path(batch_id), notes.text())
         free(spark, [staged_path, self._folder("splits", batch_id, self.state)])
 
+    def _verifier(self, batch_id: int) -> Callable[[DataFrame], DataFrame]:
+        """Costly digests are kept from batch to batch; cheap ones are hashed where the rows are."""
+        spec = self.spec
+        names = {"value_col": spec.value_col, "signature_col": spec.signature_col, "keep_flag": True}
+        if spec.iterations >= KEPT_FROM:
+            table = DigestTable(f"{self.state}/digests", spec.secret_key, spec.iterations)
+            return lambda rows: table.verify(rows, batch_id, **names)
+        return lambda rows: verify_signatures(rows, spec.secret_key, spec.iterations, route="udf", **names)
+
     def _average(self, flagged: DataFrame, rows: int, verified: int, before: _Notes, batch_id: int) -> Tail | None:
         """Write the verified rows with their mean; where the last values are after them."""
         spark, path = flagged.sparkSession, self._folder("processed", batch_id)
