@@ -65,7 +65,7 @@ def rolling_average(
     whole_number("window", window)
     carry = window - 1
     groups = list(partition_by or ())
-    if not groups and carry > bucket_width // 16:
+    if not groups and carry > bucket_width // 8:
         far = _mean_by_prefix(df, seq_col, value_col, window, name, bucket_width, spread)
         if far is not None:
             return far.withColumn(name, round_half_even(F.coalesce(name, F.lit(0.0)), digits)).select(*df.columns, name)
