@@ -29,7 +29,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from tokenizers.pre_tokenizers import ByteLevel
 
 from tidewire.llm.common import appended, gather_runs, list_array, map_batches, pieces, starts_of, texts_of, with_columns
 
@@ -47,6 +46,8 @@ def newer_characters() -> str:
     between two letters and between two digits."""
     every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
     doubtful = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn"]
+    from tokenizers.pre_tokenizers import ByteLevel  # on the driver alone, unless a worker is not told the answer
+
     cutter = ByteLevel(add_prefix_space=False, use_regex=True)
     whole: set[str] = set()
     for side in "a1":
@@ -60,10 +61,10 @@ def newer_characters() -> str:
     return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends))
 
 
-@lru_cache(maxsize=1)
-def _cuts() -> tuple[Callable, Callable, Callable]:
+@lru_cache(maxsize=2)
+def _cuts(newer: str) -> tuple[Callable, Callable, Callable]:
     """Whether a text has newer characters; the cut of texts without, and of texts with them."""
-    newer, plain = newer_characters(), regex.compile(WORDS).findall
+    plain = regex.compile(WORDS).findall
     if not newer:
         return lambda text: None, plain, plain
     # the newer ones leave both classes and join the signs
@@ -72,9 +73,9 @@ def _cuts() -> tuple[Callable, Callable, Callable]:
     return re.compile(f"[{newer}]").search, plain, regex.compile(told, regex.V1).findall
 
 
-def cut_words(text: str) -> list[str]:
-    """The words of a text in whatever script."""
-    has_newer, plain, told = _cuts()
+def cut_words(text: str, newer: str | None = None) -> list[str]:
+    """The words of a text in whatever script; ``newer`` as from ``newer_characters``, which is asked if it is not given."""
+    has_newer, plain, told = _cuts(newer_characters() if newer is None else newer)
     return told(text) if has_newer(text) else plain(text)
 
 
@@ -222,8 +223,8 @@ class _Places(dict):
 class Encoder:
     """Texts to ids, through the store of words."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self._vocabulary = vocabulary
+    def __init__(self, vocabulary: Vocabulary, newer: str | None = None):
+        self._vocabulary, self._newer = vocabulary, newer
         self._cut_plain = re.compile(PLAIN_WORDS).findall
         special = sorted(vocabulary.added, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
@@ -251,9 +252,9 @@ class Encoder:
         if self._special is not None and any(t in text for t in self._vocabulary.added):
             found: list[str] = []
             for place, part in enumerate(self._special.split(text)):
-                found += [part] if place % 2 else cut_words(part)
+                found += [part] if place % 2 else cut_words(part, self._newer)
             return found
-        return cut_words(text) if _UNCOMMON.search(text) else self._cut_plain(text)
+        return cut_words(text, self._newer) if _UNCOMMON.search(text) else self._cut_plain(text)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts on end, and where each text's begin."""
@@ -273,11 +274,11 @@ class Encoder:
 _loaded: dict[str, tuple[Vocabulary, Encoder]] = {}
 
 
-def _load(source: str) -> tuple[Vocabulary, Encoder]:
+def _load(source: str, newer: str | None = None) -> tuple[Vocabulary, Encoder]:
     key = hashlib.sha256(source.encode()).hexdigest()
     if key not in _loaded:
         vocabulary = Vocabulary(source)
-        _loaded[key] = (vocabulary, Encoder(vocabulary))
+        _loaded[key] = (vocabulary, Encoder(vocabulary, newer))
     return _loaded[key]
 
 
@@ -288,10 +289,10 @@ def _source(spark: SparkSession, path: str):
 
 def encode_texts(docs: DataFrame, vocabulary_path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of each whole text."""
-    source = _source(docs.sparkSession, vocabulary_path)
+    source, newer = _source(docs.sparkSession, vocabulary_path), newer_characters()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, encoder = _load(source.value)
+        _, encoder = _load(source.value, newer)
         for batch in batches:
             for part in pieces(batch, text_col, PIECE):
                 ids, offsets = encoder.encode(texts_of(part, text_col).to_pylist())
