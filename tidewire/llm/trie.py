@@ -100,12 +100,13 @@ def _burst(open_rows: DataFrame, limit: int, convs: int, low: int) -> tuple[Data
     """The heads, each with the keys from the root to itself as ``line``; and the rows of all final containers."""
     spark = open_rows.sparkSession
     open_rows = open_rows.withColumn("head_conv", F.lit(low).cast("bigint"))
-    root = spark.range(1).select(
+    # stored, as a key that is a literal would turn joins into products with its one row
+    root = materialise(spark.range(1).select(
         F.lit(ROOT).alias("key"), F.lit(None).cast("binary").alias("parent"), F.lit(0).cast("bigint").alias("depth"),
         F.lit(low).cast("bigint").alias("conv"), F.lit(None).cast("bigint").alias("parent_conv"),
         F.lit(0).cast("bigint").alias("chars"), F.lit(convs).cast("bigint").alias("n_convs"),
         F.array(F.lit(ROOT)).alias("line"),
-    )
+    ), "trie-heads")
     heads, held, latest, depth = [root], [], root, 0
     while True:
         step = F.col("path")[depth]
