@@ -84,7 +84,7 @@ def learn_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", 1 << 19):
                 buckets, words, firsts = trigrams_of(texts_of(part, "text"))
                 bounds = words[firsts]
                 for at, lang in enumerate(part.column(part.schema.names.index("lang")).to_pylist()):
@@ -218,7 +218,7 @@ def detect_languages(docs: DataFrame, model: LanguageModel, text_col: str = "tex
     """
     # BUCKETS * 4 bytes per language
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    size = max(1 << 16, (8 << 20) // max(len(model.names), 4))
+    size = max(1 << 16, (2 << 20) // max(len(model.names), 4))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
