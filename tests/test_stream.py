@@ -275,3 +275,12 @@ def test_random_batches_with_repeats_and_timeouts(spark, folder):
     assert sorted(r.seq for r in released_rows(spark, release, "late").collect()) == sorted(late)
     assert released_rows(spark, release, "repeated").count() == repeated and repeated and late
     assert averages(drain(spark, release, 9)) == by_hand(out + [r for _, r in waiting.values()], 4)[sum(ok for _, _, ok in out):]
+
+
+def test_rows_released_over_many_stretches_are_counted_once(spark, folder):
+    """More numbers at once than one stretch has: they are written by ranges, for which rows are looked at twice."""
+    release = Release(folder("out"), folder("state"), "seq")
+    release.run_batch(spark.range(1, 300_001).select(F.col("id").alias("seq")), 0)
+    sizes = {r.stage: r["size"] for r in release_samples(spark, release, 10).collect()}
+    assert sizes == {"raw": 300_000, "intermediate": 0, "processed": 300_000}
+    assert released_rows(spark, release).count() == 300_000

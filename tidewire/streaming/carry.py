@@ -66,10 +66,11 @@ def write_in_order(rows: DataFrame, seq_col: str, span: int, path: str, grouped:
 
     ``grouped`` rows come from a window and lie by stretch already."""
     seen = Observation()
-    rows = rows.observe(seen, F.count("*").alias("rows"))
     if span > BUCKET_WIDTH:
         rows = rows.repartitionByRange(seq_col)
     elif not grouped:
         rows = rows.repartition(1)
+    # counted behind the shuffle: to find the ranges, all that lies before it is run once more
+    rows = rows.observe(seen, F.count("*").alias("rows"))
     rows.sortWithinPartitions(seq_col).write.mode("overwrite").parquet(path)
     return seen.get["rows"]
