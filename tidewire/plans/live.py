@@ -27,7 +27,10 @@ from tidewire.streaming.release import (
     stream_resequence,
     stream_rolling_average,
 )
-from tidewire.workspace import materialise, new_path
+from tidewire.workspace import materialise, names_in, new_path
+
+#: Rows that one task writes into a file of a stream's source.
+LANDED_AT_ONCE = 1_000_000
 
 
 def raw_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -251,21 +254,41 @@ def q_stream_verify_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- the whole run as a stream ------------------------------------------------------------------
 
 
-def landed_csv(spark: SparkSession, sf_dir: str, files: int = 5) -> str:
-    """The raw signals as CSV files that were written one after the other, in event order and in the order of paths."""
+def landed_csv(spark: SparkSession, sf_dir: str, files: int = 5, most: int = LANDED_AT_ONCE) -> str:
+    """The raw signals as CSV files that were written one after the other, in event order and in the order of paths.
+
+    The files lie in folders, which are written one after the other. Folders of more than ``most`` rows hold several
+    files, all of them equally many: a task writes no more than that, and a batch of so many files is a folder."""
     path = new_path(spark, "landed-csv")
     rows = materialise(raw_signals(spark, sf_dir), "raw-signals")
-    low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
-    step = (high - low) // files + 1
-    for part in range(files):
-        first = low + part * step
-        mine = rows.filter((F.col("event_id") >= first) & (F.col("event_id") < first + step)).orderBy("event_id")
-        mine.drop("event_id").write.option("escape", '"').csv(f"{path}/part={part}", header=True)
+    low, high, n = rows.agg(F.min("event_id"), F.max("event_id"), F.count("*")).first()
+    each = -(-n // (files * most))
+    ends = [low + ((high - low) // files + 1) * (part + 1) - 1 for part in range(files)]
+    if each > 1:
+        shares = [(i + 1) / (files * each) for i in range(files * each)]
+        found = rows.agg(F.percentile_approx("event_id", shares, 100 * len(shares))).first()[0]
+        # each is the number of a row, and numbers are unique, so no file is empty
+        ends = [*found[:-1], high]
+    for part in range(0, len(ends), each):
+        cuts, first = ends[part : part + each], ends[part - 1] + 1 if part else low
+        mine = rows.filter(F.col("event_id").between(first, cuts[-1]))
+        place = sum((F.col("event_id") > end).cast("int") for end in cuts)
+        ordered = mine.repartitionById(each, place).sortWithinPartitions("event_id").drop("event_id")
+        ordered.write.option("escape", '"').csv(f"{path}/part={part // each}", header=True)
     return path
 
 
-def streamed_run(spark: SparkSession, path: str, max_files: int = 1) -> StreamRun:
-    """A whole run over the CSV files below a folder, to the stream's end."""
+def files_at_once(spark: SparkSession, path: str, batches: int = 5) -> int:
+    """How many of the CSV files in the folders below ``path`` make a batch, so that there are no more than ``batches``."""
+    folders = [f"{path}/{name}" for name in names_in(spark, path)]
+    found = sum(name.endswith(".csv") for folder in folders for name in names_in(spark, folder))
+    return max(1, -(-found // batches))
+
+
+def streamed_run(spark: SparkSession, path: str, max_files: int | None = None) -> StreamRun:
+    """A whole run over the CSV files in the folders below ``path``, to the stream's end: in five batches, unless the
+    number of files in one is given."""
+    max_files = max_files or files_at_once(spark, path)
     query, run = run_stream(
         spark, csv_spec(f"{path}/*"), new_path(spark, "run"), new_path(spark, "state"), new_path(spark, "stream-checkpoint"), max_files
     )
