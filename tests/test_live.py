@@ -39,3 +39,17 @@ def test_many_files_make_five_batches_at_most(spark, folder):
     run = live.streamed_run(spark, path)
     sizes = [r["size"] for r in run.samples(spark).filter("stage = 'raw'").collect()]
     assert len(sizes) == 4 and sum(sizes) == 240
+
+
+def test_a_batch_of_several_landed_files_has_all_of_its_numbers(spark, folder):
+    rows = live.numbered_signals(spark, SF)
+    seen = []
+    stream = live.landing(spark, rows, most=50).withColumn("file", F.input_file_name())
+
+    def note(batch, _):
+        found = batch.select("file", SEQUENCE).collect()
+        seen.append((len({r[0] for r in found}), sorted(r[1] for r in found)))
+
+    live.ended(stream.writeStream.foreachBatch(note).option("checkpointLocation", folder("cp")).trigger(availableNow=True).start())
+    assert [files for files, _ in seen] == [4] * 5
+    assert [numbers for _, numbers in seen] == [sorted(n for n in range(1, rows.count() + 1) if n % 5 == part) for part in range(5)]

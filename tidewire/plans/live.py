@@ -331,15 +331,21 @@ def q_stream_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- micro-batches of known content -------------------------------------------------------------
 
 
-def landing(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """A stream of five files, one per micro-batch: the rest of the number by five each; no number: the first."""
+def landing(spark: SparkSession, rows: DataFrame, most: int = LANDED_AT_ONCE) -> DataFrame:
+    """A stream in five micro-batches: the rest of the number by five each; no number: the first.
+
+    A batch is one file, or as many as it takes for none to have much more than ``most`` rows, the same for each batch."""
     source = new_path(spark, "landing")
-    stored = materialise(rows, "landing-rows")
+    rest = F.coalesce(F.col(SEQUENCE) % 5, F.lit(0))
+    stored = materialise(rows.withColumn("__part", rest), "landing-rows")
+    each = max(1, -(-stored.count() // (5 * most)))
     for part in range(5):
-        mine = stored.filter(F.coalesce(F.col(SEQUENCE) % 5, F.lit(0)) == part)
+        mine = stored.filter(F.col("__part") == part).drop("__part")
+        # numbers within a task go up one by one, so no file stays empty that could have a row
+        dealt = mine.coalesce(1) if each == 1 else mine.repartitionById(each, (F.monotonically_increasing_id() % each).cast("int"))
         # files are read in the order in which they were written
-        mine.coalesce(1).write.mode("append").parquet(source)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        dealt.write.mode("append").parquet(source)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", each).parquet(source)
 
 
 def landed(spark: SparkSession, rows: DataFrame, gap_timeout: float | None = None) -> Release:
