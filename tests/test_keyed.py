@@ -82,6 +82,26 @@ def test_a_timer_passes_a_gap_while_nothing_comes(spark, folder, keyed_state):
     assert sorted((r.who, r.seq, r.computed_metric) for r in found) == [("a", 1, 1.0), ("a", 3, 2.0), ("a", 4, 4.0), ("b", 1, 1.0)]
 
 
+def test_rows_wait_in_pieces_of_many(spark, folder, keyed_state):
+    """Rows that wait take a few entries of the state, not one each; and sequences over several chunks come out whole."""
+    rows = [(who, n, n % 50 / 4, n % 3 > 0) for who in "ab" for n in range(1, 9_001) if (who, n) != ("b", 4_200)]
+    random.Random(5).shuffle(rows)
+    again = [("a", 9_000, 0.0, True), ("b", 9_000, 0.0, True), ("b", 4_199, 0.0, True)]
+    out, cp = folder("out"), folder("cp")
+    batches = [rows[:6_000], rows[6_000:12_000], rows[12_000:], again]
+    stream_by_entity(streamed(spark, folder, batches), out, cp, "who", "seq", "v", 4, accepted_col="ok").awaitTermination()
+    done = spark.read.parquet(out)
+    want = by_hand(rows, 4)
+    given = sorted((r.who, r.seq, r.computed_metric) for r in done.filter("kind = 'row'").collect())
+    assert given == [w for w in want if w[0] == "a" or w[1] < 4_200]
+    others = sorted((r.kind, r.who, r.seq) for r in done.filter("kind <> 'row'").collect())
+    assert others == [("late", "a", 9_000), ("late", "b", 4_199), ("repeated", "b", 9_000)]
+    left = left_in_state(spark, cp, "who", "seq", "v", 4, "ok")
+    assert sorted((r.who, r.seq, r.computed_metric) for r in left.collect()) == [w for w in want if w[0] == "b" and w[1] > 4_200]
+    entries = spark.read.format("statestore").option("path", cp).option("stateVarName", "waiting").load()
+    assert 0 < entries.count() <= 12
+
+
 def test_settings_are_checked(spark, folder, keyed_state):
     stream = streamed(spark, folder, [[("a", 1, 1.0, True)]])
     with pytest.raises(ValueError):

@@ -212,14 +212,16 @@ def signals_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_by_entity(spark: SparkSession, rows: DataFrame) -> tuple[str, str]:
-    """Where the ordered rows of a stream by entity are, and its checkpoint."""
+    """Where the ordered rows of a stream by entity are, and its checkpoint. Its three batches are files by hash."""
     name, store = STATE_STORE
     before = spark.conf.get(name)
     spark.conf.set(name, store)
     out, checkpoint = new_path(spark, "by-entity"), new_path(spark, "stream-checkpoint")
     source = new_path(spark, "by-entity-source")
-    rows.repartition(3, F.xxhash64("event_id")).write.parquet(source)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    rows = materialise(rows, "by-entity-rows")
+    each = max(1, -(-rows.count() // (3 * LANDED_AT_ONCE)))
+    rows.repartition(3 * each, F.xxhash64("event_id")).write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", each).parquet(source)
     try:
         ended(stream_by_entity(stream, out, checkpoint, "entity_name", "n", "metric_value", WINDOW))
     finally:

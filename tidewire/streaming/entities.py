@@ -1,9 +1,9 @@
 """One sequence per entity: order, gaps and rolling means from keyed state, and what is left in it.
 
 Where every entity numbers its own rows, sequences do not depend on each other, and keyed state spreads them over the
-cluster. Per entity there is the next number expected (a value), the rows that wait for one (a map by number) and the
-last ``window - 1`` accepted values (a list); a timer passes gaps while nothing comes. All rows of an entity go
-through one task: for a single sequence, or one that holds much of all rows, take ``streaming.release``.
+cluster. Per entity there is the next number expected (a value), the rows that wait for one (a map of pieces, some thousands
+of numbers to a chunk), which numbers have come (a map of bits by chunk) and the last ``window - 1`` accepted values (a
+list); a timer passes gaps while nothing comes. All rows of an entity go through one task: for a single sequence, or one that holds much of all rows, take ``streaming.release``.
 
 State is kept by RocksDB (``STATE_STORE``), on which Spark's keyed state with maps and timers rests. It can be read
 while the stream stands still: ``left_in_state`` gives the rows that never had their turn, with the means that they
@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections import deque
 from collections.abc import Iterator
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,116 @@ STATE_STORE = (
 #: What became of a row: in order, come after its turn, number come before, no number.
 KIND = "kind"
 KINDS = ("row", "late", "repeated", "no_sequence")
+#: Numbers whose rows lie together in the state (a multiple of eight), rows held before they go there, and chunks whose
+#: bits are held meanwhile.
+CHUNK = 1 << 12
+AT_ONCE = 1 << 17
+KNOWN = 1 << 13
+
+
+class _Chunk:
+    """What is known of ``CHUNK`` numbers: which have come, as bits, in how many pieces their rows lie in the state, and
+    pairs of arrival time and highest number, from which overdue gaps are told."""
+
+    def __init__(self, kept: Row | None):
+        self.stored = kept is not None
+        self.changed = False
+        self.seen = bytearray(kept[0]) if kept else bytearray(CHUNK // 8)
+        self.pieces = kept[1] if kept else 0
+        self.marks = [tuple(mark) for mark in kept[2]] if kept else []
+
+    def mark(self, since: int, high: int) -> None:
+        # times go up, so a mark that is not above the last tells nothing more
+        if self.marks and self.marks[-1][0] == since:
+            self.marks[-1] = (since, max(high, self.marks[-1][1]))
+        elif not self.marks or high > self.marks[-1][1]:
+            self.marks.append((since, high))
+
+
+class _Waiting:
+    """One entity's rows that wait, while one batch of it is worked on.
+
+    Rows come to the state in pieces of a chunk, some thousands of rows with one call each way: a call costs far more than a
+    row. A chunk's bits tell what has come without a look at its rows."""
+
+    def __init__(self, chunks, pieces):
+        self._chunks, self._pieces = chunks, pieces
+        self._known: dict[int, _Chunk] = {}
+        self._fresh: dict[int, list[tuple]] = {}
+        self.fresh = 0
+
+    def chunk(self, number: int) -> _Chunk:
+        known = self._known.get(number)
+        if known is None:
+            known = self._known[number] = _Chunk(self._chunks.getValue((number,)))
+        return known
+
+    def has(self, seq: int) -> bool:
+        number, place = divmod(seq - 1, CHUNK)
+        return bool(self.chunk(number).seen[place >> 3] >> (place & 7) & 1)
+
+    def add(self, seq: int, since: int, row: tuple) -> None:
+        number, place = divmod(seq - 1, CHUNK)
+        self.chunk(number).seen[place >> 3] |= 1 << (place & 7)
+        self._fresh.setdefault(number, []).append((seq, since, row))
+        self.fresh += 1
+
+    def numbers(self) -> list[int]:
+        """All chunks that have rows, in order."""
+        return sorted({number for (number,) in self._chunks.keys()} | set(self._fresh))
+
+    def overdue(self, until: int) -> int:
+        """The highest number that came no later than ``until``; 0 if there is none."""
+        return max((high for _, kept in self._chunks.iterator() for since, high in kept[2] if since <= until), default=0)
+
+    def take(self, number: int, end: int) -> list[tuple]:
+        """The chunk's rows with numbers below ``end``, in order; the rest goes on waiting."""
+        known = self.chunk(number)
+        rows = self._fresh.pop(number, [])
+        self.fresh -= len(rows)
+        for piece in range(known.pieces):
+            rows += [(seq, since, row) for seq, since, row in self._pieces.getValue((number, piece))[0]]
+            self._pieces.removeKey((number, piece))
+        known.changed, known.pieces = True, 0
+        rows.sort(key=lambda kept: kept[0])
+        due = [row for row in rows if row[0] < end]
+        if len(due) < len(rows):
+            known.marks = []
+            rest = rows[len(due) :]
+            for seq, since, _ in sorted(rest, key=lambda kept: kept[1]):
+                known.mark(since, seq)
+            self._put(number, known, rest)
+        elif end > (number + 1) * CHUNK:
+            # all of its numbers have had their turn
+            if known.stored:
+                self._chunks.removeKey((number,))
+            del self._known[number]
+        else:
+            known.marks = []
+        return due
+
+    def store(self) -> None:
+        """Write the rows that are new, and what is known of their chunks once that is much."""
+        for number, rows in self._fresh.items():
+            known = self.chunk(number)
+            for seq, since, _ in rows:
+                known.mark(since, seq)
+            self._put(number, known, rows)
+        self._fresh, self.fresh = {}, 0
+        if len(self._known) > KNOWN:
+            self.close()
+
+    def close(self) -> None:
+        for number, known in self._known.items():
+            if known.changed:
+                self._chunks.updateValue((number,), (bytes(known.seen), known.pieces, known.marks))
+        self._known = {}
+
+    def _put(self, number: int, known: _Chunk, rows: list[tuple]) -> None:
+        plain = [(seq, since, tuple(row)) for seq, since, row in rows]
+        self._pieces.updateValue((number, known.pieces), (plain,))
+        known.pieces += 1
+        known.changed = True
 
 
 class _Sequence(StatefulProcessor):
@@ -40,58 +151,58 @@ class _Sequence(StatefulProcessor):
 
     def __init__(self, schema: T.StructType, seq: str, value: str, accepted: str | None, window: int, timeout: float | None):
         self._names = schema.names
-        self._seq, self._value, self._accepted = seq, value, accepted
+        self._seq, self._value, self._accepted = (schema.names.index(c) if c else None for c in (seq, value, accepted))
         self._window = window
         self._patience = None if timeout is None else int(timeout * 1000)
-        self._kept = T.StructType([T.StructField("since", T.LongType()), *schema.fields])
+        kept = T.StructType().add("seq", T.LongType()).add("since", T.LongType()).add("row", schema)
+        self._kept = T.StructType().add("rows", T.ArrayType(kept))
+        self._out = Row(*schema.names, AVERAGE, KIND)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._next = handle.getValueState("next", "expected bigint, waiting bigint")
-        self._waiting = handle.getMapState("waiting", "seq bigint", self._kept)
+        known = "seen binary, pieces int, marks array<struct<since: bigint, high: bigint>>"
+        self._chunks = handle.getMapState("chunks", "chunk bigint", known)
+        self._pieces = handle.getMapState("waiting", "chunk bigint, piece int", self._kept)
         self._tail = handle.getListState("tail", "value double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         now = timerValues.getCurrentProcessingTimeInMs()
-        expected, waiting = self._next.get() or (1, 0)
-        values = self._values()
+        given, waiting = self._next.get() or (1, 0)
+        values, backlog, expected = self._values(), _Waiting(self._chunks, self._pieces), given
+        pick = None
         for row in rows:
+            pick = pick or itemgetter(*map(row.__fields__.index, self._names))
+            row = pick(tuple(row))
             seq = row[self._seq]
             if seq is None:
-                yield self._out(row, "no_sequence")
+                yield self._out(*row, None, "no_sequence")
             elif seq < expected:
-                yield self._out(row, "late")
-            elif seq > expected:
-                if self._waiting.containsKey((seq,)):
-                    yield self._out(row, "repeated")
-                else:
-                    self._waiting.updateValue((seq,), (now, *(row[c] for c in self._names)))
-                    waiting += 1
+                yield self._out(*row, None, "late")
+            elif backlog.has(seq):
+                yield self._out(*row, None, "repeated")
             else:
-                yield from self._released(row, values)
-                expected += 1
-                while waiting and (held := self._waiting.getValue((expected,))) is not None:
-                    self._waiting.removeKey((expected,))
-                    waiting -= 1
-                    yield from self._released(Row(*self._names)(*held[1:]), values)
+                backlog.add(seq, now, row)
+                waiting += 1
+                while waiting and backlog.has(expected):
                     expected += 1
-        self._keep(expected, waiting, values, now)
+                if backlog.fresh >= AT_ONCE:
+                    waiting -= yield from self._released(backlog, given, expected, values)
+                    given = expected
+                    backlog.store()
+        waiting -= yield from self._released(backlog, given, expected, values)
+        self._keep(backlog, expected, waiting, values, now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """Pass the gaps below rows that have waited for too long."""
         now = timerValues.getCurrentProcessingTimeInMs()
-        expected, waiting = self._next.get() or (1, 0)
-        values = self._values()
-        held = {seq[0]: kept for seq, kept in self._waiting.iterator()}
-        reached = max((s for s, kept in held.items() if kept[0] <= now - self._patience), default=expected - 1)
-        for seq in sorted(held):
-            if seq > max(reached, expected):
-                break
-            self._waiting.removeKey((seq,))
-            waiting -= 1
-            yield from self._released(Row(*self._names)(*held[seq][1:]), values)
-            expected = seq + 1
-        self._keep(max(expected, reached + 1), waiting, values, now)
+        given, waiting = self._next.get() or (1, 0)
+        values, backlog = self._values(), _Waiting(self._chunks, self._pieces)
+        expected = max(given, backlog.overdue(now - self._patience) + 1)
+        while backlog.has(expected):
+            expected += 1
+        waiting -= yield from self._released(backlog, given, expected, values, backlog.numbers())
+        self._keep(backlog, expected, waiting, values, now)
 
     def _values(self) -> deque:
         values: deque = deque(maxlen=self._window)
@@ -99,22 +210,32 @@ class _Sequence(StatefulProcessor):
             values.extend(v for (v,) in self._tail.get())
         return values
 
-    def _keep(self, expected: int, waiting: int, values: deque, now: int) -> None:
+    def _keep(self, backlog: _Waiting, expected: int, waiting: int, values: deque, now: int) -> None:
+        backlog.store()
+        backlog.close()
         self._next.update((expected, waiting))
         if self._window > 1 and values:
             self._tail.put([(v,) for v in list(values)[1 - self._window :]])
         if self._patience is not None and waiting and not any(True for _ in self._handle.listTimers()):
             self._handle.registerTimer(now + self._patience)
 
-    def _released(self, row: Row, values: deque) -> Iterator[Row]:
-        if self._accepted and not row[self._accepted]:
-            return
-        values.append(row[self._value])
-        known = [v for v in values if v is not None]
-        yield self._out(row, "row", round(math.fsum(known) / len(known), 4) if known else 0.0)
-
-    def _out(self, row: Row, kind: str, mean: float | None = None) -> Row:
-        return Row(*self._names, AVERAGE, KIND)(*(row[c] for c in self._names), mean, kind)
+    def _released(self, backlog: _Waiting, given: int, expected: int, values: deque, numbers=None) -> Iterator[Row]:
+        """Rows with numbers from ``given`` to before ``expected``, a chunk at a time; returns how many they were."""
+        count, last = 0, (expected - 2) // CHUNK
+        if given == expected:
+            return count
+        # without gaps, every chunk in between has rows
+        for number in range((given - 1) // CHUNK, last + 1) if numbers is None else numbers:
+            if number > last:
+                break
+            for _, _, row in backlog.take(number, expected):
+                count += 1
+                if self._accepted is not None and not row[self._accepted]:
+                    continue
+                values.append(row[self._value])
+                known = [v for v in values if v is not None]
+                yield self._out(*row, round(math.fsum(known) / len(known), 4) if known else 0.0, "row")
+        return count
 
 
 def by_entity(
@@ -174,7 +295,7 @@ def left_in_state(
     def state(name: str) -> DataFrame:
         return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
 
-    rows = state("waiting").select("user_map_value.*").drop("since")
+    rows = state("waiting").select(F.explode("user_map_value.rows").alias("kept")).select("kept.row.*")
     names = rows.columns
     taken = rows.filter(F.col(accepted_col)) if accepted_col else rows
     old = state("tail").select(F.col("key")[entity_col].alias(entity_col), F.col("list_element.value").alias(value_col))
